@@ -15,6 +15,7 @@ SPECIAL_DECIMAL = r"^(?i)[+-]?(inf|infinity|s?nan[0-9]*)$"
 ANY_DECIMAL = (
     r"^(?i)[+-]?(?:(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|s?nan[0-9]*)$"
 )
+SIMPLE_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
 FLOAT = (
     r"^(?i)[+-]?(?:(?:[0-9]+(?:_[0-9]+)*(?:\.(?:[0-9]+(?:_[0-9]+)*)?)?|\.[0-9]+(?:_[0-9]+)*)"
@@ -160,13 +161,17 @@ def to_double(c: Column) -> Column:
 
     The guard is needed: Spark alone reads ``1d`` as 1.0.
     """
-    return F.when(strip(c).rlike(FLOAT), F.translate(strip(c), "_", "").try_cast("double"))
+    return F.when(c.rlike(SIMPLE_NUMBER), c.try_cast("double")).when(
+        strip(c).rlike(FLOAT), F.translate(strip(c), "_", "").try_cast("double")
+    )
 
 
 def decimal_to_double(c: Column) -> Column:
     """Nearest double of a decimal text, null when it is no number."""
     bare = F.translate(strip(c), "_", "")
-    return F.when(bare.rlike(ANY_DECIMAL), F.regexp_replace(bare, "(?i)s?nan[0-9]*", "NaN").try_cast("double"))
+    return F.when(c.rlike(SIMPLE_NUMBER), c.try_cast("double")).when(
+        bare.rlike(ANY_DECIMAL), F.regexp_replace(bare, "(?i)s?nan[0-9]*", "NaN").try_cast("double")
+    )
 
 
 def decimal_exact(c: Column) -> Column:

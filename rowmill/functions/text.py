@@ -47,8 +47,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Drop white space at both ends. Spark's ``trim`` alone drops only spaces."""
-    return F.btrim(c, F.lit(WS_CHARS))
+    """Drop white space at both ends. Spark's ``trim`` alone drops only spaces.
+
+    Texts that start and end with a visible ASCII character, most of them, are passed
+    through without looking for the white space characters.
+    """
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    tight = (first > " ") & (first < "\x7f") & (last > " ") & (last < "\x7f")
+    return F.when(tight, c).otherwise(F.btrim(c, F.lit(WS_CHARS)))
 
 
 def strip_or_null(c: Column) -> Column:

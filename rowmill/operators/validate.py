@@ -327,7 +327,7 @@ def fails_business_hours(fields: Fields, rule: dict[str, Any]) -> Condition:
         hour = F.hour(fields.value("created_at"))
     else:
         hour = iso_hour(fields.text("created_at"))
-    return F.coalesce((hour < 9) | (hour >= 17), F.lit(False))
+    return F.coalesce(~hour.isin(*range(9, 17)), F.lit(False))
 
 
 SEMANTIC_CHECKS: dict[str, tuple[str | None, Callable[..., Condition]]] = {
@@ -338,6 +338,10 @@ SEMANTIC_CHECKS: dict[str, tuple[str | None, Callable[..., Condition]]] = {
 }
 
 
+# A rule of the compiled set: when it fails, and the error it then adds.
+Compiled = tuple[Condition, Column]
+
+
 def _error(field: str | None, names: list[str] | None, rule: str, message: str) -> Column:
     return F.struct(
         F.lit(field).cast("string").alias("field"),
@@ -347,7 +351,7 @@ def _error(field: str | None, names: list[str] | None, rule: str, message: str)
     )
 
 
-def field_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Column]:
+def field_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
         name, kind = rule["field"], rule["rule_type"]
@@ -361,13 +365,13 @@ def field_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Column]:
         if condition is False:
             continue
         message = rule.get("message", f"{name} failed {kind}")
-        out.append(F.when(as_column(condition), _error(name, None, kind, message)))
+        out.append((condition, _error(name, None, kind, message)))
     return out
 
 
 def cross_errors(
     fields: Fields, rules: list[dict[str, Any]], analyse: DataFrame
-) -> list[Column]:
+) -> list[Compiled]:
     out = []
     for rule in rules:
         check = CROSS_CHECKS.get(rule["rule_type"])
@@ -378,11 +382,11 @@ def cross_errors(
         if rule["rule_type"] == "dependency":
             names = [rule["condition_field"], rule["required_field"]]
         message = rule.get("message", "Cross-field rule failed")
-        out.append(F.when(as_column(condition), _error(None, names, rule["rule_type"], message)))
+        out.append((condition, _error(None, names, rule["rule_type"], message)))
     return out
 
 
-def semantic_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Column]:
+def semantic_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
         name, check = SEMANTIC_CHECKS.get(rule["rule_type"], (None, None))
@@ -390,7 +394,7 @@ def semantic_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Column]
         if condition is False:
             continue
         message = rule.get("message", "Semantic validation failed")
-        out.append(F.when(as_column(condition), _error(name, None, rule["rule_type"], message)))
+        out.append((condition, _error(name, None, rule["rule_type"], message)))
     return out
 
 
@@ -420,14 +424,49 @@ def validate(
         *cross_errors(ready, cross, work),
         *semantic_errors(ready, semantic),
     ]
-    found = F.array_compact(F.array(*errors)) if errors else F.array()
-    return work.withColumn("validation_errors", found.cast(NO_ERRORS)).select(
-        *[column(c) for c in columns],
-        "validation_errors",
-        F.when(F.size("validation_errors") == 0, "valid").otherwise("flagged").alias("status"),
+    masks, found = _failed(errors)
+    untouched = [column(c) for c in columns]
+    clean = F.lit(True)
+    for name in masks:
+        clean = clean & (F.col(name) == 0)
+    return (
+        work.select(*untouched, *[m.alias(n) for n, m in masks.items()])
+        .select(
+            *untouched,
+            F.when(clean, F.array().cast(NO_ERRORS)).otherwise(found).alias("validation_errors"),
+            F.when(clean, "valid").otherwise("flagged").alias("status"),
+        )
     )
 
 
+# rules whose outcomes share one long
+MASK_BITS = 62
+
+
+def _failed(errors: list[Compiled]) -> tuple[dict[str, Column], Column]:
+    """Which rules fail, as bit masks, and the error array those masks stand for.
+
+    Only the masks need the record, so all conditions stay in generated code; a report
+    that needs no messages never builds them; a clean row costs one comparison.
+    """
+    masks, arrays = {}, []
+    for start in range(0, len(errors), MASK_BITS):
+        part, name = errors[start : start + MASK_BITS], f"__failed_{start}"
+        mask = F.lit(0).cast("bigint")
+        for bit, (condition, _) in enumerate(part):
+            mask = mask.bitwiseOR(F.when(as_column(condition), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
+        masks[name] = mask
+        known = F.array(*[e for _, e in part]).cast(NO_ERRORS)
+        arrays.append(F.filter(known, _bit_test(name)))
+    if not arrays:
+        return masks, F.array().cast(NO_ERRORS)
+    return masks, arrays[0] if len(arrays) == 1 else F.concat(*arrays)
+
+
+def _bit_test(name: str) -> Callable[[Column, Column], Column]:
+    return lambda _, at: F.getbit(F.col(name), at) == 1
+
+
 def _named(*rule_lists: list[dict[str, Any]]) -> set[str]:
     """All fields that rules look at."""
     names: set[str] = {"order_status", "created_at"} if rule_lists[-1] else set()

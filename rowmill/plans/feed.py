@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.functions.numbers import normalize_decimal
 from rowmill.functions.dates import normalize_date
+from rowmill.functions.numbers import normalize_decimal
 from rowmill.functions.text import normalize_boolean, normalize_phone
 from rowmill.operators.mapping import SAMPLE_MAPPING, map_fields, rules_from_dict
 from rowmill.operators.normalize import normalise_rows
 from rowmill.operators.validate import SAMPLE_RULES, validate
+from rowmill.session import spread_small, tune
 
 FEED_MAPPING = {
     **SAMPLE_MAPPING,
@@ -31,7 +32,7 @@ FEED_MAPPING = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(cents: Column, style: Column) -> Column:
@@ -56,8 +57,10 @@ def money(cents: Column, style: Column) -> Column:
 
 def vendor_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as dirty vendor rows with a row identity."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    lines = spread_small(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+        )
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"

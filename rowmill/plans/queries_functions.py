@@ -22,6 +22,7 @@ from rowmill.operators.normalize import normalise_map, normalise_rows
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import FEED_SQL, table, vendor_feed
+from rowmill.session import spread_small
 
 # order dates in eleven spellings, by key
 DATE_TEXT_SQL = """
@@ -122,9 +123,8 @@ def amount_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 7, F.concat(F.lit(" +00"), w, F.lit("."), part, F.lit("0 ")))
         .otherwise(F.concat(F.lit("-."), part))
     )
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.alias("text")
-    )
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_extendedprice")
+    return spread_small(lines).select(*LINE_KEY, text.alias("text"))
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -227,8 +227,8 @@ BOOLEAN_WORDS = ["TRUE", " yes", "1", "Y", "on", "false", "No ", "0", "n", "OFF"
     "WITH words AS (SELECT event_id, (["
     + ", ".join(f"'{w}'" for w in BOOLEAN_WORDS)
     + f"""])[1 + event_id % {len(BOOLEAN_WORDS)}] AS w, value FROM events)
-        SELECT event_id, CASE WHEN lower(trim(w)) IN ('true', 'yes', '1', 'y', 'on') THEN true
-          WHEN lower(trim(w)) IN ('false', 'no', '0', 'n', 'off') THEN false END AS flag,
+        SELECT event_id, CASE WHEN lower(trim(w)) IN ('true', 'yes', '1', 'y', 'on') THEN 'true'
+          WHEN lower(trim(w)) IN ('false', 'no', '0', 'n', 'off') THEN 'false' END AS flag,
           value <> 0 AS number_flag FROM words""",
 )
 def _normalize_boolean(spark, sf_dir):
@@ -236,7 +236,7 @@ def _normalize_boolean(spark, sf_dir):
     word = F.get(words, (F.col("event_id") % len(BOOLEAN_WORDS)).cast("int"))
     return table(spark, sf_dir, "events").select(
         "event_id",
-        normalize_boolean(word).alias("flag"),
+        normalize_boolean(word).cast("string").alias("flag"),
         normalize_boolean(F.col("value"), "double").alias("number_flag"),
     )
 

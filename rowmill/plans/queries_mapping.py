@@ -163,9 +163,9 @@ def _map_ragged(spark, sf_dir):
                  {S.strip_or_null('"Qty"')} AS q, {S.decimal_text('"Unit_Price"')} AS p,
                  {S.decimal_text('"Total"')} AS t, {S.strip_or_null('"Currency"')} AS currency FROM feed)
         SELECT row_id, order_id, strftime(TRY_CAST(d AS DATE), '%Y-%m-%d') AS order_date,
-          CASE WHEN regexp_matches(q, '^[+-]?[0-9]+$') THEN CAST(q AS BIGINT) END AS quantity,
-          CAST(TRY_CAST(p AS DECIMAL(38, 9)) * 100 AS BIGINT) AS unit_price_cents,
-          CAST(TRY_CAST(t AS DECIMAL(38, 9)) * 100 AS BIGINT) AS total_cents, currency
+          CASE WHEN regexp_matches(q, '^[+-]?[0-9]+$') THEN CAST(CAST(q AS BIGINT) AS VARCHAR) END AS quantity,
+          CAST(CAST(TRY_CAST(p AS DECIMAL(38, 9)) * 100 AS BIGINT) AS VARCHAR) AS unit_price_cents,
+          CAST(CAST(TRY_CAST(t AS DECIMAL(38, 9)) * 100 AS BIGINT) AS VARCHAR) AS total_cents, currency
         FROM texts""",
 )
 def _canonical_types(spark, sf_dir):
@@ -176,9 +176,9 @@ def _canonical_types(spark, sf_dir):
         "row_id",
         "order_id",
         F.col("order_date").cast("string").alias("order_date"),
-        "quantity",
-        (F.col("unit_price") * 100).cast("bigint").alias("unit_price_cents"),
-        (F.col("total_amount") * 100).cast("bigint").alias("total_cents"),
+        F.col("quantity").cast("string").alias("quantity"),
+        (F.col("unit_price") * 100).cast("bigint").cast("string").alias("unit_price_cents"),
+        (F.col("total_amount") * 100).cast("bigint").cast("string").alias("total_cents"),
         "currency",
     )
 

@@ -22,9 +22,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return tune(spark)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings for wide record expressions, where the user set none.
+
+    The JVM never compiles methods over 8000 bytes of bytecode; Spark is told to split
+    such stages instead of running them interpreted.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal a table smaller than one input split over all cores.
+
+    Larger tables, which have splits of their own, are left alone: no shuffle for them.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if size >= split:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
