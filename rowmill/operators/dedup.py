@@ -143,7 +143,7 @@ def fuzzy_match(a: Column, b: Column, threshold: float = 0.85) -> Column:
     """
     x, y = strip(F.lower(a)), strip(F.lower(b))
     longer = F.greatest(F.length(x), F.length(y))
-    common = F.length(x) - F.length(F.translate(x, y, F.lit("")))
+    common = F.length(x) - F.length(F.call_function("translate", x, y, F.lit("")))
     close = F.abs(F.length(x) - F.length(y)) <= longer * F.lit(0.3)
     similar = F.when(longer > 0, common / longer >= F.lit(float(threshold))).otherwise(F.lit(False))
     filled = (a != "") & (b != "")

@@ -406,7 +406,8 @@ def validate(
     """Add ``validation_errors`` and ``status`` (valid iff there is no error).
 
     Errors come in rule order: field rules, then cross-field, then semantic ones.
-    Earlier errors of the row are replaced.
+    Earlier errors of the row are replaced. Filter on data columns before validating:
+    filters put after it are not pushed to the scan.
     """
     fields = fields or Fields.flat(df)
     columns = [c for c in df.columns if c not in ("validation_errors", "status")]
@@ -452,7 +453,9 @@ def _failed(errors: list[Compiled]) -> tuple[dict[str, Column], Column]:
     masks, arrays = {}, []
     for start in range(0, len(errors), MASK_BITS):
         part, name = errors[start : start + MASK_BITS], f"__failed_{start}"
-        mask = F.lit(0).cast("bigint")
+        # The partition id adds nothing but keeps the optimizer from copying all conditions
+        # into every filter on status or errors above this projection.
+        mask = F.spark_partition_id().bitwiseAND(F.lit(0)).cast("bigint")
         for bit, (condition, _) in enumerate(part):
             mask = mask.bitwiseOR(F.when(as_column(condition), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
         masks[name] = mask
