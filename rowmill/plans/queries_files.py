@@ -1 +1,197 @@
+"""Queries that write whole tables as files and read them back through scans and sinks."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowmill.operators.ledger import Ledger
+from rowmill.operators.mapping import MappingRule
+from rowmill.plans.batch import run_batch
+from rowmill.plans.catalog import query
+from rowmill.plans.feed import table
+from rowmill.session import scratch_path
+from rowmill.sinks import writers
+from rowmill.sources import scan
+from rowmill.sources.intake import read_rows
+from rowmill.sources.listing import list_files
+
+ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+ORDER_SQL = "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ORDER) + " FROM orders"
+
+
+def _orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(*[F.col(c).cast("string").alias(c) for c in ORDER])
+
+
+def _fields(rows, names, source="raw"):
+    return rows.select(*[F.try_element_at(source, F.lit(n)).alias(n) for n in names])
+
+
+@query("scan_csv", ORDER_SQL)
+def _scan_csv(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    _orders(spark, sf_dir).write.option("header", True).csv(path)
+    return _fields(scan.scan_delimited(spark, [path], ",".join(ORDER)), ORDER)
+
+
+@query("scan_tsv", ORDER_SQL)
+def _scan_tsv(spark, sf_dir):
+    path = scratch_path(spark, "tsv")
+    _orders(spark, sf_dir).write.option("header", True).option("sep", "\t").csv(path)
+    return _fields(scan.scan_delimited(spark, [path], "\t".join(ORDER), "\t"), ORDER)
+
+
+@query(
+    "scan_csv_multi_line",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents",
+)
+def _scan_csv_multi_line(spark, sf_dir):
+    """Documents with line breaks inside quoted cells."""
+    path = scratch_path(spark, "csv")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    docs.write.option("header", True).option("escape", '"').option("quoteAll", True).option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = _fields(scan.scan_delimited(spark, [path], "doc_id,text", multi_line=True), ["doc_id", "text"])
+    return rows.withColumn("text", F.regexp_replace("text", "\r\n?", "\n"))
+
+
+@query("scan_jsonl", ORDER_SQL)
+def _scan_jsonl(spark, sf_dir):
+    path = scratch_path(spark, "jsonl")
+    _orders(spark, sf_dir).write.json(path)
+    return _fields(scan.scan_json_lines(spark, [path]), ORDER)
+
+
+@query("scan_json_array", ORDER_SQL)
+def _scan_json_array(spark, sf_dir):
+    path = scratch_path(spark, "array")
+    writers.write_json_array(_orders(spark, sf_dir), path)
+    return _fields(scan.scan_json_array(spark, [path]), ORDER)
+
+
+@query("scan_xml", ORDER_SQL)
+def _scan_xml(spark, sf_dir):
+    path = scratch_path(spark, "xml")
+    writers.write_xml(_orders(spark, sf_dir), path)
+    return _fields(scan.scan_xml(spark, [path], "row"), ORDER)
+
+
+@query(
+    "row_identity",
+    """SELECT count(*) AS n_rows, count(*) AS distinct_ids, count(*) AS line_sum_matches FROM orders""",
+)
+def _row_identity(spark, sf_dir):
+    """Row ids are unique and lines dense from 1 within each of several files."""
+    path = scratch_path(spark, "files")
+    orders = _orders(spark, sf_dir).repartition(4, "o_orderstatus")
+    orders.write.option("header", True).partitionBy("o_orderstatus").csv(path)
+    rows = read_rows(spark, list_files(spark, path))
+    per_file = rows.groupBy("file_id").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("row_id").alias("ids"),
+        F.min("line_number").alias("low"),
+        F.max("line_number").alias("high"),
+    )
+    dense = F.when((F.col("low") == 1) & (F.col("high") == F.col("n")), F.col("n")).otherwise(0)
+    return per_file.agg(
+        F.sum("n").alias("n_rows"), F.sum("ids").alias("distinct_ids"), F.sum(dense).alias("line_sum_matches")
+    )
+
+
+@query(
+    "list_files",
+    """SELECT 'csv' AS format, 'UTF-8' AS encoding, count(DISTINCT o_orderstatus) AS files FROM orders
+       UNION ALL SELECT 'json', 'UTF-8', count(DISTINCT o_orderstatus) FROM orders""",
+)
+def _list_files(spark, sf_dir):
+    path = scratch_path(spark, "files")
+    one_each = _orders(spark, sf_dir).repartition("o_orderstatus")
+    one_each.write.option("header", True).partitionBy("o_orderstatus").csv(f"{path}/a")
+    one_each.write.partitionBy("o_orderstatus").json(f"{path}/b")
+    return list_files(spark, path).groupBy("format", "encoding").agg(F.count("*").alias("files"))
+
+
+@query("sink_csv_roundtrip", ORDER_SQL)
+def _sink_csv(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    writers.export_rows(_orders(spark, sf_dir), "csv", path)
+    return _fields(scan.scan_delimited(spark, [path], ",".join(sorted(ORDER))), ORDER)
+
+
+@query("sink_jsonl_roundtrip", ORDER_SQL)
+def _sink_jsonl(spark, sf_dir):
+    path = scratch_path(spark, "jsonl")
+    writers.export_rows(_orders(spark, sf_dir), "jsonl", path)
+    return _fields(scan.scan_json_lines(spark, [path]), ORDER)
+
+
+@query(
+    "status_split",
+    "SELECT CASE o_orderstatus WHEN 'F' THEN 'valid' ELSE 'flagged' END AS status, count(*) AS n, "
+    "CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1",
+)
+def _status_split(spark, sf_dir):
+    base = scratch_path(spark, "split")
+    rows = _orders(spark, sf_dir).withColumn(
+        "status", F.when(F.col("o_orderstatus") == "F", "valid").otherwise("flagged")
+    )
+    result = writers.export_split(rows, "jsonl", base)
+    parts = [
+        scan.scan_json_lines(spark, [result[f"{s}_export"]]).select(
+            F.lit(s).alias("status"), F.try_element_at("raw", F.lit("o_orderkey")).cast("bigint").alias("k")
+        )
+        for s in ("valid", "flagged")
+    ]
+    both = parts[0].union(parts[1])
+    return both.groupBy("status").agg(F.count("*").alias("n"), F.sum("k").alias("key_sum"))
+
+
+@query(
+    "export_by_source",
+    "SELECT o_orderpriority AS source_name, count(*) AS total_rows, count(*) FILTER (o_orderstatus = 'F') AS valid_rows FROM orders GROUP BY 1",
+)
+def _export_by_source(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    rows = _orders(spark, sf_dir).select(
+        "o_orderkey",
+        F.col("o_orderpriority").alias("source_name"),
+        F.when(F.col("o_orderstatus") == "F", "valid").otherwise("flagged").alias("status"),
+    )
+    writers.export_all(rows, path, "csv")
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy("source_name").agg(
+        F.count("*").alias("total_rows"), F.count_if(F.col("status") == "valid").alias("valid_rows")
+    )
+
+
+@query(
+    "whole_batch_run",
+    """SELECT 'first' AS run, count(*) AS total_rows, count(*) FILTER (o_orderstatus = 'F') AS valid_rows FROM orders
+       UNION ALL SELECT 'second', 0, 0""",
+)
+def _whole_batch_run(spark, sf_dir):
+    """Files of orders through the whole job, twice: the second run finds nothing new."""
+    path = scratch_path(spark, "batch")
+    _orders(spark, sf_dir).repartition(4).write.json(f"{path}/in")
+    state = Ledger(spark, f"{path}/ledger")
+    mapping = [MappingRule("o_orderkey", "order_id"), MappingRule("o_orderstatus", "code")]
+    rules = {
+        "field_validation_rules": [
+            {"field": "order_id", "rule_type": "required"},
+            {"field": "code", "rule_type": "enum", "values": ["f"]},
+        ]
+    }
+    run_batch(spark, f"{path}/in", state, f"{path}/out", mapping, rules)
+    first = state.rows().agg(
+        F.lit("first").alias("run"),
+        F.count("*").alias("total_rows"),
+        F.count_if(F.col("status") == "valid").alias("valid_rows"),
+    )
+    again = run_batch(spark, f"{path}/in", state, f"{path}/out", mapping, rules)
+    second = state.read("batches").where(F.col("batch_id") == again["batch_id"]).agg(
+        F.lit("second").alias("run"),
+        F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("valid_rows"), F.lit(0)).alias("valid_rows"),
+    )
+    return first.union(second)

@@ -1 +1,153 @@
+"""Queries over ledgers, review decisions and the folder watcher."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowmill.operators import ledger
+from rowmill.operators.validate import validate
+from rowmill.plans.catalog import query
+from rowmill.plans.feed import table
+from rowmill.plans.joins import spread_lookup
+from rowmill.session import scratch_path
+from rowmill.streaming.watch import watch_folder
+
+
+def _files(spark, sf_dir):
+    """Orders as a file ledger: F done, O and P open."""
+    return table(spark, sf_dir, "orders").select(
+        F.sha2(F.col("o_orderkey").cast("string"), 256).alias("file_id"),
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        F.when(F.col("o_orderstatus") == "F", "success").otherwise("processing").alias("status"),
+    )
+
+
+@query(
+    "skip_processed",
+    "SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS file_id, o_orderkey FROM orders WHERE o_orderstatus <> 'F'",
+)
+def _skip_processed(spark, sf_dir):
+    files = _files(spark, sf_dir)
+    return ledger.skip_processed(files.select("file_id", "o_orderkey"), files)
+
+
+@query("files_by_status", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'")
+def _files_by_status(spark, sf_dir):
+    return _files(spark, sf_dir).where("status = 'success'").select("o_orderkey")
+
+
+@query(
+    "latest_version",
+    """SELECT o_custkey, o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (
+         PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""",
+)
+def _latest_version(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
+    return ledger.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+@query(
+    "effective_decision",
+    """WITH d AS (SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'approved' ELSE 'rejected' END AS decision,
+           l_suppkey, l_shipdate, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,
+             CAST(l_suppkey AS VARCHAR) DESC, l_returnflag = 'A', l_linenumber) AS rn FROM lineitem)
+        SELECT o_orderkey AS row_id, coalesce(decision, 'flagged') AS effective_status,
+          CAST(l_suppkey AS VARCHAR) AS approved_by FROM orders LEFT JOIN d ON o_orderkey = l_orderkey AND rn = 1""",
+)
+def _effective_decision(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"), F.lit("flagged").alias("status")
+    )
+    decisions = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("row_id"),
+        F.when(F.col("l_returnflag") == "A", "approved").otherwise("rejected").alias("decision"),
+        F.col("l_suppkey").cast("string").alias("reviewer_id"),
+        F.col("l_shipdate").alias("decided_at"),
+    )
+    return ledger.effective_status(rows, decisions).select("row_id", "effective_status", "approved_by")
+
+
+@query(
+    "orphan_check",
+    """SELECT doc_id, count(*) AS n_rows FROM documents
+       WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id""",
+)
+def _orphan_check(spark, sf_dir):
+    return ledger.orphan_keys(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id"
+    )
+
+
+@query(
+    "batch_rows",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+       WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1997)""",
+)
+def _batch_rows(spark, sf_dir):
+    """Rows of the files of a batch; a batch is a year of orders."""
+    files = table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1997)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    named = rows.withColumn("file_id", F.col("l_orderkey"))
+    return ledger.rows_of_files(named, files.select(F.col("o_orderkey").alias("file_id"))).drop("file_id")
+
+
+@query(
+    "current_rows",
+    """WITH f AS (SELECT o_custkey, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+        SELECT o_custkey, o_orderkey, o_totalprice FROM orders JOIN f USING (o_custkey) WHERE o_orderkey = k""",
+)
+def _current_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    versions = orders.select(
+        F.col("o_custkey").alias("file_id"),
+        F.col("o_orderkey").alias("batch_id"),
+        F.when(F.col("o_orderstatus") == "F", "success").otherwise("failed").alias("status"),
+        F.col("o_orderkey").alias("recorded_at"),
+    )
+    rows = orders.select(
+        F.col("o_custkey").alias("file_id"), F.col("o_orderkey").alias("batch_id"), "o_totalprice"
+    )
+    return ledger.current_rows(rows, versions).select(
+        F.col("file_id").alias("o_custkey"), F.col("batch_id").alias("o_orderkey"), "o_totalprice"
+    )
+
+
+@query(
+    "lookup_join",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
+)
+def _lookup_join(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    names = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    return spread_lookup(lines, names, ["l_suppkey"])
+
+
+@query(
+    "stream_intake_equals_batch",
+    """SELECT event_id, event_type, CASE WHEN value < 20 OR event_type = 'error' THEN 'flagged' ELSE 'valid' END AS status
+       FROM events""",
+)
+def _stream_intake(spark, sf_dir):
+    """The events file through the folder watcher, validated per micro-batch."""
+    rules = {
+        "field_validation_rules": [
+            {"field": "value", "rule_type": "range", "min_value": 20},
+            {"field": "event_type", "rule_type": "enum", "values": ["click", "view", "purchase", "signup"]},
+        ]
+    }
+    events = table(spark, sf_dir, "events")
+    kinds = events.select("event_type").distinct()
+    known = [r.event_type for r in kinds.collect() if r.event_type != "error"]
+    rules["field_validation_rules"][1]["values"] = known
+    out = scratch_path(spark, "stream")
+    watch_folder(
+        spark,
+        f"{sf_dir}/events.parq*",
+        events.schema,
+        lambda df: validate(df, rules),
+        f"{out}/rows",
+        f"{out}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("event_id", "event_type", "status")
