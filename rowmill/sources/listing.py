@@ -50,7 +50,7 @@ def detect_format(path: Column, content: Column) -> Column:
 
 
 def first_line(content: Column) -> Column:
-    return F.substring_index(F.decode(content, F.lit("ISO-8859-1")), "\n", 1)
+    return F.substring_index(F.decode(content, "ISO-8859-1"), "\n", 1)
 
 
 def encoding_of(content: Column) -> Column:
@@ -74,7 +74,8 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
         .option("pathGlobFilter", "*.*")
         .load(folder)
     )
-    c, text = F.col("content"), F.decode("content", encoding_of(F.col("content")))
+    c = F.col("content")
+    text = F.when(F.is_valid_utf8(c), F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
     lines = F.split(text, "\r\n|\r|\n")
     odd_quotes = F.exists(
         lines, lambda s: (F.length(s) - F.length(F.replace(s, F.lit('"'), F.lit("")))) % 2 == 1
@@ -101,7 +102,7 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def xml_row_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``source_path, row_tag``: the most frequent child of each root, ties by name."""
-    whole = spark.read.option("wholetext", True).text(paths)
+    whole = spark.read.text(paths, wholetext=True)
     root = F.expr("from_xml(value, 'variant', map('attributePrefix', '@'))")
     children = whole.select(
         F.col("_metadata.file_path").alias("source_path"),

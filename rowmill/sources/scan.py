@@ -109,7 +109,7 @@ def scan_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def scan_json_array(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Objects of whole-file JSON arrays; other elements are skipped."""
-    whole = spark.read.option("wholetext", True).text(paths)
+    whole = spark.read.text(paths, wholetext=True)
     elements = F.from_json("value", "array<string>", {"allowSingleQuotes": "false"})
     return (
         whole.select(*_place(), F.explode(elements).alias("element"))
