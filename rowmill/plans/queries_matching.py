@@ -10,6 +10,7 @@ from rowmill.plans.catalog import query
 from rowmill.plans.feed import table
 from rowmill.records import Fields
 from rowmill.schema import ORDER_FIELDS
+from rowmill.session import spread_small
 
 TEXT_KEY = f"md5({S.strip('lower(text)')})"
 
@@ -161,7 +162,7 @@ headers AS (
 
 
 def vendor_headers(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").select(
+    words = spread_small(table(spark, sf_dir, "documents").select("text")).select(
         F.explode(F.split("text", r"[^\p{L}\p{N}]+")).alias("header")
     )
     name = F.get(F.array(*[F.lit(c) for c in CANONICAL]), (F.col("doc_id") % len(CANONICAL)).cast("int"))

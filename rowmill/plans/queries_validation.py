@@ -21,6 +21,7 @@ from rowmill.plans.queries_functions import (
 from rowmill.operators.normalize import normalise_rows
 from rowmill.records import Fields
 from rowmill.schema import CanonicalSchema
+from rowmill.session import spread_small
 
 
 def field_rules(*rules):
@@ -57,7 +58,9 @@ def _flag(condition):
 def validate_orders_summary(spark, sf_dir):
     """Trim, map, required and range rules, status, totals: the smallest whole run."""
     k = F.col("l_orderkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    lines = spread_small(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     feed = lines.join(orders, k == F.col("o_orderkey")).select(
         F.when(k % 97 == 0, "  ").otherwise(k.cast("string")).alias("Order_ID"),
