@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.operators.ledger import Ledger, skip_processed
+from rowmill.operators.ledger import BATCHES, Ledger, skip_processed
 from rowmill.operators.mapping import MappingRule, canonical_map, map_fields
 from rowmill.operators.normalize import normalise_map
 from rowmill.operators.report import totals
@@ -103,7 +103,5 @@ def run_batch(
         (batch_id, started, datetime.now(timezone.utc), total.total_rows, total.valid_rows,
          total.flagged_rows, status, problems, datetime.now(timezone.utc))
     ]
-    from rowmill.operators.ledger import BATCHES
-
     ledger.append("batches", spark.createDataFrame(record, BATCHES))
     return {"batch_id": batch_id, "status": status, "files": known.count(), **total.asDict(), "errors": problems}
