@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import tokens
+from rowmill.llm import decontaminate, substrings, tokens
 from rowmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,68 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(
         F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
     )
+
+
+@query(
+    "op6_substring_dedup",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    windows AS (
+      SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+      FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+    repeated AS (SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+    gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM repeated),
+    kept AS (
+      SELECT a.r, string_agg(a.x, ' ' ORDER BY a.j) AS t
+      FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM d) a ANTI JOIN gone g ON a.r = g.r AND a.j = g.j
+      GROUP BY a.r),
+    removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+    """,
+)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op7_decontamination",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    items AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+    tests AS (
+      SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+      FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+    windows AS (
+      SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS t
+      FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM tests))),
+    hits AS (SELECT r, windows.k, i, item_id FROM windows JOIN tests ON windows.k = tests.k AND windows.t = tests.t),
+    covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM hits) GROUP BY r),
+    named AS (
+      SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM hits) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+      sha256(coalesce(names, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+    """,
+)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
