@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, substrings, tokens
+from rowmill.llm import decontaminate, jaccard, substrings, tokens
 from rowmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,28 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(
+    "op1_ngram_jaccard_join",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '' ORDER BY g)) AS k FROM s GROUP BY doc_id),
+    links AS (
+      SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+      JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
+      WHERE c >= 0.8 * (m.n + n.n - c) - 1e-9),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT d.doc_id, coalesce(k.copy_of, d.doc_id) AS copy_of, coalesce(l.n, 0)::BIGINT AS n_links, c.class_id
+    FROM documents d
+    LEFT JOIN (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS copy_of FROM sizes) k USING (doc_id)
+    LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) l USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a) c USING (doc_id)
+    """,
+)
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
