@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, jaccard, substrings, tokens
-from rowmill.llm.frames import table
+from rowmill.llm import decontaminate, jaccard, language, substrings, tokens
+from rowmill.llm.frames import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,12 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = language.fit(docs.where(~held_out), "doc_id", "text", "lang")
+    named = language.identify(docs, model)
+    return named.withColumnRenamed("id", "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
