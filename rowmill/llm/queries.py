@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, jaccard, language, substrings, tokens
+from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens
 from rowmill.llm.frames import crc_mod, table
 
+#: The key of the registered queries and the pipeline. A deployment passes a secret one.
+PII_KEY = "rowmill"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -144,3 +147,9 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.where(~held_out), "doc_id", "text", "lang")
     named = language.identify(docs, model)
     return named.withColumnRenamed("id", "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op9_surrogates")
+def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = private.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+    return made.withColumnRenamed("id", "doc_id")

@@ -1,0 +1,68 @@
+"""Surrogates: what is found, what it becomes, that nothing is shared or left."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from rowmill.llm import private
+
+FORMS = {
+    "email": ["jane.doe@mail3.example.com", "X_1@a-b.co.uk"],
+    "secret": ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"],
+    "iban": ["DE44 5001 0517 5407 3249 31", "GB33BUKB20201555555555"],
+    "card": ["4952935900253052", "4952-9359-0025-3052", "4497 6725 8173 3027"],
+    "ip": ["152.143.123.131", "10.0.0.1"],
+    "ssn": ["123-45-6789"],
+    "phone": ["+1 (389) 555-5010", "+1!! (017)!! 555-7713", "+49 30 123456", "(555) 123-4567", "555-123-4567"],
+    "name": ["Frau Anna Schmidt", "Mr. Jones", "Dr Ивановский", "Mme Élodie Brûlé"],
+}
+PLAIN = ["", "no data here 3. 4.0. 12", "version 1.2.3.4.5", "a@b", "1234567890123456789", "12-34", "Mr x", "deadbeef", "x" * 200000, "1" * 200000]
+
+
+def run(spark, texts, key="k"):
+    df = spark.createDataFrame([(i, t, "x", 3) for i, t in enumerate(texts)], "doc_id long, text string, kind string, n_entities int")
+    rows = sorted(private.replace_entities(df, key).collect(), key=lambda r: r.id)
+    return [(r.text, r.n_entities) for r in rows]
+
+
+def test_each_kind_keeps_its_format(spark):
+    values = [(k, v) for k, vs in FORMS.items() for v in vs]
+    got = run(spark, [f"see {v}, {v}." for _, v in values])
+    kinds = spark.createDataFrame([(t.split(",")[0][4:],) for t, _ in got], "v string").select(private.kind_of(F.col("v"))).collect()
+    for (kind, value), (text, n), found in zip(values, got, kinds):
+        new = text[4:].split(", ")[0]
+        assert n == 2 and text == f"see {new}, {new}." and new != value and found[0] == kind, (value, text)
+        if kind not in ("ip", "name"):
+            shape = lambda s: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", s)))
+            a, b = (s.lower() for s in (value, new)) if kind == "secret" else (shape(value), shape(new))
+            assert len(a) == len(b) and (kind == "secret" or a == b), (value, new)
+    by = dict(zip((v for _, v in values), (t for t, _ in got)))
+    assert by["Frau Anna Schmidt"].split()[2] in private.FEMALE_NAMES and "Schmidt" not in by["Frau Anna Schmidt"]
+    assert re.search("[а-я]{4}", by["Dr Ивановский"])
+    digits = lambda s: re.sub("[^0-9]", "", s.split(",")[0])
+    assert digits(by["4952935900253052"]) == digits(by["4952-9359-0025-3052"])
+    assert by["+1 (389) 555-5010"].startswith("see +1 (")
+
+
+def test_plain_texts_stay(spark):
+    assert run(spark, [None, *PLAIN]) == [(None, 0), *((t, 0) for t in PLAIN)]
+    assert run(spark, []) == []
+
+
+def test_key_matters(spark):
+    assert run(spark, ["10.0.0.1"], "a") != run(spark, ["10.0.0.1"], "b")
+
+
+def test_clashes_are_moved(spark, monkeypatch):
+    """With hardly any surrogates to choose from, all still differ, and none is an original."""
+    monkeypatch.setattr(private, "_byte", lambda stream, place: F.pmod(F.ascii(F.substring(stream, place + 1, F.lit(1))), F.lit(3)))
+    values = [f"{a}{b}{c}-00-0000" for a in range(3) for b in range(3) for c in range(3)]
+    got = [t for t, _ in run(spark, values + values[:5])]
+    assert len(set(got)) == len(values) and not set(got) & set(values)
+    assert got[: 5] == got[len(values) :]
+
+
+def test_rows_without_ids_and_copies(spark):
+    df = spark.createDataFrame([(None, "a 10.0.0.1"), (1, "a 10.0.0.1"), (1, "a 10.0.0.1")], "doc_id long, text string")
+    got = private.replace_entities(df, "k").collect()
+    assert len({r.text for r in got}) == 1 and len(got) == 3
