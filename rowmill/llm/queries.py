@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens
+from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens, urls
 from rowmill.llm.frames import crc_mod, table
 
 #: The key of the registered queries and the pipeline. A deployment passes a secret one.
@@ -153,3 +153,58 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = private.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
     return made.withColumnRenamed("id", "doc_id")
+
+
+#: The rules that op2 is asked to apply, each a host and the beginning of a path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query(
+    "op2_url_filters",
+    r"""
+    WITH p AS (
+      SELECT row_number() OVER () AS r, page_id, url,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+      FROM pages),
+    s AS (SELECT *, string_split(host, '.') AS l, list_filter(string_split(path, '/'), lambda x: x <> '') AS w FROM p),
+    f AS (
+      SELECT r, page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_sort(list_distinct(list_filter([
+        'scheme=' || regexp_extract(url, '^([A-Za-z]*)://', 1),
+        'top=' || l[-1],
+        'domain=' || array_to_string(l[greatest(len(l) - 1, 1):], '.'),
+        CASE WHEN len(l) > 2 THEN 'sub=' || array_to_string(l[:-3], '.') END,
+        CASE WHEN len(w) > 1 THEN 'first=' || w[1] END,
+        'depth=' || len(w),
+        CASE WHEN regexp_matches(w[-1], '\.[A-Za-z0-9]{1,8}$') THEN 'ext=' || string_split(w[-1], '.')[-1] END,
+        CASE WHEN contains(url, '?') THEN 'query=' || array_to_string(list_sort(list_distinct(
+          list_transform(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda k: string_split(k, '=')[1]))), ',') END,
+        CASE WHEN contains(url, '#') THEN 'fragment' END], lambda x: x IS NOT NULL))) END AS f
+      FROM s),
+    known AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
+    t AS (SELECT r, f, bad FROM f JOIN known ON page_id = doc_id WHERE len(f) > 0),
+    subsets AS (
+      SELECT bad, list_filter(f, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items
+      FROM (SELECT f, bad, unnest(range(1, (1 << len(f))::BIGINT)) AS m FROM t)),
+    rules AS (
+      SELECT items, max(c) AS confidence FROM (
+        SELECT items, count(*) FILTER (bad) AS b, count(*) FILTER (bad) / count(*) AS c FROM subsets GROUP BY items)
+      WHERE b >= ceil(0.02 * (SELECT count(*) FROM t)) AND c >= 0.5 GROUP BY items),
+    hits AS (
+      SELECT f.f, max(confidence) AS confidence FROM (SELECT DISTINCT f FROM f) f JOIN rules ON list_has_all(f.f, rules.items) GROUP BY f.f),
+    listed AS (
+      SELECT f.*, CASE
+        WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+      FROM f)
+    SELECT page_id, host, path, rule, CASE
+      WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+      WHEN confidence IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, confidence
+    FROM listed LEFT JOIN hits ON listed.f = hits.f
+    """,
+)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return judged.withColumnRenamed("id", "page_id")
