@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens, urls
+from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens, urls, vectors
 from rowmill.llm.frames import crc_mod, table
 
 #: The key of the registered queries and the pipeline. A deployment passes a secret one.
@@ -208,3 +208,30 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
     return judged.withColumnRenamed("id", "page_id")
+
+
+@query(
+    "op5_embedding_dedup",
+    r"""
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+    links AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT e.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+    FROM embeddings e
+    LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
+    JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+    """,
+)
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+    return near.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
