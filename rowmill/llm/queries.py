@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import decontaminate, jaccard, language, private, substrings, tokens, urls, vectors
+from rowmill.llm import brown, decontaminate, jaccard, language, private, substrings, tokens, urls, vectors
 from rowmill.llm.frames import crc_mod, table
 
 #: The key of the registered queries and the pipeline. A deployment passes a secret one.
@@ -235,3 +235,13 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         (F.col("id") == F.col("component")).alias("kept"),
     )
+
+
+@query("op8_brown_scores")
+def brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left_out = crc_mod("doc_id", 7) == 2
+    scored = brown.score(table(spark, sf_dir, "documents"), ~left_out)
+    held_out = F.coalesce(crc_mod("id", 7) == 2, F.lit(False))
+    return scored.select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
