@@ -35,6 +35,9 @@ CHILDREN = 2
 DEPTH = 4
 LIMIT = 256
 BLOCK = 256
+#: A bucket that keeps more than this share of the one it was split from holds texts that
+#: are alike all over; splitting it further would only repeat it.
+ALIKE = 0.5
 MISSED = 1e-6
 #: Embeddings of sets at the threshold agree in 51 of 64 tokens, give or take 3.2. Fewer
 #: than 35 is five deviations below.
@@ -114,7 +117,7 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     token = lambda at: F.element_at("sketch", at + 1)
     members = classes.select(
         "rep", F.explode(F.array(*[F.xxhash64(F.lit(r), token(F.lit(r))) for r in range(runs)])).alias("path")
-    )
+    ).withColumn("parent", F.lit(None).cast("long"))
     done = None
     for depth in range(1, DEPTH + 1):
         sizes = members.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
@@ -122,16 +125,17 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
         last = depth == DEPTH
         if not last:
             shared = written(shared, "buckets")
-        leaf = (shared if last else shared.where(F.col("n") <= LIMIT)).select(F.col("path").alias("leaf"), "rep", "n")
+        alike = F.coalesce(F.col("n") > ALIKE * F.col("parent"), F.lit(False))
+        split = F.lit(False) if last else (F.col("n") > LIMIT) & ~alike
+        leaf = shared.where(~split).select(F.col("path").alias("leaf"), "rep", "n")
         done = leaf if done is None else done.union(leaf)
-        large = shared.where(F.col("n") > LIMIT)
+        large = shared.where(split)
         if last or large.isEmpty():
             return done
-        spots = [F.pmod(F.xxhash64("path", F.lit(c)), F.lit(TOKENS)).cast("int") for c in range(CHILDREN)]
-        members = (
-            large.join(classes.select("rep", "sketch"), "rep")
-            .select("rep", F.explode(F.array(*[F.xxhash64("path", s, token(s)) for s in spots])).alias("path"))
-            .distinct()
+        first = F.pmod(F.xxhash64("path"), F.lit(TOKENS)).cast("int")
+        spots = [F.pmod(first + c * (TOKENS // CHILDREN), F.lit(TOKENS)) for c in range(CHILDREN)]
+        members = large.join(classes.select("rep", "sketch"), "rep").select(
+            "rep", F.explode(F.array(*[F.xxhash64("path", s, token(s)) for s in spots])).alias("path"), F.col("n").alias("parent")
         )
     return done
 
