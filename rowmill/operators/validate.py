@@ -6,18 +6,17 @@ expression, so validation is a single projection without a shuffle.
 
 from __future__ import annotations
 
-import re
 import warnings
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.dates import is_iso_moment, iso_hour
 from rowmill.functions.numbers import decimal_exact, is_decimal_text, is_integer_text
 from rowmill.functions.text import strip
+from rowmill.operators.formula import Value, compile_formula
 from rowmill.records import NO_ERRORS, Fields, as_column, both, column, helper
 
 # The sample vendor's rules.
@@ -234,52 +233,31 @@ def register_check(rule_type: str, check: FieldCheck) -> None:
     FIELD_CHECKS[rule_type] = check
 
 
-def fails_formula(fields: Fields, rule: dict[str, Any], analyse: DataFrame) -> Condition:
-    """A Spark SQL expression over the fields as doubles must not be false or zero.
+def fails_formula(fields: Fields, rule: dict[str, Any]) -> Condition:
+    """A formula over the rule's fields must not be false, zero or an empty text.
 
-    A missing value, or an expression that cannot be evaluated, passes. A text that
-    is no number equals no number, so it fails a plain ``==`` against one.
+    A missing value, or an expression that cannot be evaluated, passes.
     """
-    formula, names = rule.get("formula", ""), rule["fields"]
-    if re.search(r"[/%]", formula):
-        raise ValueError(f"write try_divide or try_mod instead of / or %: {formula!r}")
-    if not all(fields.knows(n) for n in names if re.search(rf"\b{re.escape(n)}\b", formula)):
-        return False
-
-    numbers = {n: f"`{helper('number', n)}`" for n in names if fields.knows(n)}
 
-    def evaluate(text: str) -> Column:
-        return F.expr(re.sub(r"[A-Za-z_]\w*", lambda m: numbers.get(m[0], m[0]), text))
+    def value(name: str) -> Value:
+        number, dtype = fields.number(name), fields.dtype(name)
+        if dtype == "string":
+            text = fields.value(name)
+            return Value(number=number, text=F.when(number.isNull(), text))
+        if dtype in ("date", "timestamp", "timestamp_ntz") or dtype.startswith(("array", "map", "struct")):
+            return Value(text=fields.text(name))
+        return Value(number=number)
 
-    result = evaluate(formula)
+    formula = rule.get("formula", "")
     try:
-        kind = analyse.select(*numbers.values()).select(result).schema[0].dataType.simpleString()
-    except AnalysisException as problem:
+        result = compile_formula(formula, {n: value(n) for n in rule["fields"] if fields.knows(n)})
+    except SyntaxError as problem:
         warnings.warn(f"formula {formula!r} cannot be evaluated and passes: {problem}", stacklevel=2)
         return False
-    if kind != "boolean":
-        result = result != F.lit(0)
-    fails = ~F.coalesce(result, F.lit(True))
-
-    sides = [s.strip() for s in formula.split("==")]
-    if len(sides) == 2 and not re.search(r"[<>!]|\b(and|or|not)\b", formula, re.I):
-        a, b = (evaluate(s) for s in sides)
-        # NaN equals nothing, itself included
-        fails = fails | F.coalesce(F.isnan(a.cast("double")) | F.isnan(b.cast("double")), F.lit(False)) & (
-            a.isNotNull() & b.isNotNull()
-        )
-        for bare, other in ((sides[0], b), (sides[1], a)):
-            if bare in names and fields.dtype(bare) == "string":
-                is_word = fields.value(bare).isNotNull() & F.col(numbers[bare]).isNull()
-                fails = fails | (is_word & other.isNotNull())
-        if all(s in names and fields.dtype(s) == "string" for s in sides):
-            x, y = (fields.value(s) for s in sides)
-            words = F.col(numbers[sides[0]]).isNull() & F.col(numbers[sides[1]]).isNull()
-            fails = fails | F.coalesce(words & (x != y), F.lit(False))
-    return fails
+    return ~F.coalesce(result.truth(), F.lit(True))
 
 
-def fails_dependency(fields: Fields, rule: dict[str, Any], analyse: DataFrame) -> Condition:
+def fails_dependency(fields: Fields, rule: dict[str, Any]) -> Condition:
     """The condition field has the value, typed, and the required field is not set."""
     name, wanted = rule.get("condition_field"), rule.get("condition_value")
     if not fields.knows(name):
@@ -298,7 +276,7 @@ def fails_dependency(fields: Fields, rule: dict[str, Any], analyse: DataFrame) -
     return both(met, (not set_) if isinstance(set_, bool) else ~set_)
 
 
-def fails_mutual_exclusion(fields: Fields, rule: dict[str, Any], analyse: DataFrame) -> Condition:
+def fails_mutual_exclusion(fields: Fields, rule: dict[str, Any]) -> Condition:
     flags = [as_column(fields.truthy(n)).cast("int") for n in rule["fields"]]
     return sum(flags[1:], flags[0]) > 1 if len(flags) > 1 else False
 
@@ -369,13 +347,11 @@ def field_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     return out
 
 
-def cross_errors(
-    fields: Fields, rules: list[dict[str, Any]], analyse: DataFrame
-) -> list[Compiled]:
+def cross_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
         check = CROSS_CHECKS.get(rule["rule_type"])
-        condition = check(fields, rule, analyse) if check else False
+        condition = check(fields, rule) if check else False
         if condition is False:
             continue
         names = list(rule["fields"])
@@ -422,7 +398,7 @@ def validate(
     )
     errors = [
         *field_errors(ready, checks),
-        *cross_errors(ready, cross, work),
+        *cross_errors(ready, cross),
         *semantic_errors(ready, semantic),
     ]
     masks, found = _failed(errors)

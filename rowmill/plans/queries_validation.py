@@ -268,6 +268,56 @@ def _rule_formula_text(spark, sf_dir):
     )
 
 
+@query(
+    "rule_formula_division",
+    "SELECT "
+    + LINE_KEY_SQL
+    + ", "
+    + _flag("l_linenumber <> 3 AND NOT (l_extendedprice / (l_linenumber - 3) > 2000 AND floor(l_quantity / 7) <> 2)")
+    + " FROM lineitem",
+)
+def _rule_formula_division(spark, sf_dir):
+    rule = {
+        "fields": ["l_quantity", "l_extendedprice", "l_linenumber"],
+        "rule_type": "formula",
+        "formula": "l_extendedprice / (l_linenumber - 3) > 2000 and l_quantity // 7 != 2",
+    }
+    return _status(table(spark, sf_dir, "lineitem"), cross_rules(rule), *LINE_KEY)
+
+
+@query(
+    "rule_formula_texts",
+    "SELECT "
+    + LINE_KEY_SQL
+    + ", "
+    + _flag("NOT (l_returnflag <> 'R' AND l_returnflag || l_linestatus IN ('NO', 'AF') OR l_returnflag < l_linestatus AND l_tax > 0.02)")
+    + " FROM lineitem",
+)
+def _rule_formula_texts(spark, sf_dir):
+    rule = {
+        "fields": ["l_returnflag", "l_linestatus", "l_tax"],
+        "rule_type": "formula",
+        "formula": "l_returnflag != 'R' and l_returnflag + l_linestatus in ('NO', 'AF') or l_returnflag < l_linestatus and l_tax > 0.02",
+    }
+    return _status(table(spark, sf_dir, "lineitem"), cross_rules(rule), *LINE_KEY)
+
+
+_AMOUNT = S.double("total_amount")
+
+
+@query(
+    "rule_formula_compound",
+    f"""WITH {S.MAPPED_SQL} SELECT row_id, {_flag(f"coalesce({S.double('quantity')} IS NOT NULL AND {S.double('unit_price')} IS NOT NULL AND total_amount IS NOT NULL AND ({_AMOUNT} IS NULL OR {S.double('quantity')} * {S.double('unit_price')} <> {_AMOUNT} OR {S.double('quantity')} <= 2), false)")} FROM mapped""",
+)
+def _rule_formula_compound(spark, sf_dir):
+    rule = {
+        "fields": ["quantity", "unit_price", "total_amount"],
+        "rule_type": "formula",
+        "formula": "quantity * unit_price == total_amount and quantity > 2",
+    }
+    return _status(mapped_feed(spark, sf_dir), cross_rules(rule), "row_id")
+
+
 @query(
     "rule_dependency",
     "SELECT l.o_orderkey, " + _flag("o_orderstatus = 'P' AND o_totalprice < 100000") + " FROM orders l",

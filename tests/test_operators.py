@@ -48,11 +48,15 @@ def test_formula(spark):
     assert [bool(e) for e in failing(df, rules(cross=[rule]))] == [False, True, False, False, True, True]
     bare = {"fields": ["quantity"], "rule_type": "formula", "formula": "quantity - 2"}
     assert [bool(e) for e in failing(df, rules(cross=[bare]))][:3] == [True, True, False]
-    with pytest.raises(ValueError):
-        validate(df, rules(cross=[{**bare, "formula": "quantity / 2"}]))
+    halves = {**bare, "formula": "1 / (quantity - 2) == 1 or quantity == 'x'"}
+    assert [bool(e) for e in failing(df, rules(cross=[halves]))] == [False, False, False, False, False, True]
     with pytest.warns(UserWarning):
-        other = {"fields": ["quantity"], "rule_type": "formula", "formula": "quantity * unit_price == 1"}
-        assert not any(failing(df, rules(cross=[other])))
+        validate(df, rules(cross=[{**bare, "formula": "quantity =="}]))
+    other = {"fields": ["quantity"], "rule_type": "formula", "formula": "quantity * unit_price == 1"}
+    assert not any(failing(df, rules(cross=[other])))
+    words = {"fields": ["quantity", "total_amount"], "rule_type": "formula", "formula": "quantity != total_amount"}
+    same = spark.createDataFrame([(0, "a", "a"), (1, "a", "b"), (2, "1", "a")], "i int, quantity string, total_amount string")
+    assert [bool(e) for e in failing(same, rules(cross=[words]))] == [True, False, False]
 
 
 def test_cross_and_semantic(spark):
