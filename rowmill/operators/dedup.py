@@ -10,6 +10,7 @@ from rowmill.plans.joins import SALT
 from rowmill.records import ERROR_TYPE, NO_ERRORS, Fields
 
 KEY = "dedup_key"
+PLACE = "__place"
 
 
 def dedup_key(fields: Fields, names: list[str], fallback: Fields | None = None) -> Column:
@@ -107,27 +108,31 @@ def duplicate_members(
 def mark_duplicates(
     df: DataFrame,
     names: list[str],
-    position: str = "line_number",
+    position: str | None = None,
     keep_first: bool = True,
     fields: Fields | None = None,
     salts: int = 64,
 ) -> DataFrame:
     """Append a ``duplicate`` error to all rows of a group but the first (or to all).
 
-    The row status stays as it is. ``position`` must be unique over the rows.
+    The row status stays as it is. Rows are ordered by file, line and row id, and the first
+    row's id is named; ``position`` names one column, unique over the rows, to do both
+    instead.
     """
     source = df
     if "validation_errors" not in df.columns:
         source = df.withColumn("validation_errors", F.array().cast(NO_ERRORS))
-    joined = _with_first(source, names, position, fields, salts, "left")
+    place = F.struct("file_id", "line_number", "row_id") if position is None else F.col(position)
+    joined = _with_first(source.withColumn(PLACE, place), names, PLACE, fields or Fields.flat(df), salts, "left")
     marked = F.col("first_position").isNotNull()
     if keep_first:
-        marked = marked & (F.col(position) != F.col("first_position"))
+        marked = marked & (F.col(PLACE) != F.col("first_position"))
+    first = F.col("first_position.row_id") if position is None else F.col("first_position")
     error = F.struct(
         F.lit("_deduplicate").alias("field"),
         F.lit(None).cast("string").alias("fields"),
         F.lit("duplicate").alias("rule"),
-        F.concat(F.lit("Duplicate of row "), F.col("first_position").cast("string")).alias("message"),
+        F.concat(F.lit("Duplicate of row "), first.cast("string")).alias("message"),
     ).cast(ERROR_TYPE)
     errors = F.when(marked, F.array_append("validation_errors", error)).otherwise(
         F.col("validation_errors")
@@ -148,38 +153,3 @@ def fuzzy_match(a: Column, b: Column, threshold: float = 0.85) -> Column:
     similar = F.when(longer > 0, common / longer >= F.lit(float(threshold))).otherwise(F.lit(False))
     filled = (a != "") & (b != "")
     return F.coalesce(filled & ((x == y) | (close & similar)), F.lit(False))
-
-
-def fuzzy_duplicates(
-    df: DataFrame,
-    value: str,
-    block: list[str],
-    position: str,
-    threshold: float = 0.85,
-    salts: int = 64,
-) -> DataFrame:
-    """Rows whose text fuzzily matches that of the first row of their block.
-
-    The comparison partner is the block's first row, as for exact duplicates, so the
-    output has at most one row per input row whatever the size of a block.
-    """
-    dealt = df.select(*block, position, value).withColumn(
-        SALT, F.pmod(F.xxhash64(F.col(position)), F.lit(salts)).cast("int")
-    )
-    first = (
-        dealt.groupBy(*block, SALT)
-        .agg(F.min(F.struct(position, value)).alias("head"), F.count("*").alias("n"))
-        .groupBy(*block)
-        .agg(F.min("head").alias("head"), F.sum("n").alias("n"), F.collect_set(SALT).alias("salts"))
-        .where("n > 1")
-        .select(
-            *block,
-            F.col("head")[position].alias("first_position"),
-            F.col("head")[value].alias("first_value"),
-            F.explode("salts").alias(SALT),
-        )
-    )
-    pairs = dealt.join(first, [*block, SALT], "inner").where(F.col(position) != F.col("first_position"))
-    return pairs.where(fuzzy_match(F.col(value), F.col("first_value"), threshold)).select(
-        *block, position, "first_position", value, "first_value"
-    )

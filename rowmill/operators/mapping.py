@@ -35,7 +35,6 @@ class MappingRule:
     rule_type: str = "exact"
     pattern: str | None = None
     priority: int = 10
-    fallback: bool = False
     confidence: float = 1.0
     function: Callable[[Column], Column] | None = None
 

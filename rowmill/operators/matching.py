@@ -18,8 +18,6 @@ LEAST_SIMILARITY = 0.5
 EXACT_CONFIDENCE = 1.0
 NORMALISED_CONFIDENCE = 0.95
 
-MAX_FIELDS = 10_000
-
 
 def character_similarity(a: Column, b: Column) -> Column:
     """Distinct common characters over the longer length, 0 for an empty text."""
@@ -28,10 +26,36 @@ def character_similarity(a: Column, b: Column) -> Column:
     return F.when((F.length(a) > 0) & (F.length(b) > 0), common / longer).otherwise(F.lit(0.0))
 
 
-def _checked(canonical: list[str]) -> list[str]:
-    if len(canonical) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} canonical fields")
-    return list(dict.fromkeys(canonical))
+def _suggestions(header: Column, canonical: list[str]) -> Column:
+    """Scored fields, best first. What belongs to a field alone (its lower text, length and
+    characters) is part of the plan, and a field too unlike in length is passed over."""
+    low, letters = F.lower(header), F.split(F.lower(header), "")
+    fields = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("listed_at"),
+                F.lit(name).alias("canonical_field"),
+                F.lit(name.lower()).alias("low"),
+                F.lit(len(name.lower())).alias("length"),
+                F.array(*map(F.lit, dict.fromkeys(name.lower()))).cast("array<string>").alias("letters"),
+            )
+            for i, name in enumerate(dict.fromkeys(canonical))
+        ]
+    )
+
+    def score(f: Column) -> Column:
+        longer, shorter = F.greatest(F.length(low), f["length"]), F.least(F.length(low), f["length"])
+        similar = F.size(F.array_intersect(letters, f["letters"])) / longer
+        return (
+            F.when(low == f["low"], F.lit(EQUAL_SCORE))
+            .when(F.contains(low, f["low"]) | F.contains(f["low"], low), F.lit(CONTAINED_SCORE))
+            .when((shorter > LEAST_SIMILARITY * longer) & (similar > LEAST_SIMILARITY), similar)
+        )
+
+    def scored(f: Column) -> Column:
+        return F.struct((-score(f)).alias("cost"), f["listed_at"].alias("listed_at"), f["canonical_field"].alias("canonical_field"))
+
+    return F.array_sort(F.filter(F.transform(fields, scored), lambda s: s["cost"].isNotNull()))
 
 
 def suggest_mapping(headers: DataFrame, canonical: list[str], header: str = "header") -> DataFrame:
@@ -40,31 +64,12 @@ def suggest_mapping(headers: DataFrame, canonical: list[str], header: str = "hea
     Headers are made distinct first; the ranking is done inside the row, over an
     array as long as the canonical field list.
     """
-    fields = F.array(*[F.lit(f) for f in _checked(canonical)]).cast("array<string>")
-    low = F.lower(F.col(header))
-
-    def score(field: Column) -> Column:
-        other = F.lower(field)
-        similar = character_similarity(low, other)
-        return (
-            F.when(low == other, F.lit(EQUAL_SCORE))
-            .when(F.contains(low, other) | F.contains(other, low), F.lit(CONTAINED_SCORE))
-            .when(similar > LEAST_SIMILARITY, similar)
-        )
-
-    scored = F.filter(
-        F.transform(
-            fields,
-            lambda f, i: F.struct(
-                (-score(f)).alias("cost"), i.alias("listed_at"), f.alias("canonical_field")
-            ),
-        ),
-        lambda s: s["cost"].isNotNull(),
-    )
+    if not canonical:
+        return headers.select(header, F.lit("").alias("canonical_field"), F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("rank")).where("false")
     return (
         headers.select(header)
         .distinct()
-        .select(header, F.posexplode(F.array_sort(scored)).alias("at", "hit"))
+        .select(header, F.posexplode(_suggestions(F.col(header), canonical)).alias("at", "hit"))
         .select(
             header,
             F.col("hit.canonical_field").alias("canonical_field"),
@@ -79,62 +84,53 @@ def best_suggestion(headers: DataFrame, canonical: list[str], header: str = "hea
     return suggest_mapping(headers, canonical, header).where("rank = 1").drop("rank")
 
 
+def _certain(header: Column, canonical: list[str]) -> tuple[Column, Column]:
+    """The first field equal ignoring case, and the first equal without punctuation."""
+    listed = F.array(*[F.lit(f) for f in dict.fromkeys(canonical)]).cast("array<string>")
+    exact = F.get(F.filter(listed, lambda f: F.lower(f) == F.lower(header)), 0)
+    loose = F.get(F.filter(listed, lambda f: normalize_header(f) == normalize_header(header)), 0)
+    return exact, loose
+
+
+def _hit(field: Column, confidence: float | Column, rationale: str) -> Column:
+    return F.when(
+        field.isNotNull(),
+        F.struct(
+            field.alias("canonical_field"),
+            (F.lit(confidence) if isinstance(confidence, float) else confidence).alias("confidence"),
+            F.lit(rationale).alias("rationale"),
+        ),
+    )
+
+
 def match_headers(headers: DataFrame, canonical: list[str], header: str = "header") -> DataFrame:
     """Certain matches: ``header, canonical_field, confidence, rationale``.
 
     Equal ignoring case, and equal after dropping punctuation; a header that matches
     exactly yields both. Of several equal fields the first listed is taken.
     """
-    fields = _checked(canonical)
-    listed = F.array(*[F.lit(f) for f in fields]).cast("array<string>")
-    distinct = headers.select(header).distinct()
-    exact = F.get(F.filter(listed, lambda f: F.lower(f) == F.lower(F.col(header))), 0)
-    loose = F.get(
-        F.filter(listed, lambda f: normalize_header(f) == normalize_header(F.col(header))), 0
-    )
+    exact, loose = _certain(F.col(header), canonical)
     hits = F.array_compact(
-        F.array(
-            F.when(
-                exact.isNotNull(),
-                F.struct(
-                    exact.alias("canonical_field"),
-                    F.lit(EXACT_CONFIDENCE).alias("confidence"),
-                    F.lit("Exact match").alias("rationale"),
-                ),
-            ),
-            F.when(
-                loose.isNotNull(),
-                F.struct(
-                    loose.alias("canonical_field"),
-                    F.lit(NORMALISED_CONFIDENCE).alias("confidence"),
-                    F.lit("Normalized match").alias("rationale"),
-                ),
-            ),
-        )
+        F.array(_hit(exact, EXACT_CONFIDENCE, "Exact match"), _hit(loose, NORMALISED_CONFIDENCE, "Normalized match"))
     )
-    return distinct.select(header, F.explode(hits).alias("hit")).select(header, "hit.*")
+    return headers.select(header).distinct().select(header, F.explode(hits).alias("hit")).select(header, "hit.*")
 
 
 def unmatched_headers(headers: DataFrame, canonical: list[str], header: str = "header") -> DataFrame:
     """Headers without any certain match."""
-    matched = match_headers(headers, canonical, header).select(header)
-    return headers.select(header).distinct().join(matched, header, "left_anti")
+    exact, loose = _certain(F.col(header), canonical)
+    return headers.select(header).distinct().where(F.col(header).isNotNull() & exact.isNull() & loose.isNull())
 
 
 def propose_mapping(headers: DataFrame, canonical: list[str], header: str = "header") -> DataFrame:
     """One proposal per header, in the order exact, normalised, suggested."""
-    certain = (
-        match_headers(headers, canonical, header)
-        .groupBy(header)
-        .agg(F.max_by(F.struct("canonical_field", "confidence", "rationale"), "confidence").alias("hit"))
-        .select(header, "hit.*")
-    )
-    similar = best_suggestion(
-        unmatched_headers(headers, canonical, header), canonical, header
-    ).select(
-        header,
-        "canonical_field",
-        F.col("score").alias("confidence"),
-        F.lit("Suggested").alias("rationale"),
+    exact, loose = _certain(F.col(header), canonical)
+    suggested = F.get(_suggestions(F.col(header), canonical), F.lit(0)) if canonical else F.lit(None).cast("struct<cost: double, canonical_field: string>")
+    asked = headers.select(header).distinct().select(header, exact.alias("__exact"), loose.alias("__loose"))
+    asked = asked.withColumn("__best", F.when(F.col("__exact").isNull() & F.col("__loose").isNull(), suggested))
+    hit = F.coalesce(
+        _hit(F.col("__exact"), EXACT_CONFIDENCE, "Exact match"),
+        _hit(F.col("__loose"), NORMALISED_CONFIDENCE, "Normalized match"),
+        _hit(F.col("__best.canonical_field"), -F.col("__best.cost"), "Suggested"),
     )
-    return certain.unionByName(similar)
+    return asked.select(header, hit.alias("hit")).where("hit IS NOT NULL").select(header, "hit.*")

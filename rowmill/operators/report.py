@@ -55,58 +55,71 @@ def errors_exploded(df: DataFrame) -> DataFrame:
     return df.where(is_status("flagged")).select(F.explode(ERRORS).alias("error")).select("error.*")
 
 
-def errors_by_rule(df: DataFrame, top: int | None = 5) -> DataFrame:
-    """Errors per rule, most frequent first, ties by name."""
-    counted = errors_exploded(df).groupBy("rule").agg(F.count("*").alias("errors"))
-    ordered = counted.orderBy(F.desc("errors"), "rule")
+def top_rules(counts: DataFrame, top: int | None = 5) -> DataFrame:
+    """Errors per rule of (rule, field, errors) counts, most frequent first, ties by name."""
+    ordered = counts.groupBy("rule").agg(F.sum("errors").alias("errors")).orderBy(F.desc("errors"), "rule")
     return ordered if top is None else ordered.limit(top)
 
 
-def errors_by_field(df: DataFrame) -> DataFrame:
-    """Errors per field; an error over several fields counts as ``unknown``."""
+def per_field(counts: DataFrame) -> DataFrame:
+    """Errors per field of (rule, field, errors) counts; several fields count as ``unknown``."""
     field = F.coalesce(F.col("field"), F.lit("unknown")).alias("field")
-    return errors_exploded(df).groupBy(field).agg(F.count("*").alias("errors"))
+    return counts.groupBy(field).agg(F.sum("errors").alias("errors"))
+
+
+def stored_counts(df: DataFrame) -> DataFrame:
+    """(rule, field, errors) of validated rows. For rows about to be validated,
+    ``validate.error_counts`` gives the same without building errors."""
+    return errors_exploded(df).groupBy("rule", "field").agg(F.count("*").alias("errors"))
+
+
+def errors_by_rule(df: DataFrame, top: int | None = 5) -> DataFrame:
+    """Errors per rule of validated rows, most frequent first, ties by name."""
+    return top_rules(stored_counts(df), top)
+
+
+def errors_by_field(df: DataFrame) -> DataFrame:
+    """Errors per field of validated rows; an error over several fields counts as ``unknown``."""
+    return per_field(stored_counts(df))
 
 
 def summary_record(df: DataFrame, batch_id: str, file_name: str | None = None) -> DataFrame:
-    """The whole summary as one row: totals, top rules and fields as maps.
+    """The whole summary as one row: totals, top rules and fields as arrays.
 
-    One pass: rows shrink to (status, rule, field) counts before anything is nested.
+    One pass: rows shrink to counts per status, rule and field, as many as the rule set
+    has, and all the rest is made of those.
     """
     errors = F.when(is_status("flagged"), F.col(ERRORS))
-    slim = df.select("status", F.explode_outer(errors).alias("error"), F.lit(1).alias("one"))
-    per_error = slim.where("error is not null").groupBy(
-        F.col("error.rule").alias("rule"),
-        F.coalesce(F.col("error.field"), F.lit("unknown")).alias("field"),
-    ).agg(F.count("*").alias("n"))
-    rules = per_error.groupBy("rule").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "rule").limit(5)
-    fields = per_error.groupBy("field").agg(F.sum("n").alias("n"))
-    # both lists are as long as the rule set, not as the data
-    nested_rules = rules.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "rule"))).alias("rules"))
-    nested_fields = fields.agg(F.sort_array(F.collect_list(F.struct("field", "n"))).alias("fields"))
-    return (
-        totals(df)
+    small = (
+        df.select("status", F.posexplode_outer(errors).alias("at", "error"))
         .select(
-            F.lit(batch_id).alias("batch_id"),
-            F.lit(file_name).cast("string").alias("file_name"),
-            F.current_timestamp().alias("generated_at"),
-            F.struct("total_rows", "valid_rows", "flagged_rows", "valid_percentage").alias("summary"),
-            F.lit(1).alias("__one"),
-        )
-        .join(nested_rules.withColumn("__one", F.lit(1)), "__one")
-        .join(nested_fields.withColumn("__one", F.lit(1)), "__one")
-        .select(
-            "batch_id",
-            "file_name",
-            "generated_at",
-            "summary",
-            F.transform("rules", lambda r: F.struct(r["rule"].alias("rule"), (-r["k"]).alias("errors"))).alias(
-                "error_distribution"
-            ),
-            F.transform("fields", lambda r: F.struct(r["field"].alias("field"), r["n"].alias("errors"))).alias(
-                "errors_by_field"
-            ),
+            "status",
+            (F.coalesce("at", F.lit(0)) == 0).alias("first"),
+            F.col("error.rule").alias("rule"),
+            F.when(F.col("error").isNotNull(), F.coalesce("error.field", F.lit("unknown"))).alias("field"),
         )
+        .groupBy("status", "first", "rule", "field")
+        .agg(F.count("*").alias("n"))
+    )
+    names = ["status", "first", "rule", "field"]
+    sets = small.groupingSets([["status", "first"], ["rule"], ["field"]], *names).agg(F.grouping_id().alias("g"), F.sum("n").alias("n"))
+    by_status, by_rule, by_field = (F.col("g") == g for g in (0b0011, 0b1101, 0b1110))
+    rows = lambda *status: F.coalesce(F.sum(F.when(by_status & F.col("first") & F.col("status").isin(*status), F.col("n"))), F.lit(0))
+    one = sets.agg(
+        F.coalesce(F.sum(F.when(by_status & F.col("first"), F.col("n"))), F.lit(0)).alias("total_rows"),
+        rows("valid").alias("valid_rows"),
+        rows("flagged").alias("flagged_rows"),
+        F.sort_array(F.collect_list(F.when(by_rule & F.col("rule").isNotNull(), F.struct((-F.col("n")).alias("k"), "rule")))).alias("rules"),
+        F.sort_array(F.collect_list(F.when(by_field & F.col("field").isNotNull(), F.struct("field", "n")))).alias("fields"),
+    )
+    percentage = valid_percentage(F.col("valid_rows"), F.col("total_rows")).alias("valid_percentage")
+    return one.select(
+        F.lit(batch_id).alias("batch_id"),
+        F.lit(file_name).cast("string").alias("file_name"),
+        F.current_timestamp().alias("generated_at"),
+        F.struct("total_rows", "valid_rows", "flagged_rows", percentage).alias("summary"),
+        F.transform(F.slice("rules", 1, 5), lambda r: F.struct(r["rule"].alias("rule"), (-r["k"]).alias("errors"))).alias("error_distribution"),
+        F.transform("fields", lambda r: F.struct(r["field"].alias("field"), r["n"].alias("errors"))).alias("errors_by_field"),
     )
 
 

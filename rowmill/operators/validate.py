@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
-from typing import Any
+from dataclasses import dataclass
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -316,75 +317,94 @@ SEMANTIC_CHECKS: dict[str, tuple[str | None, Callable[..., Condition]]] = {
 }
 
 
-# A rule of the compiled set: when it fails, and the error it then adds.
-Compiled = tuple[Condition, Column]
+class Compiled(NamedTuple):
+    """A rule of the compiled set: when it fails, the error it then adds, its type and field."""
 
+    condition: Condition
+    error: Column
+    rule: tuple[str, str | None]
 
-def _error(field: str | None, names: list[str] | None, rule: str, message: str) -> Column:
-    return F.struct(
+
+def _compiled(condition: Condition, field: str | None, names: list[str] | None, rule: str, message: str) -> Compiled:
+    error = F.struct(
         F.lit(field).cast("string").alias("field"),
         F.lit(",".join(names) if names else None).cast("string").alias("fields"),
         F.lit(rule).alias("rule"),
         F.lit(message).alias("message"),
     )
+    return Compiled(condition, error, (rule, field))
 
 
 def field_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
         name, kind = rule["field"], rule["rule_type"]
-        check = FIELD_CHECKS.get(kind)
-        if check is None:
+        test = FIELD_CHECKS.get(kind)
+        if test is None:
             warnings.warn(f"unknown rule type {kind!r} passes", stacklevel=2)
             continue
         if not fields.knows(name):
             continue
-        condition = both(fields.has(name), check(fields, name, rule))
+        condition = both(fields.has(name), test(fields, name, rule))
         if condition is False:
             continue
         message = rule.get("message", f"{name} failed {kind}")
-        out.append((condition, _error(name, None, kind, message)))
+        out.append(_compiled(condition, name, None, kind, message))
     return out
 
 
 def cross_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
-        check = CROSS_CHECKS.get(rule["rule_type"])
-        condition = check(fields, rule) if check else False
+        test = CROSS_CHECKS.get(rule["rule_type"])
+        condition = test(fields, rule) if test else False
         if condition is False:
             continue
         names = list(rule["fields"])
         if rule["rule_type"] == "dependency":
             names = [rule["condition_field"], rule["required_field"]]
         message = rule.get("message", "Cross-field rule failed")
-        out.append((condition, _error(None, names, rule["rule_type"], message)))
+        out.append(_compiled(condition, None, names, rule["rule_type"], message))
     return out
 
 
 def semantic_errors(fields: Fields, rules: list[dict[str, Any]]) -> list[Compiled]:
     out = []
     for rule in rules:
-        name, check = SEMANTIC_CHECKS.get(rule["rule_type"], (None, None))
-        condition = check(fields, rule) if check else False
+        name, test = SEMANTIC_CHECKS.get(rule["rule_type"], (None, None))
+        condition = test(fields, rule) if test else False
         if condition is False:
             continue
         message = rule.get("message", "Semantic validation failed")
-        out.append((condition, _error(name, None, rule["rule_type"], message)))
+        out.append(_compiled(condition, name, None, rule["rule_type"], message))
     return out
 
 
-def validate(
-    df: DataFrame,
-    rules: dict[str, list[dict[str, Any]]],
-    fields: Fields | None = None,
-) -> DataFrame:
-    """Add ``validation_errors`` and ``status`` (valid iff there is no error).
+@dataclass(frozen=True)
+class Checked:
+    """Rows with their rule outcomes as bit masks, and what each bit stands for."""
 
-    Errors come in rule order: field rules, then cross-field, then semantic ones.
-    Earlier errors of the row are replaced. Filter on data columns before validating:
-    filters put after it are not pushed to the scan.
-    """
+    work: DataFrame
+    columns: list[str]
+    errors: list[Compiled]
+    masks: dict[str, Column]
+    found: Column
+    rules: list[tuple[str, str | None]]  # rule type and field of each error
+
+    def with_masks(self) -> DataFrame:
+        """The data columns and the masks.
+
+        The masks come out of a generator of one row: the optimizer does not copy their
+        conditions into filters on status or errors above, and still takes filters on data
+        columns down to the scan.
+        """
+        masks = F.struct(*[m.alias(n) for n, m in self.masks.items()]) if self.masks else F.struct(F.lit(0).alias("none"))
+        out = self.work.select(*[column(c) for c in self.columns], F.explode(F.array(masks)).alias(FAILED))
+        return out.select(*[column(c) for c in self.columns], *[F.col(f"{FAILED}.{n}").alias(n) for n in self.masks])
+
+
+def check(df: DataFrame, rules: dict[str, list[dict[str, Any]]], fields: Fields | None = None) -> Checked:
+    """Compile a rule set over a frame; nothing is evaluated yet."""
     fields = fields or Fields.flat(df)
     columns = [c for c in df.columns if c not in ("validation_errors", "status")]
     checks = rules.get("field_validation_rules", [])
@@ -396,26 +416,54 @@ def validate(
         numbers={n for r in cross if r["rule_type"] == "formula" for n in r["fields"]},
         amounts={r["field"] for r in checks if r["rule_type"] == "range"},
     )
-    errors = [
-        *field_errors(ready, checks),
-        *cross_errors(ready, cross),
-        *semantic_errors(ready, semantic),
-    ]
+    errors = [*field_errors(ready, checks), *cross_errors(ready, cross), *semantic_errors(ready, semantic)]
     masks, found = _failed(errors)
-    untouched = [column(c) for c in columns]
+    return Checked(work, columns, errors, masks, found, [e.rule for e in errors])
+
+
+def validate(
+    df: DataFrame,
+    rules: dict[str, list[dict[str, Any]]],
+    fields: Fields | None = None,
+) -> DataFrame:
+    """Add ``validation_errors`` and ``status`` (valid iff there is no error).
+
+    Errors come in rule order: field rules, then cross-field, then semantic ones.
+    Earlier errors of the row are replaced.
+    """
+    checked = check(df, rules, fields)
     clean = F.lit(True)
-    for name in masks:
+    for name in checked.masks:
         clean = clean & (F.col(name) == 0)
-    return (
-        work.select(*untouched, *[m.alias(n) for n, m in masks.items()])
-        .select(
-            *untouched,
-            F.when(clean, F.array().cast(NO_ERRORS)).otherwise(found).alias("validation_errors"),
-            F.when(clean, "valid").otherwise("flagged").alias("status"),
-        )
+    return checked.with_masks().select(
+        *[column(c) for c in checked.columns],
+        F.when(clean, F.array().cast(NO_ERRORS)).otherwise(checked.found).alias("validation_errors"),
+        F.when(clean, "valid").otherwise("flagged").alias("status"),
     )
 
 
+def error_counts(
+    df: DataFrame, rules: dict[str, list[dict[str, Any]]], fields: Fields | None = None
+) -> DataFrame:
+    """Rows that fail each rule: (rule, field, errors), counted from the masks in one
+    aggregate without building an error. A rule over several fields has the field null."""
+    checked = check(df, rules, fields)
+    failed = [
+        F.count_if(F.getbit(F.col(name), F.lit(bit)) == 1).alias(f"n{start + bit}")
+        for start, name in zip(range(0, len(checked.errors), MASK_BITS), checked.masks)
+        for bit in range(min(MASK_BITS, len(checked.errors) - start))
+    ]
+    empty = "array<struct<rule: string, field: string, errors: bigint>>"
+    named = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(field).cast("string").alias("field"), F.col(f"n{i}").alias("errors"))
+        for i, (rule, field) in enumerate(checked.rules)
+    ]
+    counted = checked.with_masks().agg(F.lit(1).alias("one"), *failed)
+    return counted.select(F.explode(F.array(*named).cast(empty)).alias("r")).select("r.*").where("errors > 0")
+
+
+FAILED = "__failed"
+
 # rules whose outcomes share one long
 MASK_BITS = 62
 
@@ -429,13 +477,11 @@ def _failed(errors: list[Compiled]) -> tuple[dict[str, Column], Column]:
     masks, arrays = {}, []
     for start in range(0, len(errors), MASK_BITS):
         part, name = errors[start : start + MASK_BITS], f"__failed_{start}"
-        # The partition id adds nothing but keeps the optimizer from copying all conditions
-        # into every filter on status or errors above this projection.
-        mask = F.spark_partition_id().bitwiseAND(F.lit(0)).cast("bigint")
-        for bit, (condition, _) in enumerate(part):
+        mask = F.lit(0).cast("bigint")
+        for bit, (condition, *_) in enumerate(part):
             mask = mask.bitwiseOR(F.when(as_column(condition), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint"))
         masks[name] = mask
-        known = F.array(*[e for _, e in part]).cast(NO_ERRORS)
+        known = F.array(*[e.error for e in part]).cast(NO_ERRORS)
         arrays.append(F.filter(known, _bit_test(name)))
     if not arrays:
         return masks, F.array().cast(NO_ERRORS)

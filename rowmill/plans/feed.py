@@ -15,7 +15,7 @@ from rowmill.functions.text import normalize_boolean, normalize_phone
 from rowmill.operators.mapping import SAMPLE_MAPPING, map_fields, rules_from_dict
 from rowmill.operators.normalize import normalise_rows
 from rowmill.operators.validate import SAMPLE_RULES, validate
-from rowmill.session import spread_small, tune
+from rowmill.session import tune
 
 FEED_MAPPING = {
     **SAMPLE_MAPPING,
@@ -57,10 +57,8 @@ def money(cents: Column, style: Column) -> Column:
 
 def vendor_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as dirty vendor rows with a row identity."""
-    lines = spread_small(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"

@@ -22,7 +22,6 @@ from rowmill.operators.normalize import normalise_map, normalise_rows
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import FEED_SQL, table, vendor_feed
-from rowmill.session import spread_small
 
 # order dates in eleven spellings, by key
 DATE_TEXT_SQL = """
@@ -124,7 +123,7 @@ def amount_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("-."), part))
     )
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_extendedprice")
-    return spread_small(lines).select(*LINE_KEY, text.alias("text"))
+    return lines.select(*LINE_KEY, text.alias("text"))
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]

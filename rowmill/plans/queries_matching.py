@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from rowmill.operators import dedup, matching
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
-from rowmill.plans.feed import table
+from rowmill.plans.feed import FEED_SQL, table, vendor_feed
 from rowmill.records import Fields
 from rowmill.schema import ORDER_FIELDS
-from rowmill.session import spread_small
 
 TEXT_KEY = f"md5({S.strip('lower(text)')})"
 
@@ -85,6 +84,21 @@ def _mark_duplicates_all(spark, sf_dir):
     return _marks(dedup.mark_duplicates(docs, ["text"], "doc_id", keep_first=False))
 
 
+@query(
+    "mark_duplicates_across_files",
+    f"""WITH {FEED_SQL},
+        placed AS (SELECT *, md5(lower(trim("Order_ID", chr(9) || ' ')) || '|' || lower(trim("Qty", ' '))) AS key FROM feed),
+        firsts AS (SELECT key, arg_min(row_id, (file_id, line_number, row_id)) AS first_row, count(*) AS n FROM placed GROUP BY key)
+        SELECT row_id, CASE WHEN n > 1 AND row_id <> first_row THEN 'Duplicate of row ' || first_row END AS message
+        FROM placed JOIN firsts USING (key)""",
+)
+def _mark_duplicates_across_files(spark, sf_dir):
+    rows = vendor_feed(spark, sf_dir).select("file_id", "line_number", "row_id", "Order_ID", "Qty")
+    return dedup.mark_duplicates(rows, ["Order_ID", "Qty"]).select(
+        "row_id", F.get("validation_errors", F.lit(0))["message"].alias("message")
+    )
+
+
 def fuzzy_sql(a: str, b: str, threshold: float) -> str:
     x, y = S.strip(f"lower({a})"), S.strip(f"lower({b})")
     longer = f"greatest(length({x}), length({y}))"
@@ -123,19 +137,6 @@ def _fuzzy_match_words(spark, sf_dir):
     )
 
 
-@query(
-    "fuzzy_duplicates",
-    f"""WITH f AS (SELECT p_brand, min(p_partkey) AS first_position, arg_min(p_name, p_partkey) AS first_value
-                   FROM part GROUP BY p_brand)
-        SELECT p.p_brand, p.p_partkey, f.first_position FROM part p JOIN f ON p.p_brand = f.p_brand
-        WHERE p.p_partkey <> f.first_position AND {fuzzy_sql('p.p_name', 'f.first_value', 0.85)}""",
-)
-def _fuzzy_duplicates(spark, sf_dir):
-    return dedup.fuzzy_duplicates(
-        table(spark, sf_dir, "part"), "p_name", ["p_brand"], "p_partkey"
-    ).select("p_brand", "p_partkey", "first_position")
-
-
 @query(
     "header_similarity",
     """SELECT p_partkey,
@@ -162,7 +163,7 @@ headers AS (
 
 
 def vendor_headers(spark, sf_dir):
-    words = spread_small(table(spark, sf_dir, "documents").select("text")).select(
+    words = table(spark, sf_dir, "documents").select(
         F.explode(F.split("text", r"[^\p{L}\p{N}]+")).alias("header")
     )
     name = F.get(F.array(*[F.lit(c) for c in CANONICAL]), (F.col("doc_id") % len(CANONICAL)).cast("int"))

@@ -8,7 +8,8 @@ from rowmill.operators import report
 from rowmill.operators.mapping import canonical_map
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
-from rowmill.plans.feed import table, validated_feed
+from rowmill.operators.validate import SAMPLE_RULES, error_counts
+from rowmill.plans.feed import mapped_feed, table, validated_feed
 from rowmill.records import Fields
 from rowmill.sinks.frames import csv_frame
 
@@ -30,7 +31,7 @@ def _report_totals(spark, sf_dir):
     f"WITH {S.CHECKED_SQL} SELECT rule, count(*) AS errors FROM exploded GROUP BY rule ORDER BY errors DESC, rule LIMIT 5",
 )
 def _errors_by_rule(spark, sf_dir):
-    return report.errors_by_rule(validated_feed(spark, sf_dir))
+    return report.top_rules(error_counts(mapped_feed(spark, sf_dir), SAMPLE_RULES))
 
 
 @query(
@@ -38,7 +39,7 @@ def _errors_by_rule(spark, sf_dir):
     f"WITH {S.CHECKED_SQL} SELECT coalesce(field, 'unknown') AS field, count(*) AS errors FROM exploded GROUP BY 1",
 )
 def _errors_by_field(spark, sf_dir):
-    return report.errors_by_field(validated_feed(spark, sf_dir))
+    return report.per_field(error_counts(mapped_feed(spark, sf_dir), SAMPLE_RULES))
 
 
 @query(
@@ -121,8 +122,7 @@ def _flagged_details(spark, sf_dir):
 
 @query(
     "review_rows",
-    f"""WITH {S.CHECKED_SQL}, page AS (SELECT * FROM validated WHERE status = 'flagged'
-          ORDER BY file_id, line_number, row_id LIMIT 10000),
+    f"""WITH {S.CHECKED_SQL}, page AS (SELECT * FROM validated WHERE status = 'flagged'),
         e AS (SELECT row_id, line_number, order_id, unnest(errors, recursive := true) FROM page)
         SELECT row_id, line_number, coalesce(field, '') AS field, rule, message, order_id FROM e""",
 )

@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")  # small tables join as large ones do
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
@@ -36,24 +37,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal a table smaller than one input split over all cores.
-
-    Larger tables, which have splits of their own, are left alone: no shuffle for them.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if size >= split:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a test on one machine) a temporary folder
-    is made and used for the rest of the session.
+    Only where that setting is absent on a local master (a test on one machine) a
+    temporary folder is made and used for the rest of the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -61,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = getattr(context, "_rowmill_dir", None)
     if fallback is None:
         fallback = tempfile.mkdtemp(prefix="rowmill-")

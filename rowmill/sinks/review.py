@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from rowmill.operators import report
 
-# Fixed value: most rows in one review file.
-REVIEW_ROWS = 10_000
-
-
 def write_error_list(df: DataFrame, path: str) -> None:
     """CSV with one line per error: row_id, line_number, field, rule, message."""
     report.error_rows(df).write.option("header", True).mode("overwrite").csv(path)
 
 
-def review_frame(df: DataFrame, limit: int = REVIEW_ROWS) -> DataFrame:
-    """Errors with canonical data of at most ``limit`` flagged rows (not errors)."""
-    page = (
-        df.where(report.is_status("flagged"))
-        .orderBy("file_id", "line_number", "row_id")
-        .limit(limit)
-    )
-    return report.error_rows(page, with_canonical=True).select(
+def review_frame(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Errors with canonical data of all flagged rows, or of the first ``limit`` of them
+    (rows, not errors) by file and line, where a caller asks for a page."""
+    flagged = df.where(report.is_status("flagged"))
+    if limit is not None:
+        flagged = flagged.orderBy("file_id", "line_number", "row_id").limit(limit)
+    return report.error_rows(flagged, with_canonical=True).select(
         "row_id",
         "line_number",
         F.col("field").alias("error_field"),
@@ -33,7 +28,7 @@ def review_frame(df: DataFrame, limit: int = REVIEW_ROWS) -> DataFrame:
     )
 
 
-def write_review_csv(df: DataFrame, path: str, limit: int = REVIEW_ROWS) -> None:
+def write_review_csv(df: DataFrame, path: str, limit: int | None = None) -> None:
     review_frame(df, limit).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from rowmill.operators import dedup, matching
 from rowmill.operators.mapping import MappingRule, map_fields, rules_from_dict, unmapped_fields
-from rowmill.operators.validate import SAMPLE_RULES, validate
+from rowmill.operators.report import stored_counts, summary_record
+from rowmill.operators.validate import SAMPLE_RULES, error_counts, validate
 from rowmill.records import Fields
 
 
@@ -90,6 +91,27 @@ def test_filter_after_validation_keeps_the_plan_small(spark):
     assert flagged.count() > 0
 
 
+def test_filters_on_data_reach_the_scan(spark, tmp_path):
+    spark.range(10).selectExpr("id AS order_id", "'pending' AS order_status").write.parquet(f"{tmp_path}/rows")
+    checked = validate(spark.read.parquet(f"{tmp_path}/rows"), SAMPLE_RULES).where("order_id = 3 AND status = 'valid'")
+    assert "EqualTo(order_id,3)" in checked._jdf.queryExecution().executedPlan().toString()
+    assert checked.count() == 1
+
+
+def test_error_counts_as_stored(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else "x", "nope" if i % 2 else "USD") for i in range(12)], "i int, order_id string, currency string")
+    key = lambda r: (r.rule, r.field or "")
+    assert sorted(error_counts(df, SAMPLE_RULES).collect(), key=key) == sorted(stored_counts(validate(df, SAMPLE_RULES)).collect(), key=key)
+    assert summary_record(validate(df.where("false"), SAMPLE_RULES), "b").first().summary.total_rows == 0
+
+
+def test_duplicates_across_files(spark):
+    rows = [("a.csv", 1, "r1", "x"), ("b.csv", 1, "r2", "x"), ("a.csv", 10, "a_10", "y"), ("a.csv", 2, "a_2", "y"), ("b.csv", 3, "r5", "z")]
+    df = spark.createDataFrame(rows, "file_id string, line_number long, row_id string, v string")
+    marked = {r.row_id: [e.message for e in r.validation_errors] for r in dedup.mark_duplicates(df, ["v"]).collect()}
+    assert marked == {"r1": [], "r2": ["Duplicate of row r1"], "a_10": ["Duplicate of row a_2"], "a_2": [], "r5": []}
+
+
 def test_mapping_priority_and_presence(spark):
     df = spark.createDataFrame([("x1", None), ("y", "b")], "a string, b string")
     both = [MappingRule("a", "t", priority=1), MappingRule("b", "t", priority=9)]
