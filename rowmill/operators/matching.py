@@ -133,4 +133,5 @@ def propose_mapping(headers: DataFrame, canonical: list[str], header: str = "hea
         _hit(F.col("__loose"), NORMALISED_CONFIDENCE, "Normalized match"),
         _hit(F.col("__best.canonical_field"), -F.col("__best.cost"), "Suggested"),
     )
-    return asked.select(header, hit.alias("hit")).where("hit IS NOT NULL").select(header, "hit.*")
+    # a filter on the hit would be taken below and score every header again
+    return asked.select(header, F.explode(F.array_compact(F.array(hit))).alias("hit")).select(header, "hit.*")
