@@ -96,7 +96,9 @@ class Ledger:
         """All records of a table; empty before the first append."""
         try:
             return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], SCHEMAS[table])
 
     def append(self, table: str, df: DataFrame, partition: str | None = None) -> None:

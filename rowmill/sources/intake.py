@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.sources import scan
-from rowmill.sources.listing import xml_row_elements
+from rowmill.sources.listing import literal_path, one_per_content, xml_row_elements
 
 SUPPORTED = ("csv", "tsv", "json", "jsonl", "xml")
 ROWS = (
@@ -28,33 +28,28 @@ def unsupported_files(files: DataFrame) -> DataFrame:
 def read_rows(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Rows of all supported files: one scan per (format, encoding, layout).
 
-    Only file metadata reaches the driver, as it must to plan the scans.
+    Only file metadata reaches the driver, as it must to plan the scans. An XML document
+    whose tags do not close and a JSON array that does not parse give no rows;
+    ``listing.broken_files`` names them.
     """
-    usable = files.where(F.col("format").isin(*SUPPORTED))
-    # the same bytes under two names are one file
-    one_per_content = usable.groupBy("file_id").agg(
-        F.min(F.struct("path", "source_path", "filename")).alias("f"),
-        *[F.first(c).alias(c) for c in ("format", "encoding", "json_lines", "header", "quoted_newlines")],
-    )
-    known = one_per_content.select(
-        "file_id", "f.path", "f.source_path", F.col("f.filename").alias("source_name"),
-        "format", "encoding", "json_lines", "header", "quoted_newlines",
-    )
+    usable = one_per_content(files.where(F.col("format").isin(*SUPPORTED)))
+    known = usable.withColumnRenamed("filename", "source_name")
     layouts: dict[tuple, list[str]] = defaultdict(list)
     xml_paths = []
     for r in known.toLocalIterator():
         if r.format in ("csv", "tsv"):
             if r.header is not None:
                 key = ("delimited", r.format, r.encoding, r.header, r.quoted_newlines)
-                layouts[key].append(r.path)
+                layouts[key].append(literal_path(r.path))
         elif r.format == "xml":
-            xml_paths.append((r.source_path, r.path))
+            xml_paths.append((r.source_path, literal_path(r.path)))
         else:
-            layouts[("lines" if r.json_lines else "array",)].append(r.path)
+            layouts[("lines" if r.json_lines else "array",)].append(literal_path(r.path))
     if xml_paths:
         tags = {t.source_path: t.row_tag for t in xml_row_elements(spark, [p for _, p in xml_paths]).collect()}
         for source_path, path in xml_paths:
-            layouts[("xml", tags.get(source_path, "row"))].append(path)
+            if source_path in tags:
+                layouts[("xml", tags[source_path])].append(path)
 
     identity = known.select("source_path", "file_id", "source_name")
     parts = []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Formats by extension and by first bytes.
@@ -19,12 +21,12 @@ EXTENSIONS = {
     "txt": "txt",
 }
 MAGIC = {
-    "504B0304": "xlsx",
-    "25504446": "pdf",
-    "3C3F786D6C": "xml",
-    "3C3F584D4C": "xml",
-    "5B": "json",
-    "7B": "json",
+    b"PK\x03\x04": "xlsx",
+    b"%PDF": "pdf",
+    b"<?xml": "xml",
+    b"<?XML": "xml",
+    b"[": "json",
+    b"{": "json",
 }
 
 
@@ -38,9 +40,8 @@ def detect_format(path: Column, content: Column) -> Column:
     out = None
     for suffix, fmt in EXTENSIONS.items():
         out = F.when(ext == suffix, fmt) if out is None else out.when(ext == suffix, fmt)
-    head = F.hex(F.substring(content, 1, 10))
     for magic, fmt in MAGIC.items():
-        out = out.when(F.startswith(head, F.lit(magic)), fmt)
+        out = out.when(F.substring(content, 1, len(magic)) == F.lit(bytearray(magic)), fmt)
     line = first_line(content)
     return (
         out.when(F.contains(line, F.lit("\t")), "tsv")
@@ -100,18 +101,64 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def one_per_content(files: DataFrame) -> DataFrame:
+    """The same bytes under several names are one file: the one of the least path."""
+    first = ["path", *[c for c in files.columns if c not in ("path", "file_id")]]
+    return files.groupBy("file_id").agg(F.min(F.struct(*first)).alias("f")).select("file_id", "f.*").select(*files.columns)
+
+
+def literal_path(path: str) -> str:
+    """A path that is read as it is, although a pattern could be meant by it."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+# A tag with its attributes; quoted values may hold a closing bracket.
+XML_TAG = r"""<(?:/?)[^\s<>/!?][^\s<>/]*(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?/?>"""
+XML_ASIDE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>"
+
+
 def xml_row_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``source_path, row_tag``: the most frequent child of each root, ties by name."""
+    """``source_path, row_tag``: the most frequent child of each root, ties by name.
+
+    Tags are counted by their depth. A document whose tags do not close, or without any,
+    has no row here.
+    """
     whole = spark.read.text(paths, wholetext=True)
-    root = F.expr("from_xml(value, 'variant', map('attributePrefix', '@'))")
-    children = whole.select(
+    tags = whole.select(
         F.col("_metadata.file_path").alias("source_path"),
-        F.explode(F.map_entries(root.cast("map<string,variant>"))).alias("e"),
-    ).where(~F.startswith(F.col("e.key"), F.lit("@")) & (F.col("e.key") != "_VALUE"))
-    kind = F.schema_of_variant(F.col("e.value"))
-    n = F.when(
-        F.startswith(kind, F.lit("ARRAY")), F.size(F.col("e.value").cast("array<variant>"))
-    ).otherwise(1)
-    return children.groupBy("source_path").agg(
-        F.min(F.struct((-n).alias("n"), F.col("e.key").alias("tag")))["tag"].alias("row_tag")
+        F.posexplode(F.regexp_extract_all(F.regexp_replace("value", XML_ASIDE, ""), F.lit(XML_TAG), F.lit(0))).alias("at", "tag"),
     )
+    closing, single = F.startswith("tag", F.lit("</")), F.endswith("tag", F.lit("/>"))
+    step = F.when(closing, -1).when(single, 0).otherwise(1)
+    before = Window.partitionBy("source_path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = tags.select(
+        "source_path", step.alias("step"), F.coalesce(F.sum(step).over(before), F.lit(0)).alias("depth"),
+        F.when(~closing, F.regexp_extract("tag", r"<([^\s/>]+)", 1)).alias("name"),
+    )
+    counted = placed.groupBy("source_path", F.when(F.col("depth") == 1, F.col("name")).alias("name")).agg(
+        F.count("*").alias("n"), F.sum("step").alias("step"), F.min("depth").alias("low")
+    )
+    best = F.min(F.when(F.col("name").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("name").alias("tag"))))
+    return (
+        counted.groupBy("source_path")
+        .agg(best["tag"].alias("row_tag"), F.sum("step").alias("open"), F.min("low").alias("low"))
+        .where("open = 0 AND low >= 0")
+        .select("source_path", F.coalesce("row_tag", F.lit("row")).alias("row_tag"))
+    )
+
+
+def broken_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``file_id, error_message`` of JSON arrays and XML documents that cannot be parsed."""
+    asked = files.where("format = 'xml' OR format IN ('json', 'jsonl') AND NOT json_lines").select("file_id", "path", "source_path", "format")
+    paths: dict[str, list[str]] = {"xml": [], "json": []}
+    for r in asked.toLocalIterator():  # file metadata, as for planning the scans
+        paths["xml" if r.format == "xml" else "json"].append(literal_path(r.path))
+    kept = spark.createDataFrame([], "source_path string")
+    if paths["xml"]:
+        kept = kept.union(xml_row_elements(spark, paths["xml"]).select("source_path"))
+    if paths["json"]:
+        whole = spark.read.text(paths["json"], wholetext=True)
+        parses = F.from_json("value", "array<string>", {"allowSingleQuotes": "false"}).isNotNull()
+        kept = kept.union(whole.where(parses).select(F.col("_metadata.file_path").alias("source_path")))
+    reason = F.concat(F.lit("Cannot be parsed as "), F.when(F.col("format") == "xml", "XML").otherwise("a JSON array"))
+    return asked.join(kept, "source_path", "left_anti").select("file_id", reason.alias("error_message"))

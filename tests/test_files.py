@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowmill.operators.ledger import Ledger
 from rowmill.operators.mapping import MappingRule
-from rowmill.plans.batch import run_batch
+from rowmill.plans.batch import refine_stored, run_batch
 from rowmill.sinks import writers
 from rowmill.sources import scan
 from rowmill.sources.intake import read_rows
@@ -120,3 +120,50 @@ def test_batch_review_and_rerun(spark, tmp_path):
     assert again["total_rows"] == 0
     forced = run_batch(*args, force=True)
     assert forced["total_rows"] == 2 and ledger.rows().count() == 2
+
+
+def test_bad_files_are_recorded_and_the_rest_goes_on(spark, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "good.csv", "Order_ID\n1\n2\n")
+    put(folder, "orders[1]{a}*.csv", "Order_ID\n3\n")
+    put(folder, "bad.json", '[{"Order_ID": 1}, {')
+    put(folder, "good.json", '[{"Order_ID": 4}]')
+    put(folder, "cut.xml", "<r><row><Order_ID>5</Order_ID></row><row>")
+    put(folder, "good.xml", '<?xml version="1.0"?><!-- <x> --><r a="1>0"><row><Order_ID>6</Order_ID></row><row/></r>')
+    put(folder, "words.jsonl", '{"no\nobjects\n')
+    put(folder, "same.csv", "Order_ID\n1\n2\n")
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    rules = {"field_validation_rules": [{"field": "order_id", "rule_type": "required"}]}
+    args = (spark, str(folder), ledger, str(tmp_path / "out"), [MappingRule("Order_ID", "order_id")], rules)
+    done = run_batch(*args, batch_id="b1")
+    files = {r.filename: (r.status, r.row_count, r.error_message) for r in ledger.files().collect()}
+    assert files == {
+        "good.csv": ("success", 2, None),
+        "orders[1]{a}*.csv": ("success", 1, None),
+        "bad.json": ("failed", 0, "Cannot be parsed as a JSON array"),
+        "good.json": ("success", 1, None),
+        "cut.xml": ("failed", 0, "Cannot be parsed as XML"),
+        "good.xml": ("success", files["good.xml"][1], None),
+        "words.jsonl": ("failed", 0, "No line could be read"),
+    }
+    assert done["status"] == "partial_success" and len(done["errors"]) == 3
+    assert [r.status for r in ledger.read("batches").orderBy("recorded_at").collect()] == ["running", "partial_success"]
+    assert ledger.batch("b1").first().total_rows == done["total_rows"] == sum(n for _, n, _ in files.values())
+
+    good = ledger.files().where("filename = 'good.csv'").first().file_id
+    again = refine_stored(ledger, good, [MappingRule("Order_ID", "code")], {}).collect()
+    assert [(r.line_number, r.code) for r in again] == [(1, "1"), (2, "2")]
+
+
+def test_a_broken_run_is_recorded(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "x\n1\n")
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+
+    def fails(rows):
+        raise RuntimeError("no normaliser today")
+
+    with pytest.raises(RuntimeError):
+        run_batch(spark, str(tmp_path / "in"), ledger, str(tmp_path / "out"), [], {}, batch_id="b", normalise=fails)
+    last = ledger.batch("b").first()
+    assert last.status == "failed" and last.errors == ["no normaliser today"]
+    assert ledger.files().count() == 0
