@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from rowmill.operators.ledger import Ledger
 from rowmill.operators.mapping import MappingRule
-from rowmill.plans.batch import run_batch
+from rowmill.plans import sql as S
+from rowmill.plans.batch import refine_stored, run_batch
 from rowmill.plans.catalog import query
-from rowmill.plans.feed import table
+from rowmill.plans.feed import table, validated_feed
+from rowmill.schema import CanonicalSchema, normalise_by_schema
 from rowmill.session import scratch_path
-from rowmill.sinks import writers
+from rowmill.sinks import review, writers
 from rowmill.sources import scan
 from rowmill.sources.intake import read_rows
 from rowmill.sources.listing import list_files
@@ -195,3 +197,85 @@ def _whole_batch_run(spark, sf_dir):
         F.coalesce(F.sum("valid_rows"), F.lit(0)).alias("valid_rows"),
     )
     return first.union(second)
+
+
+@query(
+    "error_list_file",
+    f"WITH {S.CHECKED_SQL} SELECT row_id, line_number, coalesce(field, '') AS field, rule, message FROM exploded",
+)
+def _error_list_file(spark, sf_dir):
+    path = scratch_path(spark, "errors")
+    review.write_error_list(validated_feed(spark, sf_dir), path)
+    names = "row_id string, line_number bigint, field string, rule string, message string"
+    return spark.read.option("header", True).schema(names).csv(path).fillna("", ["field"])
+
+
+@query(
+    "review_file",
+    f"""WITH {S.CHECKED_SQL} SELECT row_id, line_number, rule AS error_rule, order_id
+        FROM (SELECT row_id, line_number, order_id, unnest(errors, recursive := true) FROM validated WHERE status = 'flagged')""",
+)
+def _review_file(spark, sf_dir):
+    path = scratch_path(spark, "review")
+    review.write_review_csv(validated_feed(spark, sf_dir), path)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    return back.select(
+        "row_id",
+        F.col("line_number").cast("bigint").alias("line_number"),
+        "error_rule",
+        F.get_json_object("canonical_data", "$.order_id").alias("order_id"),
+    )
+
+
+_TOTALS_SQL = f"""WITH {S.CHECKED_SQL} SELECT count(*) AS total_rows, count(*) FILTER (status = 'valid') AS valid_rows,
+    count(*) FILTER (status = 'flagged') AS flagged_rows FROM validated"""
+_TOTALS = "struct<total_rows: bigint, valid_rows: bigint, flagged_rows: bigint>"
+
+
+@query("validation_json_file", _TOTALS_SQL)
+def _validation_json_file(spark, sf_dir):
+    """Totals as the summary file has them, flagged rows as the details file has them."""
+    path = scratch_path(spark, "validation")
+    review.write_validation_json(validated_feed(spark, sf_dir), path, "batch")
+    summary = spark.read.schema(f"summary {_TOTALS}").json(f"{path}/summary").select("summary.total_rows", "summary.valid_rows")
+    details = spark.read.schema("row_id string").json(f"{path}/flagged_details").agg(F.count("row_id").alias("flagged_rows"))
+    return summary.join(details)
+
+
+@query("batch_report_files", _TOTALS_SQL)
+def _batch_report_files(spark, sf_dir):
+    """Totals as the manifest of a batch report has them."""
+    paths = review.write_batch_report(validated_feed(spark, sf_dir), scratch_path(spark, "report"), "batch")
+    return spark.read.schema(f"statistics {_TOTALS}").json(paths["manifest"]).select("statistics.*")
+
+
+@query(
+    "typed_batch",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders",
+)
+def _typed_batch(spark, sf_dir):
+    """Rows of a batch whose canonical values are brought to the form of their declared types."""
+    path = scratch_path(spark, "typed")
+    table(spark, sf_dir, "orders").select(
+        F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("nr"), F.date_format("o_orderdate", "dd.MM.yyyy").alias("day")
+    ).write.json(f"{path}/in")
+    state = Ledger(spark, f"{path}/ledger")
+    mapping = [MappingRule("nr", "order_id"), MappingRule("day", "order_date")]
+    schema = CanonicalSchema({"order_id": {"type": "string"}, "order_date": {"type": "date"}})
+    run_batch(spark, f"{path}/in", state, f"{path}/out", mapping, {}, typing=lambda df: normalise_by_schema(df, schema))
+    return _fields(state.rows(), ["order_id", "order_date"], "canonical")
+
+
+@query(
+    "remap_stored_file",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS priority, CASE WHEN o_orderstatus = 'F' THEN 'valid' ELSE 'flagged' END AS status FROM orders",
+)
+def _remap_stored_file(spark, sf_dir):
+    """One stored file under another mapping and other rules than it came in with."""
+    path = scratch_path(spark, "remap")
+    _orders(spark, sf_dir).coalesce(1).write.json(f"{path}/in")
+    state = Ledger(spark, f"{path}/ledger")
+    run_batch(spark, f"{path}/in", state, f"{path}/out", [MappingRule("o_orderkey", "order_id")], {})
+    mapping = [MappingRule("o_orderkey", "key"), MappingRule("o_orderpriority", "priority"), MappingRule("o_orderstatus", "code")]
+    rules = {"field_validation_rules": [{"field": "code", "rule_type": "enum", "values": ["F"]}]}
+    return refine_stored(state, state.files().first().file_id, mapping, rules).select("key", "priority", "status")

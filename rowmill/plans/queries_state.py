@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.operators import ledger
@@ -151,3 +154,48 @@ def _stream_intake(spark, sf_dir):
         f"{out}/checkpoint",
     ).awaitTermination()
     return spark.read.parquet(f"{out}/rows").select("event_id", "event_type", "status")
+
+
+@query(
+    "ledger_lookups",
+    """WITH r AS (SELECT 'r' || o_orderkey AS row_id, 'f' || (o_custkey % 20) AS file_id, o_custkey % 20 AS k, o_orderstatus FROM orders)
+       SELECT DISTINCT 'failed file' AS what, file_id AS id FROM r WHERE k % 3 = 0
+       UNION ALL SELECT 'row of f4', row_id FROM r WHERE file_id = 'f4'
+       UNION ALL SELECT 'row r1', row_id FROM r WHERE row_id = 'r1' AND k % 3 <> 0
+       UNION ALL SELECT 'batch', 'running then success'
+       UNION ALL SELECT 'approved', row_id FROM r WHERE k % 3 <> 0 AND o_orderstatus = 'P'""",
+)
+def _ledger_lookups(spark, sf_dir):
+    """Orders as the rows of twenty files: looked up by status, file, row, batch and decision."""
+    state = ledger.Ledger(spark, scratch_path(spark, "lookups"))
+    k = F.col("o_custkey") % 20
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", k.cast("string").alias("k"))
+    file_id = F.concat(F.lit("f"), "k").alias("file_id")
+
+    def filled(df, schema):
+        """The columns of a ledger table, null where there is nothing."""
+        kinds = spark.createDataFrame([], schema).dtypes
+        return df.select(*[F.col(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in kinds])
+
+    now = F.current_timestamp()
+    rows = orders.select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("row_id"), file_id,
+        F.col("o_orderkey").alias("line_number"), F.lit("flagged").alias("status"), F.lit("b1").alias("batch_id"), "o_orderstatus",
+    )
+    state.append("rows", filled(rows.drop("o_orderstatus"), ledger.ROWS), "batch_id")
+    status = F.when(F.col("k").cast("int") % 3 == 0, "failed").otherwise("success").alias("status")
+    state.append("files", filled(orders.select(file_id, status, F.lit("b1").alias("batch_id"), now.alias("recorded_at")).distinct(), ledger.FILES))
+    for at, mark in enumerate(("running", "success")):
+        record = spark.range(1).select(
+            F.lit("b1").alias("batch_id"), F.lit(mark).alias("status"), F.timestamp_seconds(F.lit(at)).alias("recorded_at")
+        )
+        state.append("batches", filled(record, ledger.BATCHES))
+    state.approve_rows(rows.where("o_orderstatus = 'P'").select("row_id"), "ann")
+    found = [
+        state.files_by_status("failed").select(F.lit("failed file").alias("what"), F.col("file_id").alias("id")),
+        state.rows_by_file("f4").select(F.lit("row of f4"), "row_id"),
+        state.row("r1").select(F.lit("row r1"), "row_id"),
+        state.batch("b1").select(F.lit("batch"), F.concat(F.lit("running then "), "status")),
+        state.reviewed_rows().where("effective_status = 'approved'").select(F.lit("approved"), "row_id"),
+    ]
+    return reduce(DataFrame.union, found)
