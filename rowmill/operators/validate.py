@@ -18,7 +18,7 @@ from rowmill.functions.dates import is_iso_moment, iso_hour
 from rowmill.functions.numbers import decimal_exact, is_decimal_text, is_integer_text
 from rowmill.functions.text import strip
 from rowmill.operators.formula import Value, compile_formula
-from rowmill.records import NO_ERRORS, Fields, as_column, both, column, helper
+from rowmill.records import NO_ERRORS, Fields, as_column, both, column
 
 # The sample vendor's rules.
 SAMPLE_RULES: dict[str, list[dict[str, Any]]] = {

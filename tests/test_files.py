@@ -9,7 +9,6 @@ from rowmill.operators.ledger import Ledger
 from rowmill.operators.mapping import MappingRule
 from rowmill.plans.batch import refine_stored, run_batch
 from rowmill.sinks import writers
-from rowmill.sources import scan
 from rowmill.sources.intake import read_rows
 from rowmill.sources.listing import list_files
 
