@@ -198,11 +198,30 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) ->
     return own
 
 
+def _frequent(vocab: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, ``most`` of them or somewhat fewer.
+
+    A histogram of counts on a log scale, of some thousand bars whatever the corpus, tells
+    from which count on they fit, so nothing is sorted and no task or driver gets more.
+    """
+    bar = F.floor(F.log2("n") * 64)
+    least = None
+    room = most
+    for row in sorted(vocab.groupBy(bar.alias("bar")).count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["bar"]
+    return vocab.where(F.lit(False) if least is None else bar >= least)
+
+
 def fit(train: DataFrame, vocab: DataFrame) -> Model:
     """The model of the rows of (text), whose (word, n) counts are given."""
     sizes = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = vocab.where(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(LISTED).toPandas()
-    words, counts = [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)
+    top = _frequent(vocab.where(F.length("word") > 0), LISTED).toPandas()
+    top["word"] = top["word"].map(bytes)
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    words, counts = top["word"].tolist(), top["n"].to_numpy(np.int64)
     clustered = min(CLUSTERED, len(words))
     units = clustered + SHAPES + 1
     pairs = _pairs(train, _Numbers(words[:clustered], clustered), units)
