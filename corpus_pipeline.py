@@ -62,8 +62,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to exactly the text."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     others = F.struct(_others(docs).alias("others"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
-    coded = tokens.encode(docs.select(others.alias("row"), "text"), "row", "text", ranks, public_tokenizers.PATTERN)
-    back = tokens.decode(coded, "id", "ids", ranks)
+    back = tokens.round_trip(docs.select(others.alias("row"), "text"), "row", "text", ranks, public_tokenizers.PATTERN)
     return back.select(
         "id.others.*", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.sha2("decoded", 256) == F.col("id.sha")).alias("exact")
     )

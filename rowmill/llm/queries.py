@@ -31,8 +31,7 @@ def query(name: str, sql: str | None = None):
 @query("op3_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text", ranks, public_tokenizers.PATTERN)
-    back = tokens.decode(coded, "id", "ids", ranks)
+    back = tokens.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", ranks, public_tokenizers.PATTERN)
     return back.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

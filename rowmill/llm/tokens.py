@@ -25,6 +25,7 @@ from rowmill.llm.arrays import pieces
 
 MEMO_PIECES = 250_000
 MEMO_BYTES = 48
+DECODED_IDS = 4_000_000
 
 
 class Memo(dict):
@@ -159,6 +160,51 @@ def count_piece(piece: bytes, merges: dict[tuple[bytes, bytes], int]) -> int:
     return left
 
 
+def _encoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int], pattern: str) -> Iterator[pa.RecordBatch]:
+    """(id, ids) batches of (id, text) ones."""
+    find = regex.compile(pattern).findall
+    memo = Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes())
+    get = memo.__getitem__
+    for part in pieces(batches, "text"):
+        packed = [b"".join(map(get, find(t))) if t else b"" for t in part.column("text").to_pylist()]
+        ends = np.cumsum([0, *map(len, packed)]) // 4
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        yield pa.RecordBatch.from_arrays([part.column("id"), ids], ["id", "ids"])
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """(id, ids, decoded) batches of (id, ids) ones."""
+    table = np.full(max(ranks.values(), default=-1) + 1, None, object)
+    for token, rank in ranks.items():
+        table[rank] = token
+    vocabulary = pa.array(table, pa.large_binary())
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:  # some million ids at a time, one row at least
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + DECODED_IDS, "right")))
+            rows = batch.slice(start, stop - start)
+            taken = vocabulary.take(rows.column("ids").flatten())
+            offsets = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)
+            edges = offsets[np.concatenate([[0], ends[start:stop] - done])]
+            decoded = pa.Array.from_buffers(
+                pa.binary(), stop - start, [None, pa.py_buffer((edges - edges[0]).astype(np.int32)), taken.buffers()[2] or pa.py_buffer(b"")]
+            )
+            yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("ids"), decoded], ["id", "ids", "decoded"])
+            start = stop
+
+
+def _schema(source: DataFrame, *fields: T.StructField) -> T.StructType:
+    return T.StructType([source.schema["id"], *fields])
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_DECODED = T.StructField("decoded", T.BinaryType())
+
+
 def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
     """(id, ids): the token ids of every text, in row order, one row for each input row.
 
@@ -166,42 +212,25 @@ def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern:
     text. A null text has no ids; null and repeated ids are kept as they are; other
     columns are left out whatever their names. Any text length is taken whole.
     """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(ranks_path)
-        find = regex.compile(pattern).findall
-        memo = Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes())
-        get = memo.__getitem__
-        for part in pieces(batches, "text"):
-            packed = [b"".join(map(get, find(t))) if t else b"" for t in part.column("text").to_pylist()]
-            ends = np.cumsum([0, *map(len, packed)]) // 4
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(packed))])
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([part.column("id"), ids], ["id", "ids"])
-
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("id", source.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lambda batches: _encoded(batches, read_ranks(ranks_path), pattern), _schema(source, _IDS))
 
 
 def decode(df: DataFrame, id_col: str, ids_col: str, ranks_path: str) -> DataFrame:
     """(id, ids, decoded): the bytes that the ids stand for. Null ids decode to no bytes."""
+    source = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return source.mapInArrow(lambda batches: _decoded(batches, read_ranks(ranks_path)), _schema(source, _IDS, _DECODED))
+
+
+def round_trip(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
+    """(id, ids, decoded): ``encode`` and then ``decode`` in one pass over the rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(ranks_path)
-        table = np.full(max(ranks.values(), default=-1) + 1, None, object)
-        for token, rank in ranks.items():
-            table[rank] = token
-        for batch in batches:
-            lists = batch.column("ids")
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)]))
-            decoded = [b"".join(table[flat[a:b]].tolist()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists, pa.array(decoded, pa.binary())], ["id", "ids", "decoded"])
+        yield from _decoded(_encoded(batches, ranks, pattern), ranks)
 
-    source = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    schema = T.StructType([*source.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return source.mapInArrow(run, schema)
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return source.mapInArrow(run, _schema(source, _IDS, _DECODED))
 
 
 def count_tokens(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, pattern: str) -> DataFrame:

@@ -28,6 +28,8 @@ def frame(spark, rows, extra=", ids string, n_tokens int"):
 def test_encode_and_decode_as_the_library(spark):
     df = frame(spark, [*enumerate(TEXTS), (None, "no id"), (1, "")])
     rows = tokens.decode(tokens.encode(df, "doc_id", "text", RANKS_PATH, P.PATTERN), "id", "ids", RANKS_PATH).collect()
+    at_once = tokens.round_trip(df, "doc_id", "text", RANKS_PATH, P.PATTERN).collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, rows))
     got = sorted((-1 if r.id is None else r.id, r.ids, bytes(r.decoded)) for r in rows)
     want = [(-1, "no id"), (1, ""), *enumerate(t or "" for t in TEXTS)]
     assert got == sorted((i, LIBRARY.encode_ordinary(t), t.encode()) for i, t in want)
