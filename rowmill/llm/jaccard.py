@@ -35,6 +35,8 @@ CHILDREN = 2
 DEPTH = 4
 LIMIT = 256
 BLOCK = 256
+#: Of rows to compare, so many bytes are taken at a time, and the rest of their last group.
+GROUP_BYTES = 8 << 20
 #: A bucket that keeps more than this share of the one it was split from holds texts that
 #: are alike all over; splitting it further would only repeat it.
 ALIKE = 0.5
@@ -162,8 +164,9 @@ def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
     rest: list[pd.DataFrame] = []
     key = ["leaf", "i", "j"]
     for batch in batches:
-        for start in range(0, batch.num_rows, 2048):
-            rows = batch.slice(start, 2048).to_pandas()
+        step = max(1, min(2048, GROUP_BYTES * batch.num_rows // max(batch.nbytes, 1)))
+        for start in range(0, batch.num_rows, step):
+            rows = batch.slice(start, step).to_pandas()
             rest.append(rows)
             same = (rows[key] == rows[key].iloc[-1]).all(axis=1).to_numpy()
             if same.all():
@@ -179,7 +182,8 @@ def _common(lists: list[np.ndarray], a: np.ndarray, b: np.ndarray, group: np.nda
     """How many values lists a and b have in common (each list sorted, without repeats).
 
     Groups of few pairs are merged pair by pair; in larger ones the values become columns
-    of a bit matrix, some thousand at a time.
+    of a bit matrix, some thousand at a time. Long lists are taken in ranges of values, so
+    that about a million values are held at once.
     """
     out = np.zeros(len(a), np.int64)
     of = group[a]
@@ -191,25 +195,44 @@ def _common(lists: list[np.ndarray], a: np.ndarray, b: np.ndarray, group: np.nda
             continue
         rows = np.unique(np.concatenate([a[start:stop], b[start:stop]]))
         left, right = np.searchsorted(rows, a[start:stop]), np.searchsorted(rows, b[start:stop])
-        row = np.repeat(np.arange(len(rows)), [len(lists[r]) for r in rows])
-        _, column, times = np.unique(np.concatenate([lists[r] for r in rows]), return_inverse=True, return_counts=True)
-        shared = times > 1
-        place = np.cumsum(shared) - 1
-        keep = shared[column]
-        row, column = row[keep], place[column[keep]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        for first in range(0, int(shared.sum()), 8192):
-            lo, hi = np.searchsorted(column, [first, first + 8192])
-            bits = np.zeros((len(rows), 8192), bool)
-            bits[row[lo:hi], column[lo:hi] - first] = True
-            packed = np.packbits(bits, axis=1).view(np.uint64)
-            for k in range(0, stop - start, 4096):
-                both = packed[left[k : k + 4096]] & packed[right[k : k + 4096]]
-                out[start + k : start + k + len(both)] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        own = [lists[r] for r in rows]
+        for some in _ranges(own, 1 << 20):
+            _add_common(some, left, right, out[start:stop])
     return out
 
 
+def _ranges(lists: list[np.ndarray], values: int) -> Iterator[list[np.ndarray]]:
+    """The lists cut at the same values into parts of about so many values in all."""
+    total = sum(map(len, lists))
+    if total <= values:
+        yield lists
+        return
+    longest = max(lists, key=len)
+    cuts = longest[np.linspace(0, len(longest), total // values + 2).astype(int)[1:-1]]
+    at = [np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]]) for x in lists]
+    for k in range(len(cuts) + 1):
+        yield [x[e[k] : e[k + 1]] for x, e in zip(lists, at)]
+
+
+def _add_common(lists: list[np.ndarray], left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    _, column, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(shared.sum()), 8192):
+        lo, hi = np.searchsorted(column, [first, first + 8192])
+        bits = np.zeros((len(lists), 8192), bool)
+        bits[row[lo:hi], column[lo:hi] - first] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for k in range(0, len(out), 4096):
+            both = packed[left[k : k + 4096]] & packed[right[k : k + 4096]]
+            out[k : k + 4096] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+
+
 def _candidates(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers (a, b) of the pairs of each group that may be similar and that no earlier
     leaf has, and the group of each row. Between two blocks only pairs across them count."""

@@ -74,5 +74,17 @@ def test_common_counts():
     assert got.tolist() == [len(np.intersect1d(lists[x], lists[y])) for x, y in zip(a, b)]
 
 
+def test_long_lists_in_ranges():
+    rnd = np.random.default_rng(1)
+    lists = [np.unique(rnd.integers(0, 5000, 900)) for _ in range(12)]
+    parts = list(jaccard._ranges(lists, 1000))
+    assert len(parts) > 5 and all((np.concatenate(x) == y).all() for x, y in zip(zip(*parts), lists))
+    a, b = (x.ravel() for x in np.triu_indices(12, 1))
+    out = np.zeros(len(a), np.int64)
+    for part in parts:
+        jaccard._add_common(part, a, b, out)
+    assert out.tolist() == [len(np.intersect1d(lists[x], lists[y])) for x, y in zip(a, b)]
+
+
 def test_runs():
     assert jaccard.runs_needed() == 12
