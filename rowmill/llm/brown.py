@@ -1,13 +1,15 @@
 """Language-model scores by Brown class-based bigrams.
 
-Exchange clustering moves each frequent word to the class that raises the likelihood of the
-class bigrams most, until nothing moves. Less frequent words are clustered together with
-those of the same shape (length, last letter, digits, accents). A token's probability is its
-class given the class before, times the word given its class, both smoothed.
-
-All counts cover all training rows. Sent to tasks is only what a parameter bounds: the
-counts of the ``LISTED`` most frequent words and the class tables. Rarer words are looked up
-by a join with the whole vocabulary.
+Exchange clustering of the most frequent words, with all others by shape (length, last
+letter, digits, accents), gives the classes to start from. Then every other training word
+goes to the class in which its own neighbours, counted over all rows, are most likely, and
+class bigrams and word counts are counted anew with the classes of all words. A token's
+probability is its class given the class before, times the word given its class, both
+smoothed. Shapes stay only for words that no training row has.
+
+All counts cover all training rows. Sent to tasks is only what a parameter bounds: counts
+and classes of the ``LISTED`` most frequent words and the class tables. Rarer words are
+looked up by a join with the whole vocabulary.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 from rowmill.llm.arrays import pieces
 from rowmill.llm.frames import written
 
+#: Words that exchange clustering starts with; the others join their classes.
 CLUSTERED = 1000
 LISTED = 100_000
 CLASSES = 64
@@ -216,7 +219,7 @@ def _frequent(vocab: DataFrame, most: int) -> DataFrame:
 
 
 def fit(train: DataFrame, vocab: DataFrame) -> Model:
-    """The model of the rows of (text), whose (word, n) counts are given."""
+    """The starting model of the rows of (text), whose (word, n) counts are given."""
     sizes = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     top = _frequent(vocab.where(F.length("word") > 0), LISTED).toPandas()
     top["word"] = top["word"].map(bytes)
@@ -256,6 +259,143 @@ def fit(train: DataFrame, vocab: DataFrame) -> Model:
     )
 
 
+class _Local(dict):
+    """Numbers of words in one task: the clustered ones, the end token, others as they come."""
+
+    def __init__(self, words: list[bytes], classes: np.ndarray):
+        super().__init__((w, i) for i, w in enumerate([*words, b""]))
+        self.fixed = len(self)
+        self.starts = [*classes[: len(words)].tolist(), int(classes[-1])]
+        self.shapes = classes[len(words) : -1].tolist()
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = len(self)
+        self.starts.append(self.shapes[shape(word)])
+        return out
+
+
+def neighbours(train: DataFrame, model: Model) -> DataFrame:
+    """(word, contexts, counts) of all words that are not clustered, a few rows for each.
+
+    Context c below the number of classes is class c before the word, n + c is class c after.
+    """
+    words, classes, n = model.words[: model.clustered], model.classes, len(model.room)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local, keys, times = _Local(words, classes), [], []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            key, back = np.unique(np.concatenate(keys), return_inverse=True)
+            return key, np.bincount(back, np.concatenate(times)).astype(np.int64)
+
+        def give() -> Iterator[pa.RecordBatch]:
+            key, count = merged()
+            of, own = np.unique(key // (2 * n), return_index=True)
+            names = list(local)
+            for at in range(0, len(of), HELD):
+                begin = np.append(own, len(key))[at : at + HELD + 1]
+                some, offsets = slice(begin[0], begin[-1]), pa.array((begin - begin[0]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([names[i] for i in of[at : at + HELD].tolist()], pa.binary()),
+                        pa.ListArray.from_arrays(offsets, pa.array((key[some] % (2 * n)).astype(np.int16))),
+                        pa.ListArray.from_arrays(offsets, pa.array(count[some])),
+                    ],
+                    ["word", "contexts", "counts"],
+                )
+
+        for part in pieces(batches, "text"):
+            chain = [local[b""]]
+            for text in _texts(part):
+                chain.extend(map(local.__getitem__, words_of(text)))
+                chain.append(local[b""])
+            ids = np.array(chain, np.int64)
+            starts = np.array(local.starts, np.int64)[ids]
+            at = np.flatnonzero(ids >= local.fixed)
+            if len(at):
+                own = ids[at] * (2 * n)
+                key, count = np.unique(np.concatenate([own + starts[at - 1], own + n + starts[at + 1]]), return_counts=True)
+                keys.append(key)
+                times.append(count)
+            if sum(map(len, keys)) > 8 * HELD:
+                key, count = merged()
+                keys, times = [key], [count]
+            if len(local) - local.fixed > HELD or sum(map(len, keys)) > 4 * HELD:
+                if keys:
+                    yield from give()
+                local, keys, times = _Local(words, classes), [], []
+        if keys:
+            yield from give()
+
+    return _over(train, run, "word binary, contexts array<smallint>, counts array<bigint>")
+
+
+def assign(train: DataFrame, model: Model) -> DataFrame:
+    """(word, n, class) of every training word but the end token.
+
+    Clustered words keep their class. Any other gets the one in which its neighbours, with
+    the classes they start with, are most likely; of equal ones the first.
+    """
+    n = len(model.room)
+    # log10 P(class | class before) and P(class after | class), and what the class's words share
+    gains = np.concatenate([model.steps, model.steps.T])
+    room = model.room
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by word; the last word of a batch waits for the next one."""
+
+        def best(words: list[bytes], table: np.ndarray) -> pa.RecordBatch:
+            size = table[:, :n].sum(axis=1)
+            likely = table @ gains - size[:, None] * room
+            likely[:, -1] = -np.inf
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(size.astype(np.int64)), pa.array(likely.argmax(axis=1).astype(np.int32))], ["word", "n", "class"]
+            )
+
+        last, held = None, np.zeros(2 * n)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                part = whole.slice(start, 4096)
+                names = part.column("word").to_pylist()
+                fresh = np.array([a != b for a, b in zip(names, [last, *names])])
+                of = np.cumsum(fresh) - (last is None)
+                contexts, counts = part.column("contexts"), part.column("counts")
+                row = np.repeat(of, np.diff(contexts.offsets.to_numpy()))
+                words = [*([] if last is None else [last]), *(w for w, f in zip(names, fresh) if f)]
+                place = row * (2 * n) + contexts.flatten().to_numpy()
+                table = np.bincount(place, counts.flatten().to_numpy(), len(words) * 2 * n).reshape(-1, 2 * n)
+                if last is not None:
+                    table[0] += held
+                if len(words) > 1:
+                    yield best(words[:-1], table[:-1])
+                last, held = words[-1], table[-1]
+        if last is not None:
+            yield best([last], held[None])
+
+    rest = neighbours(train, model).repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n bigint, class int")
+    k = model.clustered
+    head = pd.DataFrame({"word": model.words[:k], "n": model.counts[:k], "class": model.classes[:k].astype(np.int32)})
+    return rest.union(train.sparkSession.createDataFrame(head, "word binary, n bigint, class int"))
+
+
+def _bigrams(classed: DataFrame, n: int) -> np.ndarray:
+    """How often each class follows each other one in the rows of (classes)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n * n, np.int64)
+        for part in batches:
+            for own in part.column("classes").to_pylist():
+                chain = np.frombuffer(own, np.uint8).astype(np.int64)
+                total += np.bincount(chain[:-1] * n + chain[1:], minlength=n * n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    out = np.zeros(n * n)
+    for row in classed.select("classes").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[row["at"]] = row["n"]
+    return out.reshape(n, n)
+
+
 def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, learned, n_tokens, n_known, train_tokens, base_score, score), one row for each input row.
 
@@ -269,24 +409,25 @@ def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str
     train = docs.where("learned").select("text")
     vocab = written(vocabulary(train), "vocabulary")
     model = fit(train, vocab)
-    listed, ends = len(model.words), 0
+    known = written(assign(train, model), "classes")
+    ends = 0
     if model.tokens:
         ends = vocab.where(F.length("word") == 0).first()["n"]
 
-    unit = np.concatenate([np.minimum(np.arange(listed), model.clustered), model.clustered + np.arange(SHAPES), [model.boundary]])
-    for i in range(model.clustered, listed):
-        unit[i] = model.clustered + shape(model.words[i])
-    class_of = model.classes[unit]
-    count = np.concatenate([model.counts, np.zeros(SHAPES, np.int64), [ends]])
+    top = _frequent(known, LISTED).toPandas()
+    words, listed, n = [bytes(w) for w in top["word"]], len(top), len(model.room)
+    class_of = np.concatenate([top["class"].to_numpy(np.int64), model.classes[model.clustered :]]).astype(np.uint8)
+    count = np.concatenate([top["n"].to_numpy(np.int64), np.zeros(SHAPES, np.int64), [ends]])
     rarity = np.log10(count + 1.0)
-    words, steps, room = model.words, model.steps, model.room
     base = float(np.log10(model.tokens + model.vocabulary + 1))
     boundary = listed + SHAPES
+    #: Marks the class of a word's shape where the word's own is still to be looked up.
+    by_shape = np.uint8(128)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = _Numbers(words, listed).__getitem__
         for part in pieces(batches, "text"):
-            chain, sizes, tails = [boundary], [], []
+            chain, sizes, tails = [], [], []
             for text in _texts(part):
                 own = words_of(text)
                 ids = list(map(get, own))
@@ -295,21 +436,21 @@ def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str
                 chain.append(boundary)
                 sizes.append(len(own) + 1)
             ids = np.array(chain, np.int64)
-            cls, ids = class_of[ids], ids[1:]
+            classes = np.where((ids >= listed) & (ids < boundary), class_of[ids] | by_shape, class_of[ids])
             begin = np.cumsum([0, *sizes[:-1]])
             per = lambda x: np.add.reduceat(x, begin)
-            plain = per(rarity[ids])
+            first = class_of[boundary : boundary + 1].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
                     part.column("learned"),
                     pa.array(sizes, pa.int64()),
                     pa.array(per((count[ids] > 0).astype(np.int64))),
-                    pa.array(plain - np.array(sizes) * base),
-                    pa.array(plain + per(steps[cls[:-1], cls[1:]] - room[cls[1:]])),
+                    pa.array(per(rarity[ids])),
+                    pa.array([first + classes[b : b + s].tobytes() for b, s in zip(begin.tolist(), sizes)], pa.binary()),
                     pa.array(tails, pa.list_(pa.binary())),
                 ],
-                ["id", "learned", "n_tokens", "n_known", "base_score", "score", "tail"],
+                ["id", "learned", "n_tokens", "n_known", "rarity", "classes", "tail"],
             )
 
     schema = T.StructType(
@@ -317,24 +458,63 @@ def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str
             docs.schema["id"],
             T.StructField("learned", T.BooleanType()),
             *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")),
-            *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score")),
+            T.StructField("rarity", T.DoubleType()),
+            T.StructField("classes", T.BinaryType()),
             T.StructField("tail", T.ArrayType(T.BinaryType())),
         ]
     )
-    scored = written(docs.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
+    coded = written(docs.mapInArrow(code, schema).select(F.monotonically_increasing_id().alias("row"), "*"), "coded")
     rest = (
-        scored.select("row", F.explode("tail").alias("word"))
-        .groupBy("row", "word")
-        .agg(F.count("*").alias("times"))
-        .join(vocab, "word")
+        coded.select("row", F.posexplode("tail").alias("place", "word"))
+        .join(known, "word")
         .groupBy("row")
-        .agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"))
+        .agg(
+            F.count("*").alias("known"),
+            F.sum(F.log10(F.col("n") + 1.0)).alias("more"),
+            F.collect_list("place").alias("places"),
+            F.collect_list(F.col("class").cast("tinyint")).alias("found"),
+        )
     )
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("tail").join(rest, "row", "left").select(
+
+    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "classes"):
+            out = []
+            for own, places, found in zip(*(part.column(c).to_pylist() for c in ("classes", "places", "found"))):
+                chain = np.frombuffer(own, np.uint8).copy()
+                at = np.flatnonzero(chain & by_shape)
+                chain[at] &= by_shape - 1
+                if places:
+                    chain[at[places]] = found
+                out.append(chain.tobytes())
+            yield pa.RecordBatch.from_arrays([*map(part.column, kept), pa.array(out, pa.binary())], [*kept, "classes"])
+
+    kept = ["id", "learned", "n_tokens", "n_known", "rarity"]
+    joined = coded.drop("tail").join(rest, "row", "left").select(
         "id", "learned", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        (F.col("rarity") + F.coalesce("more", F.lit(0.0))).alias("rarity"),
+        "classes", "places", "found",
     )
+    classed = written(joined.mapInArrow(fill, T.StructType([schema[c] for c in [*kept, "classes"]])), "classed")
+
+    table = _bigrams(classed.where("learned"), n) + SMOOTH
+    steps = np.log10(table / table.sum(axis=1, keepdims=True))
+    size = np.zeros(n)
+    for row in known.groupBy("class").agg((F.sum("n") + F.count("*")).alias("n")).collect():
+        size[row["class"]] = row["n"]
+    size[-1] = ends + (ends > 0)
+    room = np.log10(size + 1)
+
+    def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "classes"):
+            chains = [np.frombuffer(x, np.uint8) for x in part.column("classes").to_pylist()]
+            path = np.array([(steps[c[:-1], c[1:]] - room[c[1:]]).sum() for c in chains])
+            plain, sizes = (part.column(c).to_numpy() for c in ("rarity", "n_tokens"))
+            yield pa.RecordBatch.from_arrays(
+                [*map(part.column, kept[:4]), pa.array(plain - sizes * base), pa.array(plain + path)], [*kept[:4], "base_score", "score"]
+            )
+
+    rated = T.StructType([*(schema[c] for c in kept[:4]), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score"))])
+    return classed.mapInArrow(rate, rated).select(
+        "id", "learned", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )

@@ -86,3 +86,25 @@ def test_nothing_to_learn(spark):
     assert sorted((r.id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows) == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
     assert brown.score(df.where("false"), F.lit(True)).count() == 0
     assert all(0 <= brown.shape(w) < brown.SHAPES for w in [b"a", b"abc1", b"1", b"\xc3\xa9", b"x" * 99, b"\xff.", b"abcd,"])
+
+
+def test_rare_words_get_the_class_of_their_neighbours(spark, monkeypatch):
+    """Words of one shape beyond the clustered ones: in their order they are likelier than out of it."""
+    monkeypatch.setattr(brown, "CLUSTERED", 12)
+    monkeypatch.setattr(brown, "LISTED", 40)
+    monkeypatch.setattr(brown, "HELD", 30)
+    rnd = random.Random(4)
+    names = [bytes(x).decode() for x in ([97 + i // 13, 97 + 4 * (i % 6), 97 + i % 17, 101] for i in range(400))]
+    names = sorted({x for x in names if brown.shape(x.encode()) == brown.shape(b"aaae")})
+    rnd.shuffle(names)
+    a, b = names[::2], names[1::2]
+    assert len(a) > 60
+    heads = [f"h{i}" for i in range(6)], [f"k{i}" for i in range(6)]
+    pick = lambda k: rnd.choice(heads[k]) if rnd.random() < 0.6 else rnd.choice((a, b)[k])
+    rows = [(i, " ".join(pick(k % 2) for k in range(20)), True) for i in range(400)]
+    right = [(1000 + i, " ".join(x for _ in range(5) for x in (rnd.choice(a), rnd.choice(b))), False) for i in range(30)]
+    wrong = [(2000 + i, " ".join([*t.split()[::2], *t.split()[1::2]]), False) for i, t, _ in right for i in [i - 1000]]
+    df = spark.createDataFrame(rows + right + wrong, "doc_id long, text string, learned boolean")
+    got = {r.id: r for r in brown.score(df, F.col("learned")).collect()}
+    assert all(got[1000 + i].base_score == pytest.approx(got[2000 + i].base_score) for i in range(30))
+    assert sum(got[1000 + i].score - got[2000 + i].score for i in range(30)) / 30 > 3
