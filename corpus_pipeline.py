@@ -15,9 +15,6 @@ from rowmill.llm import decontaminate, jaccard, language, private, tokens
 from rowmill.llm.frames import table, written
 from rowmill.llm.queries import PII_KEY
 
-#: A text whose best language scores lower than this is in none of the learned ones.
-LEAST_SCORE = 0.3
-
 
 def _others(docs: DataFrame) -> Column:
     """All columns but the text as one, to go through an operator in place of an id."""
@@ -25,11 +22,15 @@ def _others(docs: DataFrame) -> Column:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, null ones too, and texts in no learned language go."""
+    """Texts without a letter, null ones too, and texts in no learned language go.
+
+    Those are told by their n-grams, less likely than in any labelled text of their length
+    but a few; a foreign text of a word or two can pass.
+    """
     model = language.fit(docs, "doc_id", "text", "lang")
     carried = docs.select(F.struct(_others(docs).alias("others"), F.col("text")).alias("row"), "text")
     named = language.identify(carried, model, "row", "text")
-    kept = named.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = named.where((F.col("lang_pred") != language.UNKNOWN) & F.col("belongs"))
     return kept.select("id.others.*", "id.text").select(*docs.columns)
 
 

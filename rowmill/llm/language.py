@@ -4,7 +4,8 @@ Each language has a codeword of bits, far from all others. For each bit a linear
 over byte n-grams tells languages with a 1 from those with a 0; its weights are the log odds
 of the n-grams. A text's bits are decoded to the nearest codeword by their loss, each bit
 weighted by how well it is told on labelled texts of that language. A text whose two best
-codewords are close is flagged.
+codewords are close is flagged. Whether a text is in its language at all is told by how
+likely its n-grams are there, against the labelled texts' own likelihoods by length.
 
 Fitted on at most ``SAMPLE`` labelled texts of each language (in expectation), picked by a
 hash of their id; whole texts count. Everything else covers all rows.
@@ -30,6 +31,10 @@ ORDERS = (2, 3)
 UNKNOWN = "und"
 AMBIGUOUS = 0.6
 SHARPNESS = 6.0
+RARE = 0.001
+SLACK = 1.2
+#: Room of a short text in any case, in log chance times the root of its n-grams.
+SHORT = 3.0
 _AT_ONCE = 128
 
 
@@ -41,6 +46,10 @@ class Model:
     bias: np.ndarray  # bit
     scale: np.ndarray  # bit
     trust: np.ndarray  # language x bit, rows add up to 1
+    grams: np.ndarray  # language x slot, labelled n-gram counts and a half
+    usual: np.ndarray  # language: median mean log chance of an n-gram of a labelled text
+    least: np.ndarray  # language: how far below that labelled texts are at most, whatever their length
+    short: np.ndarray  # language: what of that, times the root of the number of n-grams, short texts have more
 
     def margins(self, counts: np.ndarray) -> np.ndarray:
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
@@ -59,6 +68,23 @@ class Model:
         return best, 1 / odds.sum(axis=1)
 
 
+    def likelihoods(self, counts: np.ndarray, of: np.ndarray, own: bool = False) -> np.ndarray:
+        """Mean log chance of a text's n-grams in its language; ``own`` texts are taken out of its counts."""
+        out = np.zeros(len(counts))
+        for k, (row, lang) in enumerate(zip(counts, of)):
+            slot = np.flatnonzero(row)
+            times = row[slot]
+            rest = self.grams[lang, slot] - (times if own else 0)
+            total = self.grams[lang].sum() - (times.sum() if own else 0)
+            out[k] = (times * np.log(rest / total)).sum() / max(times.sum(), 1)
+        return out
+
+    def belongs(self, counts: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Whether texts are as likely in their language as labelled ones of their length are."""
+        room = self.least[best] + self.short[best] / np.sqrt(np.maximum(counts.sum(axis=1), 1))
+        return self.usual[best] - self.likelihoods(counts, best) <= room
+
+
 def codewords(languages: int) -> np.ndarray:
     """+1/-1 codewords, the best of 500 tries by least distance between any two.
 
@@ -147,12 +173,34 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample:
         weights[:, b] = np.log(one.mean(axis=0)) - np.log(zero.mean(axis=0))
         high, low = (one @ weights[:, b]).min(), (zero @ weights[:, b]).max()
         bias[b], scale[b] = (high + low) / 2, max(abs(high - low) / 2, 1e-6)
-    model = Model(languages, code, weights, bias, scale, np.full(code.shape, 1.0))
+    none = np.zeros(len(languages))
+    model = Model(languages, code, weights, bias, scale, np.full(code.shape, 1.0), counts + 0.5, none, none.copy(), none.copy())
     if len(languages) > 1:
         model.trust = _trust(picked, model)
+    if languages:
+        _bounds(picked, model)
     return model
 
 
+def _bounds(picked: DataFrame, model: Model) -> None:
+    """What the labelled texts of each language leave room for: the share ``RARE`` of them that
+    is the least likely is not counted, and there is ``SLACK`` times the rest's room."""
+
+    def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, counts in _few(batches):
+            of = np.searchsorted(model.languages, np.array(part.column("lang").to_pylist(), str))
+            yield pa.RecordBatch.from_pydict({"lang": of, "n": counts.sum(axis=1), "mean": model.likelihoods(counts, of, own=True)})
+
+    rated = picked.where(F.col("text").rlike(r"\p{L}")).mapInArrow(rate, "lang bigint, n bigint, mean double").where("n > 0").toPandas()
+    for lang, own in rated.groupby("lang"):
+        n, mean = own["n"].to_numpy(), own["mean"].to_numpy()
+        model.usual[lang] = np.median(mean)
+        below = model.usual[lang] - mean
+        long = n >= np.median(n)
+        model.least[lang] = SLACK * max(np.quantile(below[long], 1 - RARE), 0)
+        model.short[lang] = max(np.quantile((SLACK * below - model.least[lang]) * np.sqrt(n), 1 - RARE), SHORT)
+
+
 def _trust(picked: DataFrame, model: Model) -> np.ndarray:
     """How often each bit is told right on the labelled texts of each language."""
 
@@ -170,8 +218,9 @@ def _trust(picked: DataFrame, model: Model) -> np.ndarray:
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score, ambiguous): one row for each input row, from the text alone.
+    """(id, lang_pred, score, ambiguous, belongs): one row for each input row, from the text alone.
 
+    ``belongs`` tells whether the text is as likely in that language as labelled ones are.
     A null text or one without a letter is ``und`` with score 0, as is every text where no
     language was learned. Ids may be null or repeated; other columns are left out whatever
     their names.
@@ -181,18 +230,20 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for rows, counts in _few(batches):
             letters = np.array(rows.column("letters").to_pylist(), bool)
             names, scores = np.full(len(letters), UNKNOWN, object), np.zeros(len(letters))
+            belongs = np.zeros(len(letters), bool)
             if model.languages and letters.any():
                 best, score = model.decide(counts[letters])
                 names[letters], scores[letters] = np.array(model.languages, object)[best], score
+                belongs[letters] = model.belongs(counts[letters], best)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("id"), pa.array(names, pa.string()), pa.array(scores), pa.array(letters & (scores < AMBIGUOUS))],
-                ["id", "lang_pred", "score", "ambiguous"],
+                [rows.column("id"), pa.array(names, pa.string()), pa.array(scores), pa.array(letters & (scores < AMBIGUOUS)), pa.array(belongs)],
+                ["id", "lang_pred", "score", "ambiguous", "belongs"],
             )
 
     texts = df.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters")
     )
     schema = T.StructType(
-        [texts.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+        [texts.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType()), T.StructField("belongs", T.BooleanType())]
     )
     return texts.mapInArrow(run, schema)

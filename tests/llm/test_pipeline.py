@@ -7,6 +7,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 from brute import BLANK, contamination
+from pyspark.sql import functions as F
 
 from rowmill.llm import private, tokens
 
@@ -93,3 +94,22 @@ def test_run_and_empty_tables(spark, small, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{small}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_in_no_learned_language_go(spark):
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "xqzv kwpfj zzgh vbnmq wrtzx plkjq hgfdz qwxcv bnmkl zxqjw vkpqz",
+    ]
+    clean = ["the of and that", "with the and of"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = [(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(foreign + clean)]
+    got = corpus_pipeline.identify_language(spark, docs.union(spark.createDataFrame(planted, docs.schema)), "").select("doc_id", "text").collect()
+    ids = {r.doc_id for r in got}
+    assert not ids & set(range(10**9, 10**9 + len(foreign))) and set(range(10**9 + len(foreign), 10**9 + len(planted))) <= ids
+    letters = docs.where(F.col("text").rlike(r"\p{L}")).count()
+    assert letters * 0.99 < len(got) - len(clean) <= letters
