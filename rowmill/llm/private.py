@@ -5,11 +5,15 @@ letters for letters of the same case, valid octets, the same country code, separ
 top-level domain, a given name of the gender its title tells, a surname in its script. The
 same entity gets the same surrogate everywhere, however it is written (coreference); two
 different ones never share one, and none is an entity of the input: a check over all
-distinct entities moves those that clash on to their next surrogate, until none does.
+distinct entities moves those that clash on to their next surrogate, until none does. After
+some tries names get longer and e-mail domains change too; what finds no free surrogate of
+its form in ``TRIES`` is masked, and only masks can be shared.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +24,9 @@ _JOIN = r"(?:[!#$%&*]{0,3}[ .\-]| \| )"
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа", "Госпожа")
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "Господин")
 OTHER_TITLES = ("Dr", "Prof")
-_WORD = r"\p{Lu}[\p{L}'’\-]{1,40}"
+_WORD = r"\p{Lu}[\p{L}\p{M}'’\-]{1,40}"
+#: Initials, with dots or without, before a word of a name.
+_INITIALS = r"(?:\p{Lu}\.?(?:[ \-]?\p{Lu}\.)* )*"
 #: Kinds in the order they are tried. Each begins where nothing like it goes before, so a
 #: long run of letters or digits is passed over in one step.
 KINDS = {
@@ -34,7 +40,7 @@ KINDS = {
         rf"(?<![0-9+])\+[0-9]{{1,3}}{_JOIN}?\(?[0-9]{{2,4}}\)?{_JOIN}?[0-9]{{3,4}}(?:{_JOIN}?[0-9]{{2,4}}){{0,3}}(?![0-9])"
         rf"|(?<![0-9])\([0-9]{{3}}\){_JOIN}?[0-9]{{3}}[.\-][0-9]{{4}}(?![0-9])|(?<![0-9.\-])[0-9]{{3}}(?<dash>[.\-])[0-9]{{3}}\k<dash>[0-9]{{4}}(?![0-9])"
     ),
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)})\.? {_WORD}(?: {_WORD})?",
+    "name": rf"(?<!\p{{L}})(?:{'|'.join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)})\.? {_INITIALS}{_WORD}(?: {_INITIALS}{_WORD})*",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity; most are told so at once.
@@ -46,6 +52,26 @@ MALE_NAMES = ("Anton", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Ivan"
 FEMALE_CYRILLIC = ("Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга")
 MALE_CYRILLIC = ("Антон", "Борис", "Виктор", "Глеб", "Иван", "Максим", "Олег", "Павел")
 
+#: An entity that still clashes after so many surrogates is masked.
+TRIES = 40
+#: After so many, and again each time, a name gets a letter more and an e-mail another domain.
+WIDEN = 8
+
+
+def _alphabets() -> list[str]:
+    """The letters of each script but Latin, Cyrillic, Han and Hangul, small ones where there are any."""
+    scripts: dict[str, list[str]] = {}
+    for c in map(chr, range(0x370, 0x20000)):
+        if unicodedata.category(c) in ("Ll", "Lo"):
+            scripts.setdefault(unicodedata.name(c, "").split(" ")[0], []).append(c)
+    plain = lambda c: c.upper() != c and c.upper().lower() == c and " WITH " not in unicodedata.name(c)
+    cased = {name: [c for c in own if plain(c)] for name, own in scripts.items()}
+    left_out = ("", "LATIN", "CYRILLIC", "CJK", "HANGUL", "TANGUT", "KHITAN", "NUSHU")
+    return ["".join(cased[name] or own) for name, own in scripts.items() if name not in left_out and len(cased[name] or own) > 1]
+
+
+ALPHABETS = (*_alphabets(), "".join(map(chr, range(0x4E00, 0x4E80))), "".join(map(chr, range(0xAC00, 0xAC80))))
+
 
 def _texts(values: tuple[str, ...]) -> Column:
     return F.array(*map(F.lit, values))
@@ -96,6 +122,16 @@ def _alike(text: Column, stream: Column, keep: Column | int = 0) -> Column:
     )
 
 
+def _same_script(low: Column, b: Column) -> Column:
+    """Another letter of a letter's alphabet. Those in none (rare letters) become one of Greek, Han or Hangul."""
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"^\p{IsHan}$", "\u4e00"), r"^\p{IsHangul}$", "\uac00"), r"^\p{IsGreek}$", "α")
+    own = F.coalesce(F.get(F.filter(F.split(F.lit("\n".join(ALPHABETS)), "\n"), lambda a: a.contains(plain)), F.lit(0)), F.lit(ALPHABETS[0]))
+    at = F.instr(own, low)
+    # a shift by at least one letter, so that none stays
+    size = F.length(own)
+    return F.substring(own, F.pmod(at + F.pmod(b, size - 1), size) + 1, F.lit(1))
+
+
 def _named_alike(word: Column, stream: Column) -> Column:
     """A word of the same length, script and capitals, vowels for vowels."""
 
@@ -106,6 +142,7 @@ def _named_alike(word: Column, stream: Column) -> Column:
             .when(low.rlike(r"^\p{IsCyrillic}$"), _pick("бвгдзклмнпрст", b))
             .when(low.rlike(r"^[aeiouyàáâäãåæèéêëìíîïòóôöõøùúûüœ]$"), _pick("aeiou", b))
             .when(low.rlike(r"^\p{IsLatin}$"), _pick("bdfgklmnprstvw", b))
+            .when(low.rlike(r"^\p{L}$"), _same_script(low, b))
             .otherwise(low)
         )
         return F.when(c == low, other).otherwise(F.upper(other))
@@ -125,7 +162,7 @@ def with_surrogates(key: str, entities: Column) -> Column:
             key,
             F.when(email, F.lit("domain")).otherwise(F.lit("surname")),
             F.when(email, domain(e)).otherwise(surname(e)),
-            F.when(email, F.lit(0)).otherwise(e["attempt"]),
+            F.when(email, F.floor(e["attempt"] / WIDEN).cast("int")).otherwise(e["attempt"]),
         )
         return F.struct(
             e.alias("e"),
@@ -156,11 +193,24 @@ def _surrogate(e: Column, stream: Column, apart: Column) -> Column:
         .when(surname.rlike(r"\p{IsCyrillic}"), _texts(MALE_CYRILLIC))
         .otherwise(_texts(MALE_NAMES))
     )
-    given = F.get(names, F.pmod(first, F.size(names)))
-    name = F.concat_ws(" ", title, F.when(F.size(words) > 2, given), _named_alike(surname, apart))
+    known = surname.rlike(r"\p{IsCyrillic}|\p{IsLatin}")
+
+    def middle(word: Column, i: Column) -> Column:
+        """An initial for an initial, the first given name by its title, others as they come."""
+        shifted = F.concat(F.substring(stream, i * 8 + 1, F.lit(256)), stream)
+        given = F.get(names, F.pmod(first + i * _byte(stream, i + 2), F.size(names)))
+        return F.when(known & ~word.rlike(r"^\p{Lu}(?:\.|$)"), given).otherwise(_named_alike(word, shifted))
+
+    longer = F.floor(e["attempt"] / WIDEN).cast("int")
+    added = F.substring(_named_alike(F.repeat(F.lower(F.substring(surname, 2, 1)), TRIES), F.reverse(apart)), F.lit(1), longer)
+    more = F.when(longer > 0, added).otherwise("")
+    parts = F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))), middle)
+    name = F.concat_ws(" ", title, parts, F.concat(_named_alike(surname, apart), more))
+    masked = F.regexp_replace(F.regexp_replace(F.when(kind == "name", F.substring(canon, F.length(title) + 1, F.length(canon))).otherwise(canon), "[0-9]", "0"), "[^0@. ]", "x")
     keep = F.when(kind == "iban", 2).when(kind == "card", 1).when(kind == "phone", F.greatest(F.length(canon) - 10, F.lit(0))).otherwise(0)
     return (
-        F.when(kind == "email", email)
+        F.when(e["attempt"] >= TRIES, F.concat(F.when(kind == "name", title).otherwise(""), masked))
+        .when(kind == "email", email)
         .when(kind == "ip", octets)
         .when(kind == "name", name)
         .when(kind == "secret", _each(canon, lambda c, i: _pick("0123456789abcdef", _byte(stream, i))))
@@ -201,7 +251,7 @@ def _moved(entities: DataFrame, key: str) -> DataFrame:
             .join(real, ["kind", "new"], "left")
             .select("kind", "canon", "attempt", "new", (F.coalesce("real", F.lit(False)) | (F.col("keeps") != F.col("canon"))).alias("move"))
         )
-        moves = F.coalesce("move", F.lit(False))
+        moves = F.coalesce("move", F.lit(False)) & (F.col("attempt") < TRIES)
         checked = written(clashing.select("kind", "canon", "attempt", "new", moves.alias("move")), "surrogates")
         if checked.where("move").isEmpty():
             return checked.where("attempt > 0").select("kind", "canon", "attempt")

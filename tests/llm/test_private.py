@@ -66,3 +66,19 @@ def test_rows_without_ids_and_copies(spark):
     df = spark.createDataFrame([(None, "a 10.0.0.1"), (1, "a 10.0.0.1"), (1, "a 10.0.0.1")], "doc_id long, text string")
     got = private.replace_entities(df, "k").collect()
     assert len({r.text for r in got}) == 1 and len(got) == 3
+
+
+def test_names_of_any_script_and_all_their_parts(spark):
+    values = ["Dr Παπάς", "Dr Νίκος Παπάς", "Mr Պետրոսյան", "Mr John Paul Smith", "Mr John Q. Smith", "Mrs J. R. Miller", "Mr John Paul George Winter"]
+    got = run(spark, [f"see {v}, and" for v in values])
+    for value, (text, n) in zip(values, got):
+        old, new = value.split(), text.removeprefix("see ").removesuffix(", and").split()
+        assert n == 1 and new[0] == old[0] and len(new) == len(old), (value, text)
+        assert all(len(w.rstrip(".")) == 1 or w not in text for w in old[1:]), (value, text)
+    assert re.search("[\u0370-\u03ff]{5}", got[0][0]) and re.search("[\u0531-\u058a]{9}", got[2][0])
+
+
+def test_ends_where_no_surrogate_is_free(spark, monkeypatch):
+    monkeypatch.setattr(private, "TRIES", 3)
+    got = run(spark, ["x ---@---.com", "x -@-.com 10.0.0.1"])
+    assert got[0] == ("x xxx@xxx.xxx", 1) and got[1][0].startswith("x x@x.xxx ") and "10.0.0.1" not in got[1][0]
