@@ -51,10 +51,12 @@ def refine(
 
 
 def refine_stored(
-    ledger: Ledger, file_id: str, mapping: list[MappingRule], rules: dict[str, list[dict[str, Any]]], **how: Any
+    ledger: Ledger, files: str | DataFrame, mapping: list[MappingRule], rules: dict[str, list[dict[str, Any]]], **how: Any
 ) -> DataFrame:
-    """The stored rows of a file, normalised, mapped and validated anew from their raw values."""
-    kept = ledger.rows_by_file(file_id).select("row_id", "file_id", "line_number", "source_name", "raw", "status")
+    """The stored rows of a file, or of all in a DataFrame of (file_id), normalised, mapped and
+    validated anew from their raw values."""
+    rows = ledger.rows_by_file(files) if isinstance(files, str) else ledger.rows().join(files.select("file_id"), "file_id", "left_semi")
+    kept = rows.select("row_id", "file_id", "line_number", "source_name", "raw", "status")
     return refine(kept, mapping, rules, **how)
 
 

@@ -271,11 +271,11 @@ def _typed_batch(spark, sf_dir):
     "SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS priority, CASE WHEN o_orderstatus = 'F' THEN 'valid' ELSE 'flagged' END AS status FROM orders",
 )
 def _remap_stored_file(spark, sf_dir):
-    """One stored file under another mapping and other rules than it came in with."""
+    """All stored files of a batch under another mapping and other rules than they came in with."""
     path = scratch_path(spark, "remap")
-    _orders(spark, sf_dir).coalesce(1).write.json(f"{path}/in")
+    _orders(spark, sf_dir).write.json(f"{path}/in")
     state = Ledger(spark, f"{path}/ledger")
     run_batch(spark, f"{path}/in", state, f"{path}/out", [MappingRule("o_orderkey", "order_id")], {})
     mapping = [MappingRule("o_orderkey", "key"), MappingRule("o_orderpriority", "priority"), MappingRule("o_orderstatus", "code")]
     rules = {"field_validation_rules": [{"field": "code", "rule_type": "enum", "values": ["F"]}]}
-    return refine_stored(state, state.files().first().file_id, mapping, rules).select("key", "priority", "status")
+    return refine_stored(state, state.files(), mapping, rules).select("key", "priority", "status")

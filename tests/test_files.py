@@ -166,3 +166,17 @@ def test_a_broken_run_is_recorded(spark, tmp_path):
     last = ledger.batch("b").first()
     assert last.status == "failed" and last.errors == ["no normaliser today"]
     assert ledger.files().count() == 0
+
+
+def test_refine_stored_files(spark, tmp_path):
+    """Rows of all files of a DataFrame of ids, and of no other file."""
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"f{i}.json").write_text("".join(f'{{"nr": "{i}{j}"}}\n' for j in range(4)))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    run_batch(spark, str(tmp_path / "in"), ledger, str(tmp_path / "out"), [MappingRule("nr", "old")], {})
+    files = ledger.files().select("file_id")
+    assert files.count() == 3
+    got = refine_stored(ledger, files, [MappingRule("nr", "key")], {}).collect()
+    assert sorted(r.key for r in got) == sorted(f"{i}{j}" for i in range(3) for j in range(4))
+    assert len(refine_stored(ledger, files.limit(2), [MappingRule("nr", "key")], {}).collect()) == 8
