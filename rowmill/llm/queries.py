@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm import brown, decontaminate, jaccard, language, private, substrings, tokens, urls, vectors
+from rowmill.llm import audit, brown, centroids, decontaminate, jaccard, language, nearest, private, substrings, tokens, urls, vectors
 from rowmill.llm.frames import crc_mod, table
 
 #: The key of the registered queries and the pipeline. A deployment passes a secret one.
@@ -244,3 +244,103 @@ def brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query(
+    "op11_exact_top_k",
+    r"""
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+    pairs AS (
+      SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.x, v.x), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, seed: int = 3, size: int = 64) -> str:
+    """The rounds written out one after the other."""
+    nearest_to = """
+      SELECT r, vec_id, x, arg_min(c, (d, c)) AS cluster, min(d) AS distance
+      FROM (SELECT r, vec_id, v.x, c, list_sum(list_transform(list_zip(v.x, m.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, {m} m)
+      GROUP BY r, vec_id, x"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""
+    a{i} AS MATERIALIZED ({nearest_to.format(m=f"c{i}")}),
+    s{i} AS (
+      SELECT cluster, i, (s - ((s % n) + n) % n) // n AS mean FROM (
+        SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, {size} + 1) t(i) GROUP BY cluster, i)),
+    c{i + 1} AS MATERIALIZED (
+      SELECT c, coalesce(y, x) AS x FROM c{i} LEFT JOIN (SELECT cluster, list(mean::BIGINT ORDER BY i) AS y FROM s{i} GROUP BY cluster) ON c = cluster)""")
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS x FROM embeddings
+      WHERE len(embedding) = {size} AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+    c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x
+      FROM (SELECT sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v ORDER BY h, x LIMIT {k})),
+    {",".join(steps)},
+    last AS MATERIALIZED ({nearest_to.format(m=f"c{rounds}")})
+    SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+      (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+    FROM last JOIN c{rounds} m ON m.c = cluster
+    """
+
+
+@query("op12_centroid_clusters", _clusters_sql())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH w AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    l AS (
+      SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+      FROM labels GROUP BY doc_id),
+    f AS (
+      SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, len(w) < 200 AS a,
+        100 * len(list_distinct(w)) < 50 * len(w) AS b, 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) AS c,
+        regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+      FROM w LEFT JOIN l USING (doc_id)),
+    p AS (SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f GROUP BY ALL),
+    names(k) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    orders AS (
+      SELECT v.k || w.k || x.k || y.k || z.k AS o FROM names v, names w, names x, names y, names z
+      WHERE v.k NOT IN (w.k, x.k, y.k, z.k) AND w.k NOT IN (x.k, y.k, z.k) AND x.k NOT IN (y.k, z.k) AND y.k <> z.k),
+    steps AS (
+      SELECT p.*, o, step, o[step] AS letter, a::INT + b::INT + c::INT + d::INT + e::INT AS fails, [a, b, c, d, e][ascii(o[step]) - 64] AS failed,
+        least(if(a, strpos(o, 'A'), 6), if(b, strpos(o, 'B'), 6), if(c, strpos(o, 'C'), 6), if(d, strpos(o, 'D'), 6), if(e, strpos(o, 'E'), 6)) AS gone
+      FROM p, orders, range(1, 6) t(step)),
+    counts AS (
+      SELECT part, o AS filter_order, step::INTEGER AS step, letter,
+        coalesce(sum(n) FILTER (gone > step), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (gone = step), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (failed AND gone < step), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (failed AND fails = 1), 0)::BIGINT AS unique_fails,
+        coalesce(sum(g) FILTER (gone = step), 0)::BIGINT AS good_lost,
+        coalesce(sum(x) FILTER (gone = step), 0)::BIGINT AS toxic_lost
+      FROM steps GROUP BY ALL)
+    SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM counts
+    """,
+)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.report(audit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
