@@ -19,8 +19,8 @@ from rowmill.records import Fields
 from rowmill.session import cut_lineage
 from rowmill.sinks.review import write_batch_report
 from rowmill.sinks.writers import export_all
-from rowmill.sources.intake import read_rows, unsupported_files
-from rowmill.sources.listing import broken_files, list_files, one_per_content
+from rowmill.sources.intake import read_files
+from rowmill.sources.listing import list_files, one_per_content
 
 
 def new_batch_id() -> str:
@@ -106,7 +106,8 @@ def run_batch(
 
 
 def _process(spark, listing, ledger, output_dir, mapping, rules, batch_id, normalise, typing) -> tuple[dict, int, list[str]]:
-    refined = refine(read_rows(spark, listing), mapping, rules, normalise, typing)
+    taken = read_files(spark, listing)
+    refined = refine(taken.rows, mapping, rules, normalise, typing)
     names = list(dict.fromkeys(r.canonical_field for r in mapping))
     stored = refined.withColumn("canonical", canonical_map(refined, names)).select(
         "row_id", "file_id", "line_number", "source_name", "raw", "normalized", "canonical",
@@ -116,9 +117,8 @@ def _process(spark, listing, ledger, output_dir, mapping, rules, batch_id, norma
 
     rows = ledger.batch_rows(batch_id)
     per_file = totals(rows, ["file_id"])
-    unreadable = unsupported_files(listing).select("file_id", "error_message").union(broken_files(spark, listing))
     named = one_per_content(listing).join(per_file, "file_id", "left").join(
-        unreadable.groupBy("file_id").agg(F.min("error_message").alias("error_message")), "file_id", "left"
+        taken.problems.groupBy("file_id").agg(F.min("error_message").alias("error_message")), "file_id", "left"
     )
     # lines were there, but none of them was an object
     nothing = (F.col("format").isin("json", "jsonl")) & F.col("json_lines") & F.col("total_rows").isNull() & (F.col("size_bytes") > 0)

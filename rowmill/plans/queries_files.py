@@ -48,13 +48,13 @@ def _scan_tsv(spark, sf_dir):
     "SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents",
 )
 def _scan_csv_multi_line(spark, sf_dir):
-    """Documents with line breaks inside quoted cells."""
+    """Documents with line breaks inside quoted cells, each file in ranges of a megabyte."""
     path = scratch_path(spark, "csv")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     docs.write.option("header", True).option("escape", '"').option("quoteAll", True).option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(path)
-    rows = _fields(scan.scan_delimited(spark, [path], "doc_id,text", multi_line=True), ["doc_id", "text"])
+    rows = _fields(read_rows(spark, list_files(spark, path, range_bytes=1 << 20)), ["doc_id", "text"])
     return rows.withColumn("text", F.regexp_replace("text", "\r\n?", "\n"))
 
 
@@ -69,14 +69,14 @@ def _scan_jsonl(spark, sf_dir):
 def _scan_json_array(spark, sf_dir):
     path = scratch_path(spark, "array")
     writers.write_json_array(_orders(spark, sf_dir), path)
-    return _fields(scan.scan_json_array(spark, [path]), ORDER)
+    return _fields(read_rows(spark, list_files(spark, path, format="json", range_bytes=1 << 20)), ORDER)
 
 
 @query("scan_xml", ORDER_SQL)
 def _scan_xml(spark, sf_dir):
     path = scratch_path(spark, "xml")
     writers.write_xml(_orders(spark, sf_dir), path)
-    return _fields(scan.scan_xml(spark, [path], "row"), ORDER)
+    return _fields(read_rows(spark, list_files(spark, path, range_bytes=1 << 20)), ORDER)
 
 
 @query(
@@ -103,15 +103,85 @@ def _row_identity(spark, sf_dir):
 
 @query(
     "list_files",
-    """SELECT 'csv' AS format, 'UTF-8' AS encoding, count(DISTINCT o_orderstatus) AS files FROM orders
-       UNION ALL SELECT 'json', 'UTF-8', count(DISTINCT o_orderstatus) FROM orders""",
+    """SELECT format, encoding, json_lines, ways * count(DISTINCT o_orderstatus) AS files
+       FROM orders, (VALUES ('csv', 'UTF-8', NULL, 1), ('csv', 'ISO-8859-1', NULL, 1), ('json', 'UTF-8', true, 2),
+         ('tsv', 'UTF-8', NULL, 1), ('xml', 'UTF-8', NULL, 1)) v(format, encoding, json_lines, ways)
+       GROUP BY format, encoding, json_lines, ways""",
 )
 def _list_files(spark, sf_dir):
+    """One file for each order status in each of six ways; three have a suffix that says
+    nothing, so their first bytes do."""
     path = scratch_path(spark, "files")
     one_each = _orders(spark, sf_dir).repartition("o_orderstatus")
+    accented = one_each.withColumn("o_orderpriority", F.concat("o_orderpriority", F.lit(" \u00e9")))
+    plain = {"sep": "\u0001", "quote": "\u0000", "escape": "\u0000", "extension": "dat"}
+    text = F.to_json(F.struct(*ORDER)).alias("text")
     one_each.write.option("header", True).partitionBy("o_orderstatus").csv(f"{path}/a")
-    one_each.write.partitionBy("o_orderstatus").json(f"{path}/b")
-    return list_files(spark, path).groupBy("format", "encoding").agg(F.count("*").alias("files"))
+    accented.write.option("header", True).option("encoding", "ISO-8859-1").partitionBy("o_orderstatus").csv(f"{path}/b")
+    one_each.write.partitionBy("o_orderstatus").json(f"{path}/c")
+    one_each.select(text, "o_orderstatus").write.options(**plain).partitionBy("o_orderstatus").csv(f"{path}/d")
+    one_each.write.options(**(plain | {"sep": "\t"})).partitionBy("o_orderstatus").csv(f"{path}/e")
+    tagged = one_each.select(F.concat(F.lit("<?xml version='1.0'?><o>"), "o_orderkey", F.lit("</o>")).alias("text"), "o_orderstatus")
+    tagged.write.options(**plain).partitionBy("o_orderstatus").csv(f"{path}/f")
+    return list_files(spark, path).groupBy("format", "encoding", "json_lines").agg(F.count("*").alias("files"))
+
+
+@query("scan_csv_latin1", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || ' \u00e9\u00fc' AS o_orderpriority FROM orders")
+def _scan_csv_latin1(spark, sf_dir):
+    """Files that are no UTF-8, found so in every range, read as Latin-1."""
+    path = scratch_path(spark, "latin")
+    rows = _orders(spark, sf_dir).select("o_orderkey", F.concat("o_orderpriority", F.lit(" \u00e9\u00fc")).alias("o_orderpriority"))
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return _fields(read_rows(spark, list_files(spark, path, range_bytes=1 << 20)), ["o_orderkey", "o_orderpriority"])
+
+
+@query(
+    "json_dialects",
+    "SELECT o_orderstatus <> 'F' AS json_lines, CAST(o_orderkey AS VARCHAR) AS o_orderkey FROM orders",
+)
+def _json_dialects(spark, sf_dir):
+    """JSON lines and whole-file arrays in one folder, told apart by their first lines."""
+    path = scratch_path(spark, "dialects")
+    orders = _orders(spark, sf_dir)
+    orders.where("o_orderstatus <> 'F'").write.json(f"{path}/lines")
+    writers.write_json_array(orders.where("o_orderstatus = 'F'"), f"{path}/arrays")
+    files = list_files(spark, path, format="json")
+    rows = read_rows(spark, files).join(files.select("file_id", "json_lines").distinct(), "file_id")
+    return rows.select("json_lines", F.try_element_at("raw", F.lit("o_orderkey")).alias("o_orderkey"))
+
+
+@query(
+    "xml_row_elements",
+    "SELECT 'status_' || lower(o_orderstatus) AS row_tag, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum FROM orders GROUP BY 1",
+)
+def _xml_row_elements(spark, sf_dir):
+    """Documents of three row elements, each found by its own most frequent child."""
+    path = scratch_path(spark, "tags")
+    for status in "FOP":
+        writers.write_xml(_orders(spark, sf_dir).where(F.col("o_orderstatus") == status), f"{path}/{status}", row_element=f"status_{status.lower()}")
+    files = list_files(spark, path, range_bytes=1 << 20)
+    rows = read_rows(spark, files).join(files.select("file_id", "row_tag").distinct(), "file_id")
+    key = F.try_element_at("raw", F.lit("o_orderkey")).cast("bigint")
+    return rows.groupBy("row_tag").agg(F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"))
+
+
+@query(
+    "scan_xml_nested",
+    """SELECT l_orderkey::VARCHAR AS id, CASE WHEN count(*) = 1 THEN min(l_linenumber)::VARCHAR
+         ELSE '["' || string_agg(l_linenumber::VARCHAR, '","' ORDER BY l_linenumber) || '"]' END AS line,
+         '{"key":"' || l_orderkey || '","lines":"' || count(*) || '"}' AS order_info
+       FROM lineitem GROUP BY l_orderkey""",
+)
+def _scan_xml_nested(spark, sf_dir):
+    """Orders as elements with an attribute, a child for each line and a nested child."""
+    path = scratch_path(spark, "nested")
+    key = F.col("l_orderkey").cast("string")
+    orders = table(spark, sf_dir, "lineitem").groupBy(key.alias("_id")).agg(
+        F.transform(F.array_sort(F.collect_list("l_linenumber")), lambda n: n.cast("string")).alias("line"),
+        F.struct(F.first(key).alias("key"), F.count("*").cast("string").alias("lines")).alias("order_info"),
+    )
+    orders.write.option("rootTag", "orders").option("rowTag", "order").xml(path)
+    return _fields(read_rows(spark, list_files(spark, path, range_bytes=1 << 20)), ["id", "line", "order_info"])
 
 
 @query("sink_csv_roundtrip", ORDER_SQL)

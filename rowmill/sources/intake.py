@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.sources import scan
-from rowmill.sources.listing import literal_path, one_per_content, xml_row_elements
+from rowmill.session import cut_lineage
+from rowmill.sources.listing import one_per_content
+from rowmill.sources.ranges import PARTITION_BYTES
+from rowmill.sources.records import RECORDS, read_ranges
+from rowmill.sources.scan import last_of_each_key, number_rows, parse_json_line, place_rows
 
 SUPPORTED = ("csv", "tsv", "json", "jsonl", "xml")
 ROWS = (
@@ -18,6 +20,13 @@ ROWS = (
 )
 
 
+class Intake(NamedTuple):
+    """Rows, and ``file_id, error_message`` of the files that could not be read."""
+
+    rows: DataFrame
+    problems: DataFrame
+
+
 def unsupported_files(files: DataFrame) -> DataFrame:
     """Files no scan exists for, with the reason."""
     return files.where(~F.col("format").isin(*SUPPORTED)).withColumn(
@@ -25,55 +34,59 @@ def unsupported_files(files: DataFrame) -> DataFrame:
     )
 
 
-def read_rows(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Rows of all supported files: one scan per (format, encoding, layout).
+def records(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``source_path, __block, names, cells, object, failed`` of all records of the files, in
+    one scan for every format, header and encoding.
+
+    Byte ranges are dealt over tasks, in order within each, so that a second run deals them
+    alike. A line that is no JSON object is left out; an element of a JSON array that is no
+    JSON, or of an XML document that is not well-formed, is marked as failed.
+    """
+    size = files.agg(F.sum("size_bytes")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    dealt = (
+        files.select("path", "kind", "format", "encoding", "row_tag", "body", F.size("columns").alias("width"), F.inline("ranges"))
+        .repartition(tasks, "path", "at")
+        .sortWithinPartitions("path", "at")
+    )
+    found = dealt.mapInArrow(read_ranges, RECORDS)
+    parsed = found.select("*", parse_json_line(F.col("text")).alias("object"))
+    no_json = F.col("text").isNotNull() & F.col("object").isNull() & F.try_parse_json("text").isNull()
+    return parsed.select(
+        "source_path", "__block", "names", "cells", last_of_each_key(F.col("object")).alias("object"),
+        (F.col("failed") | (F.col("whole") & no_json)).alias("failed"), "text",
+    ).where("failed OR text IS NULL OR object IS NOT NULL").drop("text")
+
+
+def read_files(spark: SparkSession, files: DataFrame) -> Intake:
+    """Rows of all supported files of a listing, whatever their number of layouts, in the same
+    few jobs; the names of a file's columns come by the join that numbers its rows.
 
-    Only file metadata reaches the driver, as it must to plan the scans. An XML document
-    whose tags do not close and a JSON array that does not parse give no rows;
-    ``listing.broken_files`` names them.
+    Of a file with a failed record no row is returned; it is named with the reason, like
+    those that the listing found broken and those of no supported format.
     """
-    usable = one_per_content(files.where(F.col("format").isin(*SUPPORTED)))
-    known = usable.withColumnRenamed("filename", "source_name")
-    layouts: dict[tuple, list[str]] = defaultdict(list)
-    xml_paths = []
-    for r in known.toLocalIterator():
-        if r.format in ("csv", "tsv"):
-            if r.header is not None:
-                key = ("delimited", r.format, r.encoding, r.header, r.quoted_newlines)
-                layouts[key].append(literal_path(r.path))
-        elif r.format == "xml":
-            xml_paths.append((r.source_path, literal_path(r.path)))
-        else:
-            layouts[("lines" if r.json_lines else "array",)].append(literal_path(r.path))
-    if xml_paths:
-        tags = {t.source_path: t.row_tag for t in xml_row_elements(spark, [p for _, p in xml_paths]).collect()}
-        for source_path, path in xml_paths:
-            if source_path in tags:
-                layouts[("xml", tags[source_path])].append(path)
-
-    identity = known.select("source_path", "file_id", "source_name")
-    parts = []
-    for layout, paths in layouts.items():
-        if layout[0] == "delimited":
-            _, fmt, encoding, header, quoted = layout
-            found = scan.scan_delimited(
-                spark, paths, header, "\t" if fmt == "tsv" else ",", encoding, quoted
-            )
-        elif layout[0] == "lines":
-            found = scan.scan_json_lines(spark, paths)
-        elif layout[0] == "array":
-            found = scan.scan_json_array(spark, paths)
-        else:
-            found = scan.scan_xml(spark, paths, layout[1])
-        parts.append(scan.number_rows(found, identity))
-    if not parts:
-        return spark.createDataFrame([], ROWS)
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
-    return rows.select(
+    listed = cut_lineage(one_per_content(files))
+    usable = listed.where(F.col("kind").isNotNull() & F.col("problem").isNull()).where("kind <> 'delimited' OR columns IS NOT NULL")
+    scan = records(spark, usable)
+    places = place_rows(scan, usable.select("source_path", "file_id", F.col("filename").alias("source_name"), "columns", "kind"))
+    by_name = F.map_from_arrays(F.coalesce("names", "columns"), F.col("cells"))
+    rows = number_rows(scan, places).select(
         F.concat_ws("_", "file_id", F.col("line_number").cast("string")).alias("row_id"),
         "file_id",
         "line_number",
         "source_name",
-        "raw",
+        F.coalesce("object", by_name).alias("raw"),
         F.lit("pending").alias("status"),
     )
+    reason = F.concat(F.lit("Cannot be parsed as "), F.when(F.col("kind") == "xml", "XML").otherwise("a JSON array"))
+    problems = (
+        unsupported_files(listed).select("file_id", "error_message")
+        .union(listed.where("problem IS NOT NULL").select("file_id", "problem"))
+        .union(places.where("failed").select("file_id", reason).distinct())
+    )
+    return Intake(rows, problems)
+
+
+def read_rows(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Rows of all files that can be read."""
+    return read_files(spark, files).rows

@@ -2,163 +2,26 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Formats by extension and by first bytes.
-EXTENSIONS = {
-    "csv": "csv",
-    "tsv": "tsv",
-    "xlsx": "xlsx",
-    "xls": "xls",
-    "json": "json",
-    "jsonl": "jsonl",
-    "ndjson": "jsonl",
-    "xml": "xml",
-    "pdf": "pdf",
-    "txt": "txt",
-}
-MAGIC = {
-    b"PK\x03\x04": "xlsx",
-    b"%PDF": "pdf",
-    b"<?xml": "xml",
-    b"<?XML": "xml",
-    b"[": "json",
-    b"{": "json",
-}
-
-
-def extension(path: Column) -> Column:
-    return F.lower(F.regexp_extract(path, r"[^/.]\.([^./]+)$", 1))
-
-
-def detect_format(path: Column, content: Column) -> Column:
-    """By extension, else by first bytes, else by a tab or comma in the first line, else txt."""
-    ext = extension(path)
-    out = None
-    for suffix, fmt in EXTENSIONS.items():
-        out = F.when(ext == suffix, fmt) if out is None else out.when(ext == suffix, fmt)
-    for magic, fmt in MAGIC.items():
-        out = out.when(F.substring(content, 1, len(magic)) == F.lit(bytearray(magic)), fmt)
-    line = first_line(content)
-    return (
-        out.when(F.contains(line, F.lit("\t")), "tsv")
-        .when(F.contains(line, F.lit(",")), "csv")
-        .otherwise("txt")
-    )
-
-
-def first_line(content: Column) -> Column:
-    return F.substring_index(F.decode(content, "ISO-8859-1"), "\n", 1)
-
-
-def encoding_of(content: Column) -> Column:
-    """UTF-8 where the whole content is valid UTF-8, else Latin-1."""
-    return F.when(F.is_valid_utf8(content), "UTF-8").otherwise("ISO-8859-1")
-
-
-def is_json_lines(content: Column) -> Column:
-    """JSON dialect: a first line that starts with a brace means one object per line."""
-    return F.startswith(F.btrim(first_line(content)), F.lit("{"))
+from rowmill.sources.ranges import RANGE_BYTES, folded, ranges
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file: path, name, size, time, content hash, format, encoding, layout.
+def list_files(spark: SparkSession, folder: str, format: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """One row per file: path, name, size, time, content id, format, encoding, layout.
 
-    The content is looked at inside the scan and never leaves it.
+    Files are read once, in byte ranges of ``range_bytes`` that may be in different tasks; no
+    task holds more than one. The content id is the SHA-256 of the bytes for a file of one
+    range, else the SHA-256 of the ranges' digests in order. ``problem`` says why a JSON
+    array or an XML document cannot be parsed. ``ranges`` has the state that each range
+    begins in, for reading rows from it by itself. ``format`` is taken for all files
+    whatever their names.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.*")
-        .load(folder)
-    )
-    c = F.col("content")
-    text = F.when(F.is_valid_utf8(c), F.decode(c, "UTF-8")).otherwise(F.decode(c, "ISO-8859-1"))
-    lines = F.split(text, "\r\n|\r|\n")
-    odd_quotes = F.exists(
-        lines, lambda s: (F.length(s) - F.length(F.replace(s, F.lit('"'), F.lit("")))) % 2 == 1
-    )
-    header = F.get(F.filter(lines, lambda s: F.btrim(s) != ""), 0)
-    fmt = detect_format(F.col("path"), c)
-    return files.select(
-        F.sha2(c, 256).alias("file_id"),
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
-        "path",
-        F.col("_metadata.file_path").alias("source_path"),
-        F.when(extension(F.col("path")) == "", "unknown")
-        .otherwise(extension(F.col("path")))
-        .alias("file_type"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-        fmt.alias("format"),
-        encoding_of(c).alias("encoding"),
-        F.when(fmt.isin("json", "jsonl"), is_json_lines(c)).alias("json_lines"),
-        F.when(fmt.isin("csv", "tsv"), header).alias("header"),
-        F.when(fmt.isin("csv", "tsv"), odd_quotes).otherwise(F.lit(False)).alias("quoted_newlines"),
-    )
+    return folded(ranges(spark, folder, format, range_bytes))
 
 
 def one_per_content(files: DataFrame) -> DataFrame:
     """The same bytes under several names are one file: the one of the least path."""
-    first = ["path", *[c for c in files.columns if c not in ("path", "file_id")]]
-    return files.groupBy("file_id").agg(F.min(F.struct(*first)).alias("f")).select("file_id", "f.*").select(*files.columns)
-
-
-def literal_path(path: str) -> str:
-    """A path that is read as it is, although a pattern could be meant by it."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
-# A tag with its attributes; quoted values may hold a closing bracket.
-XML_TAG = r"""<(?:/?)[^\s<>/!?][^\s<>/]*(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?/?>"""
-XML_ASIDE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>"
-
-
-def xml_row_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``source_path, row_tag``: the most frequent child of each root, ties by name.
-
-    Tags are counted by their depth. A document whose tags do not close, or without any,
-    has no row here.
-    """
-    whole = spark.read.text(paths, wholetext=True)
-    tags = whole.select(
-        F.col("_metadata.file_path").alias("source_path"),
-        F.posexplode(F.regexp_extract_all(F.regexp_replace("value", XML_ASIDE, ""), F.lit(XML_TAG), F.lit(0))).alias("at", "tag"),
-    )
-    closing, single = F.startswith("tag", F.lit("</")), F.endswith("tag", F.lit("/>"))
-    step = F.when(closing, -1).when(single, 0).otherwise(1)
-    before = Window.partitionBy("source_path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = tags.select(
-        "source_path", step.alias("step"), F.coalesce(F.sum(step).over(before), F.lit(0)).alias("depth"),
-        F.when(~closing, F.regexp_extract("tag", r"<([^\s/>]+)", 1)).alias("name"),
-    )
-    counted = placed.groupBy("source_path", F.when(F.col("depth") == 1, F.col("name")).alias("name")).agg(
-        F.count("*").alias("n"), F.sum("step").alias("step"), F.min("depth").alias("low")
-    )
-    best = F.min(F.when(F.col("name").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("name").alias("tag"))))
-    return (
-        counted.groupBy("source_path")
-        .agg(best["tag"].alias("row_tag"), F.sum("step").alias("open"), F.min("low").alias("low"))
-        .where("open = 0 AND low >= 0")
-        .select("source_path", F.coalesce("row_tag", F.lit("row")).alias("row_tag"))
-    )
-
-
-def broken_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``file_id, error_message`` of JSON arrays and XML documents that cannot be parsed."""
-    asked = files.where("format = 'xml' OR format IN ('json', 'jsonl') AND NOT json_lines").select("file_id", "path", "source_path", "format")
-    paths: dict[str, list[str]] = {"xml": [], "json": []}
-    for r in asked.toLocalIterator():  # file metadata, as for planning the scans
-        paths["xml" if r.format == "xml" else "json"].append(literal_path(r.path))
-    kept = spark.createDataFrame([], "source_path string")
-    if paths["xml"]:
-        kept = kept.union(xml_row_elements(spark, paths["xml"]).select("source_path"))
-    if paths["json"]:
-        whole = spark.read.text(paths["json"], wholetext=True)
-        parses = F.from_json("value", "array<string>", {"allowSingleQuotes": "false"}).isNotNull()
-        kept = kept.union(whole.where(parses).select(F.col("_metadata.file_path").alias("source_path")))
-    reason = F.concat(F.lit("Cannot be parsed as "), F.when(F.col("format") == "xml", "XML").otherwise("a JSON array"))
-    return asked.join(kept, "source_path", "left_anti").select("file_id", reason.alias("error_message"))
+    first = F.min_by(F.struct(*[c for c in files.columns if c != "file_id"]), "path")
+    return files.groupBy("file_id").agg(first.alias("f")).select("file_id", "f.*").select(*files.columns)

@@ -1,40 +1,23 @@
-"""Scans of text formats to ragged records, and dense row numbers per file.
+"""Scans of one layout by Spark's own readers, JSON objects as maps, and dense row numbers.
 
-Every scan yields ``source_path, __block, raw``; ``number_rows`` turns that into rows
+Every scan yields ``source_path, __block`` and values; ``number_rows`` turns that into rows
 with a line number without sorting or shuffling the data.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.records import column
 from rowmill.session import scratch_path
+from rowmill.sources.ranges import header_names
+from rowmill.sources.records import NA_TOKENS
 
-# Cell texts of delimited files that mean "no value".
-NA_TOKENS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
-)
 OVERFLOW = "__overflow"
 
 
-def header_names(line: str, sep: str = ",") -> list[str]:
-    """Column names of a header line; repeats get a running suffix, blanks a position."""
-    names, seen = [], {}
-    for at, cell in enumerate(next(csv.reader(io.StringIO(line.lstrip("﻿")), delimiter=sep), [])):
-        name = cell or f"Unnamed: {at}"
-        count = seen.get(name, 0)
-        seen[name] = count + 1
-        names.append(f"{name}.{count}" if count else name)
-    return names
-
-
 def scan_delimited(
     spark: SparkSession,
     paths: list[str],
@@ -75,7 +58,7 @@ def _place() -> list[Column]:
     ]
 
 
-def _last_of_each_key(m: Column) -> Column:
+def last_of_each_key(m: Column) -> Column:
     """A map with repeated keys reduced to the last value of each."""
     keys, values = F.map_keys(m), F.map_values(m)
     names = F.array_distinct(keys)
@@ -104,69 +87,48 @@ def parse_json_line(line: Column) -> Column:
 def scan_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One object per line; blank, broken and other lines are skipped. Read in splits."""
     lines = spark.read.text(paths).select(*_place(), parse_json_line(F.col("value")).alias("raw"))
-    return lines.where("raw IS NOT NULL").withColumn("raw", _last_of_each_key(F.col("raw")))
-
-
-def scan_json_array(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Objects of whole-file JSON arrays; other elements are skipped."""
-    whole = spark.read.text(paths, wholetext=True)
-    elements = F.from_json("value", "array<string>", {"allowSingleQuotes": "false"})
-    return (
-        whole.select(*_place(), F.explode(elements).alias("element"))
-        .select("source_path", "__block", parse_json_line(F.col("element")).alias("raw"))
-        .where("raw IS NOT NULL")
-        .withColumn("raw", _last_of_each_key(F.col("raw")))
-    )
-
-
-def scan_xml(spark: SparkSession, paths: list[str], row_tag: str) -> DataFrame:
-    """Elements of one tag; attributes and children become keys, values stay texts.
-
-    Nested and repeated children are JSON text. A missing child is an absent key.
-    """
-    read = (
-        spark.read.option("rowTag", row_tag)
-        .option("attributePrefix", "")
-        .option("valueTag", "_text")
-        .option("inferSchema", False)
-        .xml(paths)
-    )
-    cells: list[Column] = []
-    for f in read.schema.fields:
-        c = column(f.name)
-        cells += [F.lit(f.name), c if isinstance(f.dataType, T.StringType) else F.to_json(c)]
-    raw = F.create_map(*cells).cast("map<string,string>")
-    return read.select(*_place(), F.map_filter(raw, lambda _, v: v.isNotNull()).alias("raw"))
+    return lines.where("raw IS NOT NULL").withColumn("raw", last_of_each_key(F.col("raw")))
 
 
-def number_rows(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Add a dense ``line_number`` from 1 per file, in file order.
+def place_rows(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """What ``number_rows`` needs of each file block: ``source_path, __block, __shift``, whether
+    a record of the file ``failed``, and the columns of ``files`` for its path.
 
-    A first pass counts the rows of each file block. The running counts are written to
-    the shared folder, so their size is known: Spark broadcasts them when small and
-    joins on (file, block) otherwise. The rows themselves are neither sorted nor
-    collected. ``files`` adds columns per ``source_path`` on the way.
+    A first pass counts the rows of each block. The running counts are written to the shared
+    folder, so their size is known: Spark broadcasts them when small and joins on
+    (file, block) otherwise.
     """
     spark = scan.sparkSession
-    marked = scan.withColumn("__at", F.monotonically_increasing_id())
-    blocks = marked.groupBy("source_path", "__block").agg(
-        F.min("__at").alias("first"), F.count("*").alias("n")
-    )
-    earlier = (
-        Window.partitionBy("source_path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    failed = F.coalesce(F.max("failed"), F.lit(False)) if "failed" in scan.columns else F.lit(False)
+    blocks = _marked(scan).groupBy("source_path", "__block").agg(
+        F.min("__at").alias("first"), F.count("*").alias("n"), failed.alias("failed")
     )
+    whole = Window.partitionBy("source_path")
+    earlier = whole.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "source_path",
         "__block",
         (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("__shift"),
+        F.max("failed").over(whole).alias("failed"),
     )
     if files is not None:
         offsets = offsets.join(files, "source_path")
     path = scratch_path(spark, "blocks")
     offsets.write.parquet(path)
-    stored = spark.read.schema(offsets.schema).parquet(path)
+    return spark.read.schema(offsets.schema).parquet(path)
+
+
+def _marked(scan: DataFrame) -> DataFrame:
+    return scan.withColumn("__at", F.monotonically_increasing_id())
+
+
+def number_rows(scan: DataFrame, places: DataFrame) -> DataFrame:
+    """Add a dense ``line_number`` from 1 per file, in file order, by the counts of
+    ``place_rows``. Rows are neither sorted nor collected; those of a file in which a record
+    failed are left out."""
     return (
-        marked.join(stored, ["source_path", "__block"])
+        _marked(scan).drop("failed")
+        .join(places.where(~F.col("failed")).drop("failed"), ["source_path", "__block"])
         .withColumn("line_number", F.col("__at") + F.col("__shift"))
         .drop("__at", "__shift", "__block")
-    )
+    )
