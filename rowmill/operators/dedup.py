@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.text import strip
-from rowmill.plans.joins import SALT
+from rowmill.operators.joins import SALT
 from rowmill.records import ERROR_TYPE, NO_ERRORS, Fields
 
 KEY = "dedup_key"

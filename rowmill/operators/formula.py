@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowmill.functions.text import strip
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ def _terms(node: ast.List | ast.Tuple | ast.Set, fields: dict[str, Value]) -> li
 
 
 def _method(name: str, text: Value, args: list[Value]) -> Value:
-    one_text = {"lower": F.lower, "upper": F.upper, "strip": F.trim}
+    one_text = {"lower": F.lower, "upper": F.upper, "strip": strip}
     asked = {"startswith": F.startswith, "endswith": F.endswith}
     if not (name in one_text and not args or name in asked and len(args) == 1):
         raise ValueError(f"a formula cannot call {name} with {len(args)} values")

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.plans.joins import spread_lookup
+from rowmill.operators.joins import spread_lookup
 from rowmill.records import NO_ERRORS
 
 FILES = (
@@ -22,7 +22,7 @@ FILES = (
 )
 ROWS = (
     "row_id string, file_id string, line_number bigint, source_name string, "
-    "raw map<string,string>, normalized map<string,string>, canonical map<string,string>, "
+    "raw map<string,string>, raw_kinds map<string,string>, normalized map<string,string>, canonical map<string,string>, "
     f"mapping_confidence map<string,double>, status string, validation_errors {NO_ERRORS}, "
     "created_at timestamp, batch_id string"
 )

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.records import META, PRESENT, Fields, as_column, both, column
+from rowmill.records import KINDS, META, PRESENT, Fields, as_column, both, column
 
 # The sample vendor's field names and their canonical targets.
 SAMPLE_MAPPING = {
@@ -78,6 +78,12 @@ def _carried(rule: MappingRule, fields: Fields) -> Column:
     return rule.function(value) if rule.rule_type == "function" else value
 
 
+def _kind(rule: MappingRule, fields: Fields) -> Column:
+    """A function's result is a text."""
+    kind = None if rule.rule_type == "function" else fields.kind(rule.vendor_field)
+    return F.lit(None).cast("string") if kind is None else kind
+
+
 def map_fields(
     df: DataFrame,
     rules: list[MappingRule],
@@ -87,7 +93,8 @@ def map_fields(
 ) -> DataFrame:
     """Project a record onto the canonical fields its rules name.
 
-    Adds ``mapping_confidence``, and ``_present`` when presence differs per row. One
+    Adds ``mapping_confidence``, ``_present`` when presence differs per row, and ``kinds``
+    when the record has kinds of values. One
     ``select``; no shuffle. A target that no row can get is left out.
     """
     fields = fields or Fields.flat(df)
@@ -100,19 +107,21 @@ def map_fields(
         if not any(c is True for c, _ in options):
             options.append((condition, rule))
 
-    values, scores, presence = [], [], {}
+    values, scores, presence, kinds = [], [], {}, []
     for name in dict.fromkeys(r.canonical_field for r in sorted(rules, key=lambda r: r.priority)):
         if name not in targets:
             continue
-        value = score = None
+        value = score = kind = None
         for condition, rule in targets[name]:
+            carried, weight, sort = _carried(rule, fields), F.lit(float(rule.confidence)), _kind(rule, fields)
             if condition is True and value is None:
-                value, score = _carried(rule, fields), F.lit(float(rule.confidence))
+                value, score, kind = carried, weight, sort
                 break
             test = as_column(condition)
-            carried, weight = _carried(rule, fields), F.lit(float(rule.confidence))
             value = F.when(test, carried) if value is None else value.when(test, carried)
             score = F.when(test, weight) if score is None else score.when(test, weight)
+            kind = F.when(test, sort) if kind is None else kind.when(test, sort)
+        kinds.append(kind)
         conditions = [c for c, _ in targets[name]]
         presence[name] = True if any(c is True for c in conditions) else F.greatest(
             *map(as_column, conditions), F.lit(False)
@@ -121,7 +130,7 @@ def map_fields(
         scores.append((name, score))
 
     if keep is None:
-        keep = [c for c in df.columns if c in META and c not in (PRESENT, "mapping_confidence")]
+        keep = [c for c in df.columns if c in META and c not in (PRESENT, KINDS, "mapping_confidence")]
     names = F.array(*[F.lit(n) for n, _ in scores]).cast("array<string>")
     confidence = F.map_from_arrays(names, F.array(*[s for _, s in scores]).cast("array<double>"))
     extra = []
@@ -129,6 +138,9 @@ def map_fields(
         marks = [F.lit(n) if p is True else F.when(p, F.lit(n)) for n, p in presence.items()]
         extra.append(F.array_compact(F.array(*marks)).alias(PRESENT))
         confidence = F.map_filter(confidence, lambda _, v: v.isNotNull())
+    if fields.kinds_column is not None:
+        every = F.map_from_arrays(names, F.array(*kinds).cast("array<string>"))
+        extra.append(F.map_filter(every, lambda _, k: k.isNotNull()).alias(KINDS))
     return df.select(
         *[column(k) for k in keep], *values, confidence.alias("mapping_confidence"), *extra
     )

@@ -18,6 +18,7 @@ from rowmill.functions.dates import is_iso_moment, iso_hour
 from rowmill.functions.numbers import decimal_exact, is_decimal_text, is_integer_text
 from rowmill.functions.text import strip
 from rowmill.operators.formula import Value, compile_formula
+from rowmill.operators.joins import spread_lookup
 from rowmill.records import NO_ERRORS, Fields, as_column, both, column
 
 # The sample vendor's rules.
@@ -252,7 +253,7 @@ def fails_formula(fields: Fields, rule: dict[str, Any]) -> Condition:
     formula = rule.get("formula", "")
     try:
         result = compile_formula(formula, {n: value(n) for n in rule["fields"] if fields.knows(n)})
-    except SyntaxError as problem:
+    except (SyntaxError, ValueError) as problem:
         warnings.warn(f"formula {formula!r} cannot be evaluated and passes: {problem}", stacklevel=2)
         return False
     return ~F.coalesce(result.truth(), F.lit(True))
@@ -264,11 +265,14 @@ def fails_dependency(fields: Fields, rule: dict[str, Any]) -> Condition:
     if not fields.knows(name):
         met: Condition = wanted is None
     else:
-        dtype, value = fields.dtype(name), fields.value(name)
+        dtype, value, kind = fields.dtype(name), fields.value(name), fields.kind(name)
         if wanted is None:
             met = value.isNull()
         elif isinstance(wanted, str):
             met = value.eqNullSafe(F.lit(wanted)) if dtype == "string" else False
+            met = met if kind is None else met & kind.isNull()
+        elif kind is not None:
+            met = F.coalesce(kind.isin("number", "boolean") & (fields.number(name) == float(wanted)), F.lit(False))
         elif dtype == "string":
             met = False
         else:
@@ -309,11 +313,27 @@ def fails_business_hours(fields: Fields, rule: dict[str, Any]) -> Condition:
     return F.coalesce(~hour.isin(*range(9, 17)), F.lit(False))
 
 
+def fails_inventory(fields: Fields, rule: dict[str, Any]) -> Condition:
+    """More is ordered than is in stock, as the field named by ``stock_field`` says; see
+    ``with_stock``. A rule that names none knows of no stock and passes, as does a quantity
+    that is no number. Nothing in stock is none."""
+    stock = rule.get("stock_field")
+    if stock is None or not fields.knows("quantity"):
+        return False
+    on_hand = F.coalesce(fields.number(stock), F.lit(0.0)) if fields.knows(stock) else F.lit(0.0)
+    return F.coalesce(fields.number("quantity") > on_hand, F.lit(False))
+
+
+def with_stock(rows: DataFrame, stock: DataFrame, on: list[str], quantity: str = "on_hand") -> DataFrame:
+    """Rows with the stock of what they order, null where there is none. Stock has one row a
+    key; a key that many rows order is spread over tasks."""
+    return spread_lookup(rows, stock.select(*on, quantity), on, "left")
+
+
 SEMANTIC_CHECKS: dict[str, tuple[str | None, Callable[..., Condition]]] = {
     "status_transition": ("order_status", fails_status_transition),
     "business_hours": ("created_at", fails_business_hours),
-    # stock data is not part of a record, so this rule never fails
-    "inventory": (None, lambda fields, rule: False),
+    "inventory": ("quantity", fails_inventory),
 }
 
 

@@ -42,8 +42,8 @@ def refine(
     mapped = map_fields(
         normalise(rows),
         mapping,
-        Fields.ragged("normalized"),
-        keep=["row_id", "file_id", "line_number", "source_name", "raw", "normalized"],
+        Fields.ragged("normalized", "raw_kinds" if "raw_kinds" in rows.columns else None),
+        keep=[c for c in ("row_id", "file_id", "line_number", "source_name", "raw", "raw_kinds", "normalized") if c in (*rows.columns, "normalized")],
     )
     if typing is not None:
         mapped = typing(mapped)
@@ -56,7 +56,7 @@ def refine_stored(
     """The stored rows of a file, or of all in a DataFrame of (file_id), normalised, mapped and
     validated anew from their raw values."""
     rows = ledger.rows_by_file(files) if isinstance(files, str) else ledger.rows().join(files.select("file_id"), "file_id", "left_semi")
-    kept = rows.select("row_id", "file_id", "line_number", "source_name", "raw", "status")
+    kept = rows.select("row_id", "file_id", "line_number", "source_name", "raw", "raw_kinds", "status")
     return refine(kept, mapping, rules, **how)
 
 
@@ -110,7 +110,7 @@ def _process(spark, listing, ledger, output_dir, mapping, rules, batch_id, norma
     refined = refine(taken.rows, mapping, rules, normalise, typing)
     names = list(dict.fromkeys(r.canonical_field for r in mapping))
     stored = refined.withColumn("canonical", canonical_map(refined, names)).select(
-        "row_id", "file_id", "line_number", "source_name", "raw", "normalized", "canonical",
+        "row_id", "file_id", "line_number", "source_name", "raw", "raw_kinds", "normalized", "canonical",
         "mapping_confidence", "status", "validation_errors", "created_at",
     )
     ledger.append("rows", stored.withColumn("batch_id", F.lit(batch_id)), "batch_id")

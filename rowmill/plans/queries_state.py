@@ -11,7 +11,7 @@ from rowmill.operators import ledger
 from rowmill.operators.validate import validate
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import table
-from rowmill.plans.joins import spread_lookup
+from rowmill.operators.joins import spread_lookup
 from rowmill.session import scratch_path
 from rowmill.streaming.watch import watch_folder
 

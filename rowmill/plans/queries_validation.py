@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowmill.operators.mapping import MappingRule, map_fields
 from rowmill.operators.report import error_string, totals
-from rowmill.operators.validate import SAMPLE_RULES, register_check, validate
+from rowmill.operators.validate import SAMPLE_RULES, register_check, validate, with_stock
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import mapped_feed, table, validated_feed, vendor_feed
@@ -18,9 +18,12 @@ from rowmill.plans.queries_functions import (
     amount_texts,
     date_texts,
 )
-from rowmill.operators.normalize import normalise_rows
+from rowmill.operators.normalize import normalise_map, normalise_rows
 from rowmill.records import Fields
 from rowmill.schema import CanonicalSchema
+from rowmill.session import scratch_path
+from rowmill.sources.intake import read_rows
+from rowmill.sources.listing import list_files
 
 
 def field_rules(*rules):
@@ -368,9 +371,57 @@ def _rule_business_hours(spark, sf_dir):
     return _status(rows, semantic_rules({"rule_type": "business_hours"}), "event_id")
 
 
-@query("rule_inventory", "SELECT p_partkey, 'valid' AS status FROM part")
+@query(
+    "rule_inventory",
+    "SELECT " + LINE_KEY_SQL + ", " + _flag("l_quantity > CASE WHEN l_partkey % 5 = 0 THEN 0 ELSE p_size END")
+    + " FROM lineitem JOIN part ON l_partkey = p_partkey",
+)
 def _rule_inventory(spark, sf_dir):
-    return _status(table(spark, sf_dir, "part"), semantic_rules({"rule_type": "inventory"}), "p_partkey")
+    """Lines that order more than there is of their part; every fifth part has no stock."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_partkey", F.col("l_quantity").alias("quantity"))
+    parts = table(spark, sf_dir, "part").where("p_partkey % 5 <> 0")
+    stock = parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("on_hand"))
+    rule = {"rule_type": "inventory", "stock_field": "on_hand"}
+    return _status(with_stock(lines, stock, ["l_partkey"]), semantic_rules(rule), *LINE_KEY)
+
+
+def _json_feed(spark, sf_dir, cells):
+    """Events as JSON objects whose values are of every kind, read as files and mapped."""
+    path = scratch_path(spark, "kinds")
+    parts = [F.lit('{"id":'), F.col("event_id").cast("string")]
+    for name, values in cells.items():
+        chosen = F.element_at(F.array(*map(F.lit, values)), (F.col("event_id") % len(values) + 1).cast("int"))
+        parts += [F.lit(f',"{name}":'), chosen]
+    table(spark, sf_dir, "events").select(F.concat(*parts, F.lit("}")).alias("line")).write.text(path)
+    rows = read_rows(spark, list_files(spark, path, format="json", range_bytes=1 << 20))
+    mapping = [MappingRule(n, n.upper()) for n in ("id", *cells)]
+    return map_fields(normalise_map(rows), mapping, Fields.ragged("normalized", "raw_kinds"))
+
+
+@query(
+    "rule_dependency_json",
+    "SELECT event_id, " + _flag("event_id % 5 IN (0, 2) AND event_id % 7 IN (0, 1, 3, 4, 5)") + " FROM events",
+)
+def _rule_dependency_json(spark, sf_dir):
+    """A condition on true, which 1 equals and "true" does not; 0 is not set and "0" is."""
+    cells = {
+        "gift": ["true", '"true"', "1", "false", '"1"'],
+        "note": ["false", "0", '"0"', '""', "null", "[]", '{"a":1}'],
+    }
+    rule = {"fields": [], "rule_type": "dependency", "condition_field": "GIFT", "condition_value": True, "required_field": "NOTE"}
+    rows = _json_feed(spark, sf_dir, cells).withColumn("event_id", F.col("ID").cast("bigint"))
+    return _status(rows, cross_rules(rule), "event_id")
+
+
+@query(
+    "rule_mutual_exclusion_json",
+    "SELECT event_id, " + _flag("event_id % 4 IN (1, 2) AND event_id % 3 IN (0, 2)") + " FROM events",
+)
+def _rule_mutual_exclusion_json(spark, sf_dir):
+    """Of two fields at most one may be set, whatever the kinds of their values."""
+    cells = {"a": ["0.0", '"0"', "true", "{}"], "b": ["[0]", "0", '"false"']}
+    rows = _json_feed(spark, sf_dir, cells).withColumn("event_id", F.col("ID").cast("bigint"))
+    return _status(rows, cross_rules({"fields": ["A", "B"], "rule_type": "mutual_exclusion"}), "event_id")
 
 
 @query(

@@ -4,6 +4,9 @@ A record is either *flat* (one column per field, the same for all rows; a
 ``_present`` array can narrow which fields a row really has) or *ragged* (one
 ``map<string,string>`` column, each row with its own keys). Absent and null differ:
 a field rule is skipped on an absent field but sees a null one.
+
+Values that came from JSON are texts too; a map from names to kinds beside them tells
+which were numbers, booleans, objects or arrays.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.numbers import decimal_to_double, to_double
 
 PRESENT = "_present"
+KINDS = "kinds"
 META = (
     "row_id",
     "file_id",
@@ -23,11 +27,13 @@ META = (
     "source_name",
     "batch_id",
     "raw",
+    "raw_kinds",
     "normalized",
     "status",
     "validation_errors",
     "mapping_confidence",
     PRESENT,
+    KINDS,
 )
 
 ERROR_TYPE = "struct<field:string,fields:string,rule:string,message:string>"
@@ -43,6 +49,7 @@ class Fields:
     present_column: str | None = None
     # helper columns that hold something about a field, filled by `staged`
     helpers: frozenset[str] = frozenset()
+    kinds_column: str | None = None
 
     @staticmethod
     def flat(df: DataFrame, names: list[str] | None = None) -> "Fields":
@@ -51,11 +58,12 @@ class Fields:
             for f in df.schema.fields
             if (f.name not in META if names is None else f.name in names)
         }
-        return Fields(types, None, PRESENT if PRESENT in df.columns else None)
+        kinds = KINDS if KINDS in df.columns else None
+        return Fields(types, None, PRESENT if PRESENT in df.columns else None, kinds_column=kinds)
 
     @staticmethod
-    def ragged(map_column: str) -> "Fields":
-        return Fields({}, map_column)
+    def ragged(map_column: str, kinds_column: str | None = None) -> "Fields":
+        return Fields({}, map_column, kinds_column=kinds_column)
 
     def knows(self, name: str) -> bool:
         """False only when no row can have the field."""
@@ -86,12 +94,20 @@ class Fields:
             return True
         return F.array_contains(F.col(self.present_column), name)
 
+    def kind(self, name: str) -> Column | None:
+        """What JSON had a text value as: number, boolean, object or array, null for a text.
+        None where no row has anything but texts."""
+        if self.kinds_column is None or not self.knows(name) or self.dtype(name) != "string":
+            return None
+        return F.try_element_at(F.col(self.kinds_column), F.lit(name))
+
     def text(self, name: str) -> Column:
         """The value as Python would print it; null stays null."""
         c = self.value(name)
         dtype = self.dtype(name) if self.knows(name) else "string"
         if dtype == "string":
-            return c
+            kind = self.kind(name)
+            return c if kind is None else F.when(kind == "boolean", F.initcap(c)).otherwise(c)
         if dtype == "boolean":
             return F.initcap(c.cast("string"))
         return c.cast("string")
@@ -102,7 +118,12 @@ class Fields:
             return F.col(_quoted(helper("number", name)))
         c = self.value(name)
         dtype = self.dtype(name) if self.knows(name) else "string"
-        return to_double(c) if dtype == "string" else c.cast("double")
+        if dtype != "string":
+            return c.cast("double")
+        kind = self.kind(name)
+        if kind is None:
+            return to_double(c)
+        return F.when(kind == "boolean", (c == "true").cast("double")).otherwise(to_double(c))
 
     def amount(self, name: str) -> Column:
         """The value as double in the decimal grammar, null when it is no number."""
@@ -139,7 +160,16 @@ class Fields:
             return False
         c, dtype = self.value(name), self.dtype(name)
         if dtype == "string":
-            return F.coalesce(c != F.lit(""), F.lit(False))
+            filled, kind = F.coalesce(c != F.lit(""), F.lit(False)), self.kind(name)
+            if kind is None:
+                return filled
+            return (
+                F.when(c.isNull(), False)
+                .when(kind == "boolean", c == "true")
+                .when(kind == "number", F.coalesce(to_double(c) != 0, F.lit(True)))
+                .when(kind.isin("object", "array"), ~c.isin("{}", "[]"))
+                .otherwise(filled)
+            )
         if dtype == "boolean":
             return F.coalesce(c, F.lit(False))
         if dtype.startswith(("array", "map")):

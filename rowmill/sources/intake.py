@@ -11,12 +11,12 @@ from rowmill.session import cut_lineage
 from rowmill.sources.listing import one_per_content
 from rowmill.sources.ranges import PARTITION_BYTES
 from rowmill.sources.records import RECORDS, read_ranges
-from rowmill.sources.scan import last_of_each_key, number_rows, parse_json_line, place_rows
+from rowmill.sources.scan import json_kinds, last_of_each_key, number_rows, parse_json_line, place_rows
 
 SUPPORTED = ("csv", "tsv", "json", "jsonl", "xml")
 ROWS = (
     "row_id string, file_id string, line_number bigint, source_name string, "
-    "raw map<string,string>, status string"
+    "raw map<string,string>, raw_kinds map<string,string>, status string"
 )
 
 
@@ -35,7 +35,7 @@ def unsupported_files(files: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``source_path, __block, names, cells, object, failed`` of all records of the files, in
+    """``source_path, __block, names, cells, object, kinds, failed`` of all records of the files, in
     one scan for every format, header and encoding.
 
     Byte ranges are dealt over tasks, in order within each, so that a second run deals them
@@ -53,7 +53,7 @@ def records(spark: SparkSession, files: DataFrame) -> DataFrame:
     parsed = found.select("*", parse_json_line(F.col("text")).alias("object"))
     no_json = F.col("text").isNotNull() & F.col("object").isNull() & F.try_parse_json("text").isNull()
     return parsed.select(
-        "source_path", "__block", "names", "cells", last_of_each_key(F.col("object")).alias("object"),
+        "source_path", "__block", "names", "cells", last_of_each_key(F.col("object")).alias("object"), json_kinds(F.col("text")).alias("kinds"),
         (F.col("failed") | (F.col("whole") & no_json)).alias("failed"), "text",
     ).where("failed OR text IS NULL OR object IS NOT NULL").drop("text")
 
@@ -62,6 +62,8 @@ def read_files(spark: SparkSession, files: DataFrame) -> Intake:
     """Rows of all supported files of a listing, whatever their number of layouts, in the same
     few jobs; the names of a file's columns come by the join that numbers its rows.
 
+    ``raw`` has the values as texts, ``raw_kinds`` what JSON had those as that are no texts.
+
     Of a file with a failed record no row is returned; it is named with the reason, like
     those that the listing found broken and those of no supported format.
     """
@@ -76,6 +78,7 @@ def read_files(spark: SparkSession, files: DataFrame) -> Intake:
         "line_number",
         "source_name",
         F.coalesce("object", by_name).alias("raw"),
+        F.col("kinds").alias("raw_kinds"),
         F.lit("pending").alias("status"),
     )
     reason = F.concat(F.lit("Cannot be parsed as "), F.when(F.col("kind") == "xml", "XML").otherwise("a JSON array"))

@@ -84,6 +84,18 @@ def parse_json_line(line: Column) -> Column:
     return F.when(F.size(parsed) == 1, F.get(parsed, 0))
 
 
+def json_kinds(text: Column) -> Column:
+    """Which values of a JSON object are no texts: name to number, boolean, object or array.
+    Texts and nulls have no entry."""
+    kind = F.transform_values(F.from_json(text, "map<string,variant>"), lambda _, v: F.schema_of_variant(v))
+    named = F.transform_values(
+        kind,
+        lambda _, k: F.when(k == "BOOLEAN", "boolean").when(F.startswith(k, F.lit("OBJECT")), "object")
+        .when(F.startswith(k, F.lit("ARRAY")), "array").when(~k.isin("STRING", "VOID"), "number"),
+    )
+    return F.map_filter(last_of_each_key(named), lambda _, k: k.isNotNull())
+
+
 def scan_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One object per line; blank, broken and other lines are skipped. Read in splits."""
     lines = spark.read.text(paths).select(*_place(), parse_json_line(F.col("value")).alias("raw"))
