@@ -50,12 +50,13 @@ def records(spark: SparkSession, files: DataFrame) -> DataFrame:
         .sortWithinPartitions("path", "at")
     )
     found = dealt.mapInArrow(read_ranges, RECORDS)
-    parsed = found.select("*", parse_json_line(F.col("text")).alias("object"))
+    parsed = found.withColumn("object", parse_json_line(F.col("text"))).where("failed OR text IS NULL OR whole OR object IS NOT NULL")
     no_json = F.col("text").isNotNull() & F.col("object").isNull() & F.try_parse_json("text").isNull()
-    return parsed.select(
-        "source_path", "__block", "names", "cells", last_of_each_key(F.col("object")).alias("object"), json_kinds(F.col("text")).alias("kinds"),
-        (F.col("failed") | (F.col("whole") & no_json)).alias("failed"), "text",
-    ).where("failed OR text IS NULL OR object IS NOT NULL").drop("text")
+    judged = parsed.withColumn("failed", F.col("failed") | no_json).where("failed OR text IS NULL OR object IS NOT NULL")
+    return judged.select(
+        "source_path", "__block", "names", "cells", last_of_each_key(F.col("object")).alias("object"),
+        json_kinds(F.col("text")).alias("kinds"), "failed",
+    )
 
 
 def read_files(spark: SparkSession, files: DataFrame) -> Intake:

@@ -86,14 +86,15 @@ def parse_json_line(line: Column) -> Column:
 
 def json_kinds(text: Column) -> Column:
     """Which values of a JSON object are no texts: name to number, boolean, object or array.
-    Texts and nulls have no entry."""
+    Texts and nulls have no entry; an object of texts alone is not looked at again."""
     kind = F.transform_values(F.from_json(text, "map<string,variant>"), lambda _, v: F.schema_of_variant(v))
     named = F.transform_values(
         kind,
         lambda _, k: F.when(k == "BOOLEAN", "boolean").when(F.startswith(k, F.lit("OBJECT")), "object")
         .when(F.startswith(k, F.lit("ARRAY")), "array").when(~k.isin("STRING", "VOID"), "number"),
     )
-    return F.map_filter(last_of_each_key(named), lambda _, k: k.isNotNull())
+    other = text.rlike(r""":\s*[^"\s]""")
+    return F.when(other, F.map_filter(last_of_each_key(named), lambda _, k: k.isNotNull()))
 
 
 def scan_json_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
