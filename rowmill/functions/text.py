@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -124,6 +125,15 @@ def redact(c: Column) -> Column:
     return out.otherwise(c)
 
 
+# Fixed value: what a header is freed of.
+HEADER_MARKS = r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x85\p{Z}]"
+
+
 def normalize_header(c: Column) -> Column:
     """Lower-case header without punctuation; letters, digits, underscore and space stay."""
-    return F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x85\p{Z}]", ""))
+    return F.lower(F.regexp_replace(c, HEADER_MARKS, ""))
+
+
+def normal_header(name: str) -> str:
+    """The same of a name that is known when the plan is made."""
+    return "".join(x for x in name if x == "_" or x.isspace() or unicodedata.category(x)[0] in "LN" or unicodedata.category(x)[0] == "Z").lower()

@@ -153,9 +153,9 @@ def _header_similarity(spark, sf_dir):
 # vendor headers: every distinct word of the documents, and the canonical names spelt oddly
 CANONICAL = list(ORDER_FIELDS)
 HEADERS_SQL = f"""
-words AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^\\p{{L}}\\p{{N}}]+')) AS header FROM documents),
+words AS MATERIALIZED (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^\\p{{L}}\\p{{N}}]+')) AS header FROM documents),
 canon AS (SELECT unnest({CANONICAL!r}) AS canonical_field, unnest(range({len(CANONICAL)})) AS nr),
-headers AS (
+headers AS MATERIALIZED (
   SELECT header FROM words WHERE header <> ''
   UNION SELECT CASE l.doc_id % 3 WHEN 0 THEN upper(canonical_field) WHEN 1 THEN replace(canonical_field, '_', '-')
      ELSE canonical_field || '!' END AS header
@@ -204,7 +204,7 @@ def _best_suggestion(spark, sf_dir):
 
 PLAIN = "lower(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'))"
 MATCH_SQL = HEADERS_SQL + f""",
-matches AS (
+matches AS MATERIALIZED (
   SELECT header, canonical_field, 1.0::DOUBLE AS confidence, 'Exact match' AS rationale
   FROM headers JOIN canon ON lower(header) = lower(canonical_field)
   UNION ALL
@@ -222,7 +222,7 @@ def _match_headers(spark, sf_dir):
 
 @query(
     "unmatched_headers",
-    f"WITH {MATCH_SQL} SELECT header FROM headers WHERE header NOT IN (SELECT header FROM matches)",
+    f"WITH {MATCH_SQL} SELECT header FROM headers ANTI JOIN matches USING (header)",
 )
 def _unmatched_headers(spark, sf_dir):
     return matching.unmatched_headers(vendor_headers(spark, sf_dir), CANONICAL)
@@ -234,8 +234,7 @@ def _unmatched_headers(spark, sf_dir):
         best AS (SELECT header, arg_max(canonical_field, confidence) AS canonical_field, max(confidence) AS confidence,
                    arg_max(rationale, confidence) AS rationale FROM matches GROUP BY header)
         SELECT * FROM best UNION ALL
-        SELECT header, canonical_field, score, 'Suggested' FROM ranked
-        WHERE rank = 1 AND header NOT IN (SELECT header FROM matches)""",
+        SELECT header, canonical_field, score, 'Suggested' FROM ranked ANTI JOIN matches USING (header) WHERE rank = 1""",
 )
 def _propose_mapping(spark, sf_dir):
     return matching.propose_mapping(vendor_headers(spark, sf_dir), CANONICAL)
