@@ -89,35 +89,49 @@ def parse_date(c: Column, fmt: str) -> Column:
     return F.when(c.rlike(regex) & (year != "0000"), built)
 
 
+ISO_START = f"^{WS}*[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}"
+
+
 def normalize_date(c: Column, source_format: str | None = None) -> Column:
     """``yyyy-MM-dd`` text.
 
     A text that starts like an ISO date is cut to it unchecked; else the source
     format is tried, then the known formats in order; else null. Formats are tried
-    only on texts holding their separator.
+    only on texts holding their separator. For whole columns
+    ``operators.normalize.normalise_dates`` does the same in generated code.
     """
+    # ISO texts stay inside generated code, the others are looked at one format at a time
+    return F.when(c.rlike(ISO_START), F.left(strip(c), F.lit(10))).otherwise(let(strip(c), lambda t: by_format(t, source_format)))
+
+
+def date_stages(c: Column, name: str, source_format: str | None = None) -> list[dict[str, Column]]:
+    """``normalize_date`` of a text column in two projections, so that the text is trimmed
+    once and all is generated code."""
+    text = f"__text_{name}"
+    bare = F.col("`" + text.replace("`", "``") + "`")
+    # the text before trimming may start with white space; after it, with the year
+    iso = bare.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}")
+    return [{text: strip(c)}, {name: F.when(iso, F.left(bare, F.lit(10))).otherwise(by_format(bare, source_format))}]
+
+
+def by_format(text: Column, source_format: str | None = None) -> Column:
+    """A trimmed text by the source format and the known ones."""
     formats = ([source_format] if source_format else []) + list(DATE_FORMATS)
     tries = {sep: [f for f in formats if sep in f] for sep in ("/", "-", ".")}
     compact = [f for f in formats if not re.search(r"[-/.]", f)]
 
-    def by_format(text: Column) -> Column:
-        def first_of(candidates):
-            return F.coalesce(*[parse_date(text, f) for f in candidates]).cast("string")
-
-        out = None
-        if source_format and sum(sep in source_format for sep in tries) > 1:
-            # a source format that mixes separators is tried before the grouped formats
-            mixed = first_of([source_format])
-            out = F.when(mixed.isNotNull(), mixed)
-        for sep, candidates in tries.items():
-            holds, parsed = F.contains(text, F.lit(sep)), first_of(candidates)
-            out = F.when(holds, parsed) if out is None else out.when(holds, parsed)
-        return out.otherwise(first_of(compact))
-
-    # ISO texts stay inside generated code, the others are looked at one format at a time
-    return F.when(c.rlike(f"^{WS}*[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}"), F.left(strip(c), F.lit(10))).otherwise(
-        let(strip(c), by_format)
-    )
+    def first_of(candidates):
+        return F.coalesce(*[parse_date(text, f) for f in candidates]).cast("string")
+
+    out = None
+    if source_format and sum(sep in source_format for sep in tries) > 1:
+        # a source format that mixes separators is tried before the grouped formats
+        mixed = first_of([source_format])
+        out = F.when(mixed.isNotNull(), mixed)
+    for sep, candidates in tries.items():
+        holds, parsed = F.contains(text, F.lit(sep)), first_of(candidates)
+        out = F.when(holds, parsed) if out is None else out.when(holds, parsed)
+    return out.otherwise(first_of(compact))
 
 
 _TIME = (

@@ -53,56 +53,71 @@ def detect_separators(c: Column) -> Column:
 
 def _unify_separators(c: Column) -> Column:
     """The same guess applied: grouping marks gone, a dot as decimal mark."""
+
+    def without(mark: str) -> Column:
+        return F.replace(c, F.lit(mark), F.lit(""))
+
+    def repeated(mark: str) -> Column:
+        return F.substring_index(c, mark, 2) != c
+
+    comma, dot = F.contains(c, F.lit(",")), F.contains(c, F.lit("."))
+    dot_last = F.contains(F.substring_index(c, ",", -1), F.lit("."))
     return (
-        F.when(c.rlike(r",.*\.[^,]*$|^[^.]*,[^.]*,[^.]*$"), F.translate(c, ",", ""))
-        .when(c.rlike(r"\..*,[^.]*$"), F.translate(c, ",.", "."))
-        .when(c.rlike(r"\..*\."), F.translate(c, ".", ""))
+        F.when(comma & dot, F.when(dot_last, without(",")).otherwise(F.replace(without("."), F.lit(","), F.lit("."))))
+        .when(comma, F.when(repeated(","), without(",")).otherwise(c))
+        .when(repeated("."), without("."))
         .otherwise(c)
     )
 
 
-def _written_out(bare: Column) -> Column:
-    """Plus sign and leading zeros dropped, a zero before and no bare dot at the end."""
-    unsigned = F.regexp_replace(bare, r"^\+?(-?)0*(?=[0-9.])", "$1")
-    return F.regexp_replace(F.regexp_replace(unsigned, r"^(-?)\.", "$10."), r"\.$", "")
+def _unsigned(bare: Column) -> Column:
+    """Plus sign and leading zeros dropped; most texts have neither."""
+    zeros = F.startswith(bare, F.lit("0")) | F.startswith(bare, F.lit("+")) | F.startswith(bare, F.lit("-0"))
+    return F.when(zeros, F.regexp_replace(bare, r"^\+?(-?)0*(?=[0-9.])", "$1")).otherwise(bare)
 
 
-def _scientific(bare: Column) -> Column:
-    """Text of a number with an exponent or a very small fraction, or a special value."""
+def _written_out(unsigned: Column) -> Column:
+    """A zero before and no bare dot at the end."""
+    return (
+        F.when(unsigned.isin(".", "-."), F.replace(unsigned, F.lit("."), F.lit("0")))
+        .when(F.endswith(unsigned, F.lit(".")), F.left(unsigned, F.length(unsigned) - 1))
+        .when(F.startswith(unsigned, F.lit(".")), F.concat(F.lit("0"), unsigned))
+        .when(F.startswith(unsigned, F.lit("-.")), F.concat(F.lit("-0."), F.substring(unsigned, 3, 1 << 30)))
+        .otherwise(unsigned)
+    )
+
+
+def _exponent_parts(bare: Column) -> tuple[Column, Column]:
+    """Digits without leading zeros, and the exponent of the last, of a finite number."""
 
     def part(i):
         return F.regexp_extract(bare, _DECIMAL_PARTS, i)
 
-    def body(digits, exponent):
-        left = exponent + F.length(digits)
-        plain = (exponent <= 0) & (left > -6)
-        point = F.when(plain, left).otherwise(F.lit(1))
-        shift = left - point
-        return F.concat(
-            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-            .when(point >= F.length(digits), digits)
-            .otherwise(
-                F.concat(
-                    F.left(digits, point),
-                    F.lit("."),
-                    F.substring(digits, point + 1, F.length(digits)),
-                )
-            ),
-            F.when(shift == 0, F.lit(""))
-            .when(shift > 0, F.concat(F.lit("E+"), shift.cast("string")))
-            .otherwise(F.concat(F.lit("E"), shift.cast("string"))),
-        )
+    digits = F.ltrim(F.concat(part(2), part(3)), F.lit("0"))
+    exponent = F.coalesce(part(4).try_cast("int"), F.lit(0)) - F.length(part(3))
+    return F.when(digits == "", F.lit("0")).otherwise(digits), exponent
+
 
+def _scientific(bare: Column, digits: Column, exponent: Column, finite: Column) -> Column:
+    """Text of a number with an exponent or a very small fraction, or a special value."""
+    left = exponent + F.length(digits)
+    plain = (exponent <= 0) & (left > -6)
+    point = F.when(plain, left).otherwise(F.lit(1))
+    shift = left - point
+    body = F.concat(
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits), digits)
+        .otherwise(
+            F.concat(F.left(digits, point), F.lit("."), F.substring(digits, point + 1, F.length(digits)))
+        ),
+        F.when(shift == 0, F.lit(""))
+        .when(shift > 0, F.concat(F.lit("E+"), shift.cast("string")))
+        .otherwise(F.concat(F.lit("E"), shift.cast("string"))),
+    )
     low = F.lower(bare)
     sign = F.when(F.startswith(bare, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    digits = F.ltrim(F.concat(part(2), part(3)), F.lit("0"))
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    exponent = F.coalesce(part(4).try_cast("int"), F.lit(0)) - F.length(part(3))
     payload = F.ltrim(F.regexp_extract(low, "([0-9]*)$", 1), F.lit("0"))
-    return F.when(
-        bare.rlike(FINITE_DECIMAL),
-        F.concat(sign, let(digits, lambda d: let(exponent, lambda e: body(d, e)))),
-    ).when(
+    return F.when(finite, F.concat(sign, body)).when(
         bare.rlike(SPECIAL_DECIMAL),
         F.when(F.contains(low, F.lit("inf")), F.concat(sign, F.lit("Infinity")))
         .when(F.contains(low, F.lit("snan")), F.concat(sign, F.lit("sNaN"), payload))
@@ -117,7 +132,49 @@ def decimal_text(bare: Column) -> Column:
     trailing zeros stay as written, leading zeros and a plus sign go, very small or
     exponent forms become scientific.
     """
-    return F.when(bare.rlike(WRITTEN_OUT), _written_out(bare)).otherwise(_scientific(bare))
+    digits, exponent = _exponent_parts(bare)
+    rest = let(digits, lambda d: let(exponent, lambda e: _scientific(bare, d, e, bare.rlike(FINITE_DECIMAL))))
+    return F.when(bare.rlike(WRITTEN_OUT), _written_out(_unsigned(bare))).otherwise(rest)
+
+
+def _tidy(text: Column) -> Column:
+    return F.replace(strip(text), F.lit("_"), F.lit(""))
+
+
+def _with_given(text: Column, decimal_separator: str | None, thousands_separator: str) -> Column:
+    if thousands_separator:
+        text = F.replace(text, F.lit(thousands_separator), F.lit(""))
+    if decimal_separator and decimal_separator != ".":
+        text = F.replace(text, F.lit(decimal_separator), F.lit("."))
+    return text
+
+
+def decimal_stages(
+    c: Column, name: str, decimal_separator: str | None = None, thousands_separator: str | None = None
+) -> list[dict[str, Column]]:
+    """``normalize_decimal`` of a text column in steps, each a projection over the one before,
+    so that every value is computed once and in generated code. The last step is ``name``."""
+    helper = {k: f"__{k}_{name}" for k in ("plain", "text", "parted", "bare", "written", "finite", "unsigned", "digits", "exponent")}
+    col = {k: F.col("`" + v.replace("`", "``") + "`") for k, v in helper.items()}
+    given = decimal_separator is not None and thousands_separator is not None
+    parted = _with_given(col["text"], decimal_separator, thousands_separator) if given else _unify_separators(col["text"])
+    plain = F.lit(False) if given else F.coalesce(c.rlike(PLAIN_DECIMAL), F.lit(False))
+    digits, exponent = _exponent_parts(col["bare"])
+    rare = _scientific(col["bare"], col["digits"], col["exponent"], col["finite"])
+    finite = F.when(col["plain"] | col["written"], False).otherwise(F.coalesce(col["bare"].rlike(FINITE_DECIMAL), F.lit(False)))
+    return [
+        {helper["plain"]: plain, helper["text"]: strip(c)},
+        {helper["parted"]: F.when(col["plain"], col["text"]).otherwise(parted)},
+        {helper["bare"]: F.when(col["plain"], col["parted"]).otherwise(_tidy(col["parted"]))},
+        {helper["written"]: F.when(col["plain"], False).otherwise(F.coalesce(col["bare"].rlike(WRITTEN_OUT), F.lit(False)))},
+        {helper["finite"]: finite},
+        {
+            helper["unsigned"]: F.when(col["written"], _unsigned(col["bare"])),
+            helper["digits"]: F.when(col["finite"], digits),
+            helper["exponent"]: F.when(col["finite"], exponent),
+        },
+        {name: F.when(col["plain"], col["bare"]).when(col["written"], _written_out(col["unsigned"])).otherwise(rare)},
+    ]
 
 
 def normalize_decimal(
@@ -128,24 +185,17 @@ def normalize_decimal(
 ) -> Column:
     """Decimal text with a dot; null when it is no number.
 
-    Separators count as given only when both are given, else both are detected.
+    Separators count as given only when both are given, else both are detected. For whole
+    columns ``operators.normalize.normalise_decimals`` does the same in generated code.
     """
     if dtype != "string":
         return c.cast("string")
 
-    def tidy(text: Column) -> Column:
-        return F.translate(strip(text), "_", "")
-
     if decimal_separator is None or thousands_separator is None:
         # what is plain already stays inside generated code
-        rest = let(strip(c), lambda t: let(tidy(_unify_separators(t)), decimal_text))
+        rest = let(strip(c), lambda t: let(_tidy(_unify_separators(t)), decimal_text))
         return F.when(c.rlike(PLAIN_DECIMAL), c).otherwise(rest)
-    text = strip(c)
-    if thousands_separator:
-        text = F.replace(text, F.lit(thousands_separator), F.lit(""))
-    if decimal_separator and decimal_separator != ".":
-        text = F.replace(text, F.lit(decimal_separator), F.lit("."))
-    return let(tidy(text), decimal_text)
+    return let(_tidy(_with_given(strip(c), decimal_separator, thousands_separator)), decimal_text)
 
 
 def is_integer_text(c: Column) -> Column:

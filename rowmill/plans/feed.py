@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.functions.dates import normalize_date
-from rowmill.functions.numbers import normalize_decimal
 from rowmill.functions.text import normalize_boolean, normalize_phone
 from rowmill.operators.mapping import SAMPLE_MAPPING, map_fields, rules_from_dict
-from rowmill.operators.normalize import normalise_rows
+from rowmill.operators.normalize import normalise_dates, normalise_decimals, normalise_rows
 from rowmill.operators.validate import SAMPLE_RULES, validate
 from rowmill.session import tune
 
@@ -193,11 +191,9 @@ FEED_SQL = FEED_SQL.format(unit_price=_money_sql("cents"), total=_money_sql("tot
 def mapped_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trimmed and mapped to canonical fields; dates, amounts and flags in normal form."""
     mapped = map_fields(normalise_rows(vendor_feed(spark, sf_dir)), rules_from_dict(FEED_MAPPING))
-    return mapped.withColumns(
+    dated = normalise_decimals(normalise_dates(mapped, ["order_date"]), ["unit_price", "total_amount"])
+    return dated.withColumns(
         {
-            "order_date": normalize_date(F.col("order_date")),
-            "unit_price": normalize_decimal(F.col("unit_price")),
-            "total_amount": normalize_decimal(F.col("total_amount")),
             "phone_number": normalize_phone(F.col("phone_number")),
             "expedited": normalize_boolean(F.col("expedited")),
         }

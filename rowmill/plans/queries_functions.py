@@ -11,14 +11,13 @@ from rowmill.functions import (
     detect_separators,
     normalize_boolean,
     normalize_date,
-    normalize_decimal,
     normalize_email,
     normalize_header,
     normalize_phone,
     redact,
     truncate,
 )
-from rowmill.operators.normalize import normalise_map, normalise_rows
+from rowmill.operators.normalize import normalise_dates, normalise_decimals, normalise_map, normalise_rows
 from rowmill.plans import sql as S
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import FEED_SQL, table, vendor_feed
@@ -71,7 +70,7 @@ def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {DATE_TEXT_SQL} SELECT o_orderkey, {S.date_text('text')} AS iso FROM dates",
 )
 def _normalize_date(spark, sf_dir):
-    return date_texts(spark, sf_dir).select("o_orderkey", normalize_date(F.col("text")).alias("iso"))
+    return normalise_dates(date_texts(spark, sf_dir).select("o_orderkey", F.col("text").alias("iso")), ["iso"])
 
 
 @query(
@@ -135,9 +134,7 @@ LINE_KEY_SQL = ", ".join(LINE_KEY)
     f"WITH {AMOUNT_SQL} SELECT {LINE_KEY_SQL}, {S.decimal_text('text')} AS amount FROM amounts",
 )
 def _normalize_decimal(spark, sf_dir):
-    return amount_texts(spark, sf_dir).select(
-        *LINE_KEY, normalize_decimal(F.col("text")).alias("amount")
-    )
+    return normalise_decimals(amount_texts(spark, sf_dir).withColumnRenamed("text", "amount"), ["amount"])
 
 
 @query(
@@ -151,9 +148,7 @@ def _normalize_decimal(spark, sf_dir):
         FROM swapped""",
 )
 def _normalize_decimal_given(spark, sf_dir):
-    return amount_texts(spark, sf_dir).select(
-        *LINE_KEY, normalize_decimal(F.col("text"), ",", ".").alias("amount")
-    )
+    return normalise_decimals(amount_texts(spark, sf_dir).withColumnRenamed("text", "amount"), ["amount"], ",", ".")
 
 
 @query(

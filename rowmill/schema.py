@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from rowmill.functions.dates import normalize_date
 from rowmill.functions.numbers import INTEGER, normalize_decimal
 from rowmill.functions.text import normalize_email, strip, strip_or_null
+from rowmill.operators.normalize import normalise_dates, normalise_decimals
 from rowmill.records import column
 
 # The canonical order record.
@@ -112,9 +113,12 @@ def cast_value(c: Column, declared: str | None) -> Column:
 def normalise_by_schema(df: DataFrame, schema: CanonicalSchema) -> DataFrame:
     """Bring each declared field of a flat record to the normal form of its type."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.withColumns(
-        {n: normalise_value(column(n), schema.field_type(n), types[n]) for n in schema.fields if n in types}
-    )
+    kinds = {n: schema.field_type(n) for n in schema.fields if n in types}
+    dates = [n for n, k in kinds.items() if k == "date" and types[n] == "string"]
+    amounts = [n for n, k in kinds.items() if k == "decimal"]
+    rest = {n: normalise_value(column(n), k, types[n]) for n, k in kinds.items() if n not in (*dates, *amounts)}
+    out = normalise_decimals(normalise_dates(df, dates), amounts)
+    return out.withColumns(rest) if rest else out
 
 
 def cast_to_schema(df: DataFrame, schema: CanonicalSchema) -> DataFrame:

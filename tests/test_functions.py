@@ -9,6 +9,7 @@ from rowmill import functions as R
 from rowmill.functions.dates import DATE_FORMATS
 from rowmill.functions.numbers import is_decimal_text, is_integer_text
 from rowmill.functions.text import WS_CHARS
+from rowmill.operators.normalize import normalise_dates, normalise_decimals
 
 
 def test_strip(apply):
@@ -38,7 +39,15 @@ def expected_decimal(text):
     return python_decimal(v)
 
 
-def test_decimal(apply):
+def staged(spark, texts, function, *args):
+    """A column function that works in projections of its own, on two columns of odd names."""
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, `a b` string, `x.y` string")
+    rows = function(df, ["a b", "x.y"], *args).orderBy("i").collect()
+    assert all(r["a b"] == r["x.y"] for r in rows)
+    return [r["x.y"] for r in rows]
+
+
+def test_decimal(spark, apply):
     random.seed(7)
     texts = [
         "1,000.50", "1.000,50", "1,000,000", "1.000.000", "1,50", "$5", "1.50", "", " ", None, "+5", ".5", "5.",
@@ -47,9 +56,11 @@ def test_decimal(apply):
         "123456789012345678901234567890.123456789", "1,2,3.4", "1.2.3,4", "1,2.3,4", "\t12\n", "1e", "e5", "0E5",
     ]
     texts += ["".join(random.choice("0159.,-+eE") for _ in range(random.randint(1, 9))) for _ in range(1500)]
-    got = apply(texts, R.normalize_decimal)
-    wrong = [(t, g, expected_decimal(t)) for t, g in zip(texts, got) if g != expected_decimal(t)]
-    assert not wrong, wrong[:10]
+    for got in (apply(texts, R.normalize_decimal), staged(spark, texts, normalise_decimals)):
+        wrong = [(t, g, expected_decimal(t)) for t, g in zip(texts, got) if g != expected_decimal(t)]
+        assert not wrong, wrong[:10]
+    given = apply(texts, lambda c: R.normalize_decimal(c, ",", "."))
+    assert staged(spark, texts, normalise_decimals, ",", ".") == given
 
 
 def test_number_grammars(apply):
@@ -89,7 +100,7 @@ def expected_date(text, source=None):
     return None
 
 
-def test_date(apply):
+def test_date(spark, apply):
     random.seed(9)
     texts = [
         "2024-99-99", "05/03/2024", "12/31/2024", "20240105", "2024115", "2024-1-5", "31.12.2024", "31/02/2024",
@@ -102,12 +113,13 @@ def test_date(apply):
         )
         for _ in range(1200)
     ]
-    got = apply(texts, R.normalize_date)
-    wrong = [(t, g, expected_date(t)) for t, g in zip(texts, got) if g != expected_date(t)]
-    assert not wrong, wrong[:10]
+    for got in (apply(texts, R.normalize_date), staged(spark, texts, normalise_dates)):
+        wrong = [(t, g, expected_date(t)) for t, g in zip(texts, got) if g != expected_date(t)]
+        assert not wrong, wrong[:10]
     for source in ("%m/%d/%Y", "%d %b %Y", "%y%m%d", "%Y.%m-%d"):
         some = texts + ["5 Jan 2024", "240105", "2024.01-05"]
-        assert apply(some, lambda c: R.normalize_date(c, source)) == [expected_date(t, source) for t in some]
+        want = [expected_date(t, source) for t in some]
+        assert apply(some, lambda c: R.normalize_date(c, source)) == want == staged(spark, some, normalise_dates, source)
 
 
 def test_iso_moment(apply):
