@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from rowmill.llm.arrays import Words, grams, grams_between, mix, pieces, signed
 from rowmill.llm.frames import components, written
+from rowmill.operators.joins import spread_lookup
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -40,19 +41,32 @@ GROUP_BYTES = 8 << 20
 #: A bucket that keeps more than this share of the one it was split from holds texts that
 #: are alike all over; splitting it further would only repeat it.
 ALIKE = 0.5
+#: So many members of a large bucket show whether its members are alike.
+WITNESSES = 8
 MISSED = 1e-6
 #: Embeddings of sets at the threshold agree in 51 of 64 tokens, give or take 3.2. Fewer
-#: than 35 is five deviations below.
-LEAST_EQUAL = 35
+#: than 32 is six deviations below.
+LEAST_EQUAL = 32
 
 _SALTS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def runs_needed(missed: float = MISSED, similarity: float = THRESHOLD) -> int:
-    """Runs after which a pair at the threshold is missed with less than this probability,
-    even if each of its buckets is split to the last level."""
-    meets = similarity * (1 - (1 - similarity) ** CHILDREN) ** (DEPTH - 1)
-    return math.ceil(math.log(missed) / math.log(1 - meets))
+def missed(runs: int, similarity: float = THRESHOLD) -> float:
+    """The share of pairs at a similarity that no run brings together, even if each of their
+    buckets is split to the last level, or that the embeddings discard. All runs draw from
+    the same tokens, so it is a sum over how many of those are equal."""
+    total = 0.0
+    for equal in range(TOKENS + 1):
+        share = equal / TOKENS
+        meets = share * (1 - (1 - share) ** CHILDREN) ** (DEPTH - 1)
+        likely = math.comb(TOKENS, equal) * similarity**equal * (1 - similarity) ** (TOKENS - equal)
+        total += likely * (1 if equal < LEAST_EQUAL else (1 - meets) ** runs)
+    return total
+
+
+def runs_needed(most: float = MISSED, similarity: float = THRESHOLD) -> int:
+    """Runs after which a pair at the threshold is missed with less than this probability."""
+    return next(runs for runs in range(1, TOKENS + 1) if missed(runs, similarity) < most)
 
 
 def _sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,6 +128,27 @@ def _shingle_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _spots() -> list:
+    """The places of the tokens by which a bucket is split, drawn for its path."""
+    first = F.pmod(F.xxhash64("path"), F.lit(TOKENS)).cast("int")
+    return [F.pmod(first + c * (TOKENS // CHILDREN), F.lit(TOKENS)) for c in range(CHILDREN)]
+
+
+def _alike(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(path, alike) of the large buckets most of whose members have one token at a place of
+    the next split: near copies of one text, which a split would only repeat.
+
+    A few members of each bucket, those of least hashes, stand for all. A bucket that is
+    left whole compares all its members, so whatever they say no pair is lost.
+    """
+    witnesses = large.groupBy("path").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"w{i}") for i in range(WITNESSES)])
+    drawn = witnesses.select("path", F.explode(F.array(*[f"w{i}" for i in range(WITNESSES)])).alias("rep"))
+    places = F.posexplode(F.array(*[F.element_at("sketch", s + 1) for s in _spots()])).alias("place", "token")
+    same = drawn.join(classes.select("rep", "sketch"), "rep").select("path", places).groupBy("path", "place", "token").count()
+    most = same.groupBy("path").agg(F.max("count").alias("most"))
+    return most.where(F.col("most") > ALIKE * WITNESSES).select("path", F.lit(True).alias("alike"))
+
+
 def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     """(leaf, rep, n): the buckets of two classes or more that are compared."""
     token = lambda at: F.element_at("sketch", at + 1)
@@ -123,21 +158,21 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     done = None
     for depth in range(1, DEPTH + 1):
         sizes = members.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        shared = members.join(sizes, "path")
+        shared = spread_lookup(members, sizes, ["path"])
         last = depth == DEPTH
         if not last:
             shared = written(shared, "buckets")
-        alike = F.coalesce(F.col("n") > ALIKE * F.col("parent"), F.lit(False))
-        split = F.lit(False) if last else (F.col("n") > LIMIT) & ~alike
+        kept = F.coalesce(F.col("n") > ALIKE * F.col("parent"), F.lit(False))
+        split = F.lit(False) if last else (F.col("n") > LIMIT) & ~kept
         leaf = shared.where(~split).select(F.col("path").alias("leaf"), "rep", "n")
         done = leaf if done is None else done.union(leaf)
         large = shared.where(split)
         if last or large.isEmpty():
             return done
-        first = F.pmod(F.xxhash64("path"), F.lit(TOKENS)).cast("int")
-        spots = [F.pmod(first + c * (TOKENS // CHILDREN), F.lit(TOKENS)) for c in range(CHILDREN)]
-        members = large.join(classes.select("rep", "sketch"), "rep").select(
-            "rep", F.explode(F.array(*[F.xxhash64("path", s, token(s)) for s in spots])).alias("path"), F.col("n").alias("parent")
+        large = written(spread_lookup(large, _alike(large, classes), ["path"], "left"), "large")
+        done = done.union(large.where("alike").select(F.col("path").alias("leaf"), "rep", "n"))
+        members = large.where("alike IS NULL").join(classes.select("rep", "sketch"), "rep").select(
+            "rep", F.explode(F.array(*[F.xxhash64("path", s, token(s)) for s in _spots()])).alias("path"), F.col("n").alias("parent")
         )
     return done
 

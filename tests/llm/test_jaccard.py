@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from brute import BLANK
 
 from rowmill.llm import jaccard
@@ -86,5 +87,52 @@ def test_long_lists_in_ranges():
     assert out.tolist() == [len(np.intersect1d(lists[x], lists[y])) for x, y in zip(a, b)]
 
 
-def test_runs():
-    assert jaccard.runs_needed() == 12
+def test_runs_miss_less_than_stated():
+    """Pairs with each token equal by a chance of 0.8, all buckets split to the last level."""
+    runs = jaccard.runs_needed()
+    assert jaccard.missed(runs) < jaccard.MISSED <= jaccard.missed(runs - 1)
+    rnd = np.random.default_rng(3)
+    n, few = 100_000, 4
+    same = rnd.random((n, jaccard.TOKENS)) < jaccard.THRESHOLD
+    met = np.zeros(n, bool)
+    for run in range(few):
+        one = same[:, run]
+        for _ in range(jaccard.DEPTH - 1):
+            first = rnd.integers(0, jaccard.TOKENS, n)
+            spots = [(first + c * (jaccard.TOKENS // jaccard.CHILDREN)) % jaccard.TOKENS for c in range(jaccard.CHILDREN)]
+            one = one & np.any([same[np.arange(n), s] for s in spots], axis=0)
+        met |= one
+    assert abs((~met).mean() / jaccard.missed(few) - 1) < 0.15
+
+
+def test_recall_with_all_buckets_split(spark, monkeypatch):
+    """Every pair at a similarity of 0.8 or just above is linked, though no bucket is kept."""
+    monkeypatch.setattr(jaccard, "LIMIT", 1)
+    monkeypatch.setattr(jaccard, "ALIKE", 2)
+    rnd = np.random.default_rng(8)
+    rows = []
+    for pair in range(400):
+        words = [f"p{pair}w{i}" for i in range(int(rnd.integers(94, 400)))]
+        k = len(words) - 4
+        changed = (k - 1) // 9  # shingles at the end that differ: (k - c) / (k + c) is 0.8 or more
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join([*words[: len(words) - changed], *[f"q{pair}w{i}" for i in range(changed)]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = [r for r in jaccard.jaccard_groups(df).collect() if r.n_links]
+    assert {(r.id, r.class_id) for r in linked} == {(i, i - i % 2) for i in range(800)}
+
+
+@pytest.mark.parametrize("witnesses", [8, 1])
+def test_one_large_group_of_near_copies(spark, monkeypatch, witnesses):
+    """A bucket of near copies is left whole without being dealt again; results are all pairs'."""
+    monkeypatch.setattr(jaccard, "LIMIT", 10)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "WITNESSES", witnesses)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        words[i] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"o{i}v{k}" for k in range(30)) + " " + " ".join(base[:40])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df) == plain(rows)
