@@ -2,7 +2,7 @@
 
 ``encode`` and ``decode`` turn texts into ids and ids into bytes; ``count_tokens`` counts
 only. The vocabulary files are read by the task from a path every machine has (a parameter),
-so nothing but the path is sent. Each task keeps a bounded memo of short pieces: words
+so nothing but the path is sent. Each worker keeps a bounded memo of short pieces: words
 repeat, so nearly all pieces are looked up and only new ones are merged.
 """
 
@@ -12,6 +12,8 @@ import base64
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -160,11 +162,17 @@ def count_piece(piece: bytes, merges: dict[tuple[bytes, bytes], int]) -> int:
     return left
 
 
-def _encoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int], pattern: str) -> Iterator[pa.RecordBatch]:
+@lru_cache(maxsize=2)
+def _known(ranks_path: str) -> tuple[dict[bytes, int], Memo]:
+    """Ranks and the packed ids of pieces met so far, for all tasks that a worker runs."""
+    ranks = read_ranks(ranks_path)
+    return ranks, Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes())
+
+
+def _encoded(batches: Iterable[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     """(id, ids) batches of (id, text) ones."""
     find = regex.compile(pattern).findall
-    memo = Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes())
-    get = memo.__getitem__
+    get = _known(ranks_path)[1].__getitem__
     for part in pieces(batches, "text"):
         packed = [b"".join(map(get, find(t))) if t else b"" for t in part.column("text").to_pylist()]
         ends = np.cumsum([0, *map(len, packed)]) // 4
@@ -175,10 +183,7 @@ def _encoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int], pattern
 
 def _decoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """(id, ids, decoded) batches of (id, ids) ones."""
-    table = np.full(max(ranks.values(), default=-1) + 1, None, object)
-    for token, rank in ranks.items():
-        table[rank] = token
-    vocabulary = pa.array(table, pa.large_binary())
+    vocabulary = _vocabulary(ranks)
     for batch in batches:
         sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -197,6 +202,31 @@ def _decoded(batches: Iterable[pa.RecordBatch], ranks: dict[bytes, int]) -> Iter
             start = stop
 
 
+def _vocabulary(ranks: dict[bytes, int]) -> pa.Array:
+    """The bytes of each id."""
+    table = np.full(max(ranks.values(), default=-1) + 1, None, object)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return pa.array(table, pa.large_binary())
+
+
+def _some(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows in turn, some million ids at a time, one row at least."""
+    start = 0
+    while start < len(ends) - 1:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + DECODED_IDS, "right")) - 1)
+        yield start, stop
+        start = stop
+
+
+def _joined(table: pa.Array, ids: pa.Array, edges: np.ndarray) -> list[memoryview]:
+    """What the ids between two edges stand for, one after the other."""
+    taken = table.take(ids)
+    at = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)[edges].tolist()
+    data = memoryview(taken.buffers()[2] or b"")
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
 def _schema(source: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([source.schema["id"], *fields])
 
@@ -213,7 +243,7 @@ def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern:
     columns are left out whatever their names. Any text length is taken whole.
     """
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(lambda batches: _encoded(batches, read_ranks(ranks_path), pattern), _schema(source, _IDS))
+    return source.mapInArrow(lambda batches: _encoded(batches, ranks_path, pattern), _schema(source, _IDS))
 
 
 def decode(df: DataFrame, id_col: str, ids_col: str, ranks_path: str) -> DataFrame:
@@ -226,13 +256,44 @@ def round_trip(df: DataFrame, id_col: str, text_col: str, ranks_path: str, patte
     """(id, ids, decoded): ``encode`` and then ``decode`` in one pass over the rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(ranks_path)
-        yield from _decoded(_encoded(batches, ranks, pattern), ranks)
+        yield from _decoded(_encoded(batches, ranks_path, pattern), _known(ranks_path)[0])
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, _schema(source, _IDS, _DECODED))
 
 
+def digests(df: DataFrame, id_col: str, text_col: str, ranks_path: str, pattern: str) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): ``round_trip`` without its ids and bytes.
+
+    The ids of a text, in decimal and joined by blanks, and the bytes that they stand for in
+    the table of tokens, are hashed in the task that makes them, so neither leaves it. Both
+    come from tables by the ids. Nulls, repeats and other columns are as in ``encode``.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _vocabulary(_known(ranks_path)[0])
+        named = pa.array([b"%d " % i for i in range(len(tokens))], pa.large_binary())
+        for batch in _encoded(batches, ranks_path, pattern):
+            ids, ends = batch.column("ids"), np.cumsum([0, *batch.column("ids").value_lengths().to_pylist()])
+            for start, stop in _some(ends):
+                some = ids.slice(start, stop - start).flatten()
+                edges = ends[start : stop + 1] - ends[start]
+                numbers, decoded = _joined(named, some, edges), _joined(tokens, some, edges)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").slice(start, stop - start),
+                        pa.array(np.diff(edges)),
+                        pa.array([sha256(x[:-1]).hexdigest() for x in numbers], pa.string()),
+                        pa.array([sha256(x).hexdigest() for x in decoded], pa.string()),
+                    ],
+                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256"))]
+    return source.mapInArrow(run, _schema(source, *fields))
+
+
 def count_tokens(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, pattern: str) -> DataFrame:
     """(id, n_bytes, n_tokens) of every text, one row for each input row.
 

@@ -113,3 +113,23 @@ def test_texts_in_no_learned_language_go(spark):
     assert not ids & set(range(10**9, 10**9 + len(foreign))) and set(range(10**9 + len(foreign), 10**9 + len(planted))) <= ids
     letters = docs.where(F.col("text").rlike(r"\p{L}")).count()
     assert letters * 0.99 < len(got) - len(clean) <= letters
+
+
+def test_rows_of_one_id_and_clashing_names(spark, small):
+    """A text that is near nothing stays, whatever rows share its id; all columns stay."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, row string, ids int, exact int, id int, others int"
+    long_text = " ".join(f"w{i}" for i in range(60_000))
+    rows = [
+        (1, "a b c d e f g", "en", "s", 1), (1, "completely different text here now yes", "en", "s", 2), (2, "a b c d e f g", "en", "s", 3),
+        (None, "x y z u v w", "en", "s", 4), (None, "x y z u v w", "en", "s", 5), (3, long_text, "en", "s", 6), (4, long_text, "en", "s", 7),
+        (None, long_text, "en", "s", 8), (5, "", "en", "s", 9), (6, None, "en", "s", 10),
+    ]
+    docs = spark.createDataFrame([(*r, "k", "r", 1, 2, 3, 4) for r in rows], schema)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, small)
+    assert kept.columns == docs.columns
+    assert sorted(r.n_chars for r in kept.collect()) in ([1, 2, 4, 6, 9, 10], [1, 2, 5, 6, 9, 10])
+    clean = corpus_pipeline.drop_contaminated(spark, kept, small)
+    assert clean.columns == docs.columns and {(r.key, r.row) for r in clean.collect()} == {("k", "r")} and clean.count() == 6
+    last = corpus_pipeline.to_tokens(spark, clean, small)
+    assert last.columns == ["doc_id", "lang", "source", "n_chars", "key", "row", "ids_", "exact_", "id", "others", "ids", "n_tokens", "exact"]
+    assert {(r.ids_, r.exact_, r.exact) for r in last.collect()} == {(1, 2, True)}

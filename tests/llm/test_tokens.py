@@ -1,5 +1,7 @@
 """Encoding, decoding and counting against the public libraries."""
 
+import hashlib
+
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -22,7 +24,7 @@ TEXTS = [
 
 
 def frame(spark, rows, extra=", ids string, n_tokens int"):
-    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string" + extra)
+    return spark.createDataFrame([(i, t, *["x", 1, 2][: extra.count(",")]) for i, t in rows], "doc_id long, text string" + extra)
 
 
 def test_encode_and_decode_as_the_library(spark):
@@ -35,6 +37,18 @@ def test_encode_and_decode_as_the_library(spark):
     assert got == sorted((i, LIBRARY.encode_ordinary(t), t.encode()) for i, t in want)
 
 
+def test_digests_as_the_library(spark):
+    df = frame(spark, [*enumerate(TEXTS), (None, "no id"), (1, "")], ", ids string, n_tokens int, ids_sha256 int")
+    got = sorted((-1 if r.id is None else r.id, *list(r)[1:]) for r in tokens.digests(df, "doc_id", "text", RANKS_PATH, P.PATTERN).collect())
+    want = []
+    for i, t in [(-1, "no id"), (1, ""), *enumerate(t or "" for t in TEXTS)]:
+        ids = LIBRARY.encode_ordinary(t)
+        named = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        want.append((i, len(ids), named, hashlib.sha256(LIBRARY.decode_bytes(ids)).hexdigest()))
+    assert got == sorted(want)
+    assert tokens.digests(df.limit(0), "doc_id", "text", RANKS_PATH, P.PATTERN).count() == 0
+
+
 def test_counts_as_the_library(spark):
     df = frame(spark, [*enumerate(TEXTS), (None, "no id"), (1, "")])
     got = sorted((-1 if r.id is None else r.id, r.n_bytes, r.n_tokens) for r in tokens.count_tokens(df, "doc_id", "text", JSON_PATH, P.PATTERN).collect())
