@@ -34,23 +34,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select("id.others.*", "id.text").select(*docs.columns)
 
 
+def _named_apart(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns of a stage's own that the documents do not have."""
+    return [next(n for n in (name + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns) for name in names]
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays.
+    """Of each group of near copies the document with the smallest id stays, one without an
+    id only where none has one.
 
-    Of rows with one id one stays. Rows without an id can't be compared and stay.
+    Rows are told apart by their place in the stored documents, not by their ids: rows of one
+    id are near copies only if their texts are.
     """
-    groups = jaccard.jaccard_groups(docs)
-    first = groups.where("id = class_id").select(F.col("id").alias("doc_id"))
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL").select(*docs.columns))
+    (row,) = _named_apart(docs, "row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = jaccard.jaccard_groups(numbered, row).select(F.col("id").alias(row), "class_id")
+    first = F.min_by(F.col(row), F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    kept = numbered.select(row, "doc_id").join(groups, row).groupBy("class_id").agg(first.alias(row)).select(row)
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go. Null texts stay."""
+    (name,) = _named_apart(docs, "key")
     key = F.concat_ws("/", F.col("doc_id").cast("string"), F.sha2(F.coalesce("text", F.lit("")), 256))
     found = decontaminate.contamination(docs.select(key.alias("key"), "text"), table(spark, sf_dir, "benchmark"), "key")
-    bad = found.where("n_hit > 0").select(F.col("id").alias("key")).distinct()
-    return docs.withColumn("key", key).join(bad, "key", "left_anti").select(*docs.columns)
+    bad = found.where("n_hit > 0").select(F.col("id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(bad, name, "left_anti").select(*docs.columns)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,12 +70,15 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether they decode to exactly the text."""
+    """Token ids of every text, and whether they decode to exactly the text. Columns of the
+    documents of those names get an underscore."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     others = F.struct(_others(docs).alias("others"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
     back = tokens.round_trip(docs.select(others.alias("row"), "text"), "row", "text", ranks, public_tokenizers.PATTERN)
+    own = ("ids", "n_tokens", "exact")
+    kept = [F.col(f"id.others.`{c}`").alias(c + "_" if c in own else c) for c in docs.columns if c != "text"]
     return back.select(
-        "id.others.*", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.sha2("decoded", 256) == F.col("id.sha")).alias("exact")
+        *kept, "ids", F.size("ids").cast("long").alias("n_tokens"), (F.sha2("decoded", 256) == F.col("id.sha")).alias("exact")
     )
 
 
