@@ -163,27 +163,31 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
       FROM pages),
     s AS (SELECT *, string_split(host, '.') AS l, list_filter(string_split(path, '/'), lambda x: x <> '') AS w FROM p),
     f AS (
-      SELECT r, page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_sort(list_distinct(list_filter([
+      SELECT r, page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_sort(list_distinct(list_filter(list_concat([
         'scheme=' || regexp_extract(url, '^([A-Za-z]*)://', 1),
         'top=' || l[-1],
         'domain=' || array_to_string(l[greatest(len(l) - 1, 1):], '.'),
-        CASE WHEN len(l) > 2 THEN 'sub=' || array_to_string(l[:-3], '.') END,
-        CASE WHEN len(w) > 1 THEN 'first=' || w[1] END,
         'depth=' || len(w),
         CASE WHEN regexp_matches(w[-1], '\.[A-Za-z0-9]{1,8}$') THEN 'ext=' || string_split(w[-1], '.')[-1] END,
-        CASE WHEN contains(url, '?') THEN 'query=' || array_to_string(list_sort(list_distinct(
-          list_transform(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda k: string_split(k, '=')[1]))), ',') END,
-        CASE WHEN contains(url, '#') THEN 'fragment' END], lambda x: x IS NOT NULL))) END AS f
-      FROM s),
+        CASE WHEN contains(url, '#') THEN 'fragment' END],
+        list_transform(list_filter(l, lambda x: x <> ''), lambda x: 'host=' || x),
+        list_transform(list_filter(string_split_regex(host, '[-._]+'), lambda x: x <> ''), lambda x: 'name=' || x),
+        list_transform(list_filter(string_split_regex(path, '[-/._~+,;=]+'), lambda x: x <> ''), lambda x: 'word=' || x),
+        list_transform(list_filter(q, lambda x: string_split(x, '=')[1] <> ''), lambda x: 'key=' || string_split(x, '=')[1]),
+        list_transform(list_filter(q, lambda x: x <> ''), lambda x: 'query=' || x)), lambda x: x IS NOT NULL))) END AS f
+      FROM (SELECT *, string_split(regexp_extract(url, '\?([^#]*)', 1), '&') AS q FROM s)),
     known AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
     t AS (SELECT r, f, bad FROM f JOIN known ON page_id = doc_id WHERE len(f) > 0),
-    subsets AS (
-      SELECT bad, list_filter(f, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items
-      FROM (SELECT f, bad, unnest(range(1, (1 << len(f))::BIGINT)) AS m FROM t)),
+    e AS (SELECT r, f, bad, unnest(f) AS item FROM t),
+    i AS (SELECT item, count(*) FILTER (bad) AS b, count(*) AS n FROM e GROUP BY item HAVING count(*) FILTER (bad) >= 10),
+    best AS (SELECT r, list_sort(list(item ORDER BY b / n DESC, n DESC, item)[:10]) AS items FROM e JOIN i USING (item) WHERE bad GROUP BY r),
+    sets AS (
+      SELECT list_filter(items, lambda x, k: (m >> (k - 1)) & 1 = 1) AS items
+      FROM (SELECT items, unnest(range(1, (1 << len(items))::BIGINT)) AS m FROM best)),
+    frequent AS (SELECT items FROM sets GROUP BY items HAVING count(*) >= 10),
     rules AS (
-      SELECT items, max(c) AS confidence FROM (
-        SELECT items, count(*) FILTER (bad) AS b, count(*) FILTER (bad) / count(*) AS c FROM subsets GROUP BY items)
-      WHERE b >= ceil(0.02 * (SELECT count(*) FROM t)) AND c >= 0.5 GROUP BY items),
+      SELECT items, count(*) FILTER (bad) / count(*) AS confidence FROM frequent JOIN e ON e.item = items[1] AND list_has_all(e.f, items)
+      GROUP BY items HAVING count(*) FILTER (bad) / count(*) >= 0.8),
     hits AS (
       SELECT f.f, max(confidence) AS confidence FROM (SELECT DISTINCT f FROM f) f JOIN rules ON list_has_all(f.f, rules.items) GROUP BY f.f),
     listed AS (

@@ -39,6 +39,25 @@ def test_mined_rules(spark):
     assert all((got[i].verdict == "block") == (i % 12 == 0) for i in range(240))
 
 
+def test_tokens_in_any_place_make_rules(spark):
+    """A word in a path, one pair of a query and one host label under many hosts, each in few rows."""
+    plain = [(i, f"https://w{i % 7}.site{i % 11}.example.org/a/{i}?id={i}") for i in range(2000)]
+    marked = [
+        *((2000 + i, f"https://w{i % 7}.site{i % 11}.example.org/a/free-casino-{i}.html") for i in range(24)),
+        *((2100 + i, f"https://site{i % 11}.example.org/b/{i}?page={i}&cat=adult") for i in range(24)),
+        *((2200 + i, f"https://{'abcdefgh'[i % 8]}.pills.site{i % 11}.example.org/{i}") for i in range(24)),
+    ]
+    labels = [(i, 1, 0) for i in range(1000)] + [(2000 + 100 * k + i, 0, 1) for k in range(3) for i in range(12)]
+    got = judged(spark, plain + marked, labels)
+    assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, _ in marked}
+
+
+def test_too_few_or_too_mixed_make_none(spark):
+    rows = [(i, f"https://a.example.org/{'few' if i < 9 else 'mixed' if i < 100 else 'rest'}/{i}") for i in range(300)]
+    labels = [(i, int(not (i < 9 or (i < 100 and i % 2))), 0) for i in range(300)]
+    assert {r.verdict for r in judged(spark, rows, labels).values()} == {"allow"}
+
+
 def test_repeats_and_nothing(spark):
     assert judged(spark, []) == {}
     pages = spark.createDataFrame([(None, "x://a.net/"), (1, "x://a.net/"), (1, "x://a.net/")], "page_id long, url string")
