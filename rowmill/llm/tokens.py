@@ -26,20 +26,24 @@ from pyspark.sql import types as T
 from rowmill.llm.arrays import pieces
 
 MEMO_PIECES = 250_000
+#: Of those with ids, which all tasks of a worker share: some 100 MB of them.
+MEMO_ENCODED = 500_000
 MEMO_BYTES = 48
 DECODED_IDS = 4_000_000
+_NONE = 1 << 62
 
 
 class Memo(dict):
     """Values of short pieces, worked out when first asked for; emptied when full."""
 
-    def __init__(self, work):
+    def __init__(self, work, most: int | None = None):
         self.work = work
+        self.most = MEMO_PIECES if most is None else most
 
     def __missing__(self, piece):
         value = self.work(piece)
         if len(piece) <= MEMO_BYTES:
-            if len(self) >= MEMO_PIECES:
+            if len(self) >= self.most:
                 self.clear()
             self[piece] = value
         return value
@@ -84,41 +88,39 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     if n < 2:
         return [ranks[piece[i : i + 1]] for i in range(n)]
-    none = 1 << 62
-    size = 1 << (n - 1).bit_length()
-    tree = [none] * (2 * size)
+    get = ranks.get
+    size = 1 << (n - 2).bit_length()
+    tree = [_NONE] * (2 * size)
     for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
+        rank = get(piece[i : i + 2])
         if rank is not None:
             tree[size + i] = rank * n + i
     for node in range(size - 1, 0, -1):
         left, right = tree[2 * node], tree[2 * node + 1]
         tree[node] = left if left < right else right
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    while tree[1] < none:
+    after = list(range(1, n + 2))
+    before = list(range(-1, n))
+    while tree[1] < _NONE:
         at = tree[1] % n
         gone = after[at]
         end = after[gone]
         after[at] = end
-        if end < n:
-            before[end] = at
-        previous = before[at]
-        changed = [(gone, none)]
-        for start, middle in ((at, end), (previous, at)):
-            if start >= 0:
-                rank = ranks.get(piece[start : after[middle]]) if middle < n else None
-                changed.append((start, none if rank is None else rank * n + start))
+        before[end] = at
+        rank = get(piece[at : after[end]]) if end < n else None
+        changed = [(at, _NONE if rank is None else rank * n + at)]
+        if gone < n - 1:  # no pair begins at the last byte
+            changed.append((gone, _NONE))
+        start = before[at]
+        if start >= 0:
+            rank = get(piece[start:end])
+            changed.append((start, _NONE if rank is None else rank * n + start))
         for leaf, value in changed:
             node = size + leaf
-            tree[node] = value
-            node >>= 1
-            while node:
-                left, right = tree[2 * node], tree[2 * node + 1]
-                least = left if left < right else right
-                if tree[node] == least:
-                    break
-                tree[node] = least
+            while node and tree[node] != value:
+                tree[node] = value
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
                 node >>= 1
     ids, at = [], 0
     while at < n:
@@ -166,7 +168,7 @@ def count_piece(piece: bytes, merges: dict[tuple[bytes, bytes], int]) -> int:
 def _known(ranks_path: str) -> tuple[dict[bytes, int], Memo]:
     """Ranks and the packed ids of pieces met so far, for all tasks that a worker runs."""
     ranks = read_ranks(ranks_path)
-    return ranks, Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes())
+    return ranks, Memo(lambda piece: np.array(merge_piece(piece.encode(), ranks), "<i4").tobytes(), MEMO_ENCODED)
 
 
 def _encoded(batches: Iterable[pa.RecordBatch], ranks_path: str, pattern: str) -> Iterator[pa.RecordBatch]:
