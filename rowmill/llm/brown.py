@@ -14,6 +14,7 @@ looked up by a join with the whole vocabulary.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -39,6 +40,7 @@ SMOOTH = 0.5
 #: A task gives out its word counts when it has so many different words.
 HELD = 200_000
 _STRIPE = 16
+_DIGIT = re.compile(rb"[0-9]").search
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -49,7 +51,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 def shape(word: bytes) -> int:
     """One of SHAPES kinds of word."""
     plain = word.isascii()
-    digits = any(48 <= b <= 57 for b in word)
+    digits = _DIGIT(word) is not None
     end = 0 if word[-1:].isalpha() else 1
     last = word[-1] % 4 if plain and not end else 0
     return (min(len(word) // 4, 3) * 2 + plain) * 8 + (4 + digits * 2 + (last & 1) if end or digits else last)
@@ -75,14 +77,23 @@ class Model:
 
 
 class _Numbers(dict):
-    """Numbers of the listed words; others get ``beyond`` plus their shape."""
+    """Numbers of the listed words; others get ``beyond`` plus their shape.
+
+    The shapes of the last words met, HELD at most, are kept.
+    """
 
     def __init__(self, words: list[bytes], beyond: int):
         super().__init__((w, i) for i, w in enumerate(words))
         self.beyond = beyond
+        self.met: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
-        return self.beyond + shape(word)
+        out = self.met.get(word)
+        if out is None:
+            if len(self.met) >= HELD:
+                self.met.clear()
+            out = self.met[word] = self.beyond + shape(word)
+        return out
 
 
 def _over(df: DataFrame, run, schema) -> DataFrame:
