@@ -170,8 +170,9 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
         'depth=' || len(w),
         CASE WHEN regexp_matches(w[-1], '\.[A-Za-z0-9]{1,8}$') THEN 'ext=' || string_split(w[-1], '.')[-1] END,
         CASE WHEN contains(url, '#') THEN 'fragment' END],
-        list_transform(list_filter(l, lambda x: x <> ''), lambda x: 'host=' || x),
-        list_transform(list_filter(string_split_regex(host, '[-._]+'), lambda x: x <> ''), lambda x: 'name=' || x),
+        list_transform(list_filter(l[:-3], lambda x: x <> ''), lambda x: 'host=' || x),
+        list_transform(list_filter(flatten(list_transform(list_filter(l[:-3], lambda x: regexp_matches(x, '[-_]')),
+          lambda x: string_split_regex(x, '[-_]+'))), lambda x: x <> ''), lambda x: 'name=' || x),
         list_transform(list_filter(string_split_regex(path, '[-/._~+,;=]+'), lambda x: x <> ''), lambda x: 'word=' || x),
         list_transform(list_filter(q, lambda x: string_split(x, '=')[1] <> ''), lambda x: 'key=' || string_split(x, '=')[1]),
         list_transform(list_filter(q, lambda x: x <> ''), lambda x: 'query=' || x)), lambda x: x IS NOT NULL))) END AS f
@@ -179,7 +180,8 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
     known AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
     t AS (SELECT r, f, bad FROM f JOIN known ON page_id = doc_id WHERE len(f) > 0),
     e AS (SELECT r, f, bad, unnest(f) AS item FROM t),
-    i AS (SELECT item, count(*) FILTER (bad) AS b, count(*) AS n FROM e GROUP BY item HAVING count(*) FILTER (bad) >= 10),
+    i AS (SELECT item, count(*) FILTER (bad) AS b, count(*) AS n FROM e GROUP BY item
+      HAVING count(*) FILTER (bad) >= 10 AND count(*) FILTER (bad) / count(*) > (SELECT count(*) FILTER (bad) / count(*) FROM t)),
     best AS (SELECT r, list_sort(list(item ORDER BY b / n DESC, n DESC, item)[:10]) AS items FROM e JOIN i USING (item) WHERE bad GROUP BY r),
     sets AS (
       SELECT list_filter(items, lambda x, k: (m >> (k - 1)) & 1 = 1) AS items
