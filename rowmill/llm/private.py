@@ -2,7 +2,10 @@
 
 Detected entities get keyed replacements of their own kind and format: digits for digits,
 letters for letters of the same case, valid octets, the same country code, separators and
-top-level domain, a given name of the gender its title tells, a surname in its script. The
+top-level domain, a given name of the gender its title tells, a surname in its script, the
+issuer, length and check digit of a card, the check digits of an IBAN, the prefix of a key,
+the zero groups of an IPv6 address. Card numbers of other lengths than 16 count only with a
+right check digit. The
 same entity gets the same surrogate everywhere, however it is written (coreference); two
 different ones never share one, and none is an entity of the input: a check over all
 distinct entities moves those that clash on to their next surrogate, until none does. After
@@ -27,24 +30,46 @@ OTHER_TITLES = ("Dr", "Prof")
 _WORD = r"\p{Lu}[\p{L}\p{M}'’\-]{1,40}"
 #: Initials, with dots or without, before a word of a name.
 _INITIALS = r"(?:\p{Lu}\.?(?:[ \-]?\p{Lu}\.)* )*"
+#: One group of an IPv6 address.
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Keys and tokens known by how they begin: the beginning, which stays, and the rest.
+KEY_FORMS = (
+    ("(?:AKIA|ASIA)", "[0-9A-Z]{16}"),
+    ("AIza", r"[0-9A-Za-z_\-]{35}"),
+    ("gh[pousr]_", "[0-9A-Za-z]{36,255}+"),
+    ("xox[abprs]-", r"[0-9A-Za-z\-]{10,255}+"),
+    ("[spr]k[_-](?:(?:live|test|proj)[_-])?", "[0-9A-Za-z]{16,255}+"),
+    ("eyJ", r"[0-9A-Za-z_\-]{8,}+\.[0-9A-Za-z_\-]{8,}+\.[0-9A-Za-z_\-]{8,}+"),
+)
 #: Kinds in the order they are tried. Each begins where nothing like it goes before, so a
 #: long run of letters or digits is passed over in one step.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
+    "email": (
+        r"(?<![\p{IsLatin}0-9._%+\-])[\p{IsLatin}0-9._%+\-]++@[\p{IsLatin}0-9\-]+(?:\.[\p{IsLatin}0-9\-]+)*\.[A-Za-z]{2,24}"
+        r"(?![\p{IsLatin}0-9\-])"
+    ),
+    "key": rf"(?<![0-9A-Za-z])(?:{'|'.join(a + b for a, b in KEY_FORMS)})(?![0-9A-Za-z])",
     "secret": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "card": r"(?<![0-9])[0-9]{4}(?<gap>[ \-]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}(?![0-9])",
+    "card": (
+        r"(?<![0-9])(?:[0-9]{4}(?<gap>[ \-]?)[0-9]{4}\k<gap>[0-9]{4}\k<gap>[0-9]{4}|3[47][0-9]{2}(?<amex>[ \-]?)[0-9]{6}\k<amex>[0-9]{5}"
+        r"|3(?:0[0-5]|[689][0-9])[0-9](?<diners>[ \-]?)[0-9]{6}\k<diners>[0-9]{4}|4[0-9]{12}(?:[0-9]{6})?|(?:5[06-9]|6[0-9])[0-9]{11,17})(?![0-9])"
+    ),
+    "ipv6": (
+        rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|[0-9A-Fa-f]{{3,4}}(?::{_HEX}){{0,4}}::(?:{_HEX}(?::{_HEX}){{0,4}})?)(?![0-9A-Za-z:])"
+    ),
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "phone": (
         rf"(?<![0-9+])\+[0-9]{{1,3}}{_JOIN}?\(?[0-9]{{2,4}}\)?{_JOIN}?[0-9]{{3,4}}(?:{_JOIN}?[0-9]{{2,4}}){{0,3}}(?![0-9])"
+        r"|(?<![0-9+.\-])0[0-9]{2,4}(?<space>[ \-])[0-9]{3,4}\k<space>[0-9]{3,4}(?![0-9])"
         rf"|(?<![0-9])\([0-9]{{3}}\){_JOIN}?[0-9]{{3}}[.\-][0-9]{{4}}(?![0-9])|(?<![0-9.\-])[0-9]{{3}}(?<dash>[.\-])[0-9]{{3}}\k<dash>[0-9]{{4}}(?![0-9])"
     ),
     "name": rf"(?<!\p{{L}})(?:{'|'.join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)})\.? {_INITIALS}{_WORD}(?: {_INITIALS}{_WORD})*",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity; most are told so at once.
-HINT = r"[0-9@]|" + "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
+HINT = r"[0-9@]|" + "|".join((*FEMALE_TITLES, *MALE_TITLES, *OTHER_TITLES, *(begin for begin, _ in KEY_FORMS)))
 
 # Given names to choose from, by gender and script.
 FEMALE_NAMES = ("Anna", "Clara", "Elena", "Greta", "Ida", "Julia", "Laura", "Maria", "Nina", "Paula", "Sofia", "Vera")
@@ -78,17 +103,71 @@ def _texts(values: tuple[str, ...]) -> Column:
 
 
 def kind_of(value: Column) -> Column:
+    """The kind of what the patterns found, null for digits that only look like a card."""
     out = F.lit(None).cast("string")
     for kind, pattern in reversed(KINDS.items()):
-        out = F.when(value.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
+        found = F.lit(kind)
+        if kind == "card":
+            digits = F.regexp_replace(value, "[^0-9]", "")
+            found = F.when((F.length(digits) == 16) | (F.pmod(_luhn(digits), F.lit(10)) == 0), found)
+        out = F.when(value.rlike(f"^(?:{pattern})$"), found).otherwise(out)
     return out
 
 
+def _luhn(digits: Column) -> Column:
+    """The sum of a card's digits, every second one from the right doubled, by cross sums."""
+    number = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
+    each = F.transform(
+        F.split(digits, ""),
+        lambda c, i: F.when(F.pmod(F.length(digits) - i, F.lit(2)) == 0, number(c) * 2 - F.when(number(c) > 4, 9).otherwise(0)).otherwise(number(c)),
+    )
+    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+
+def _remainder(letters: Column) -> Column:
+    """The remainder by 97 of digits and capitals, A as 10 to Z as 35."""
+
+    def step(rest: Column, c: Column) -> Column:
+        digit = c.rlike("^[0-9]$")
+        return F.pmod(rest * F.when(digit, 10).otherwise(100) + F.ascii(c) - F.when(digit, 48).otherwise(55), F.lit(97))
+
+    return F.aggregate(F.split(letters, ""), F.lit(0), step)
+
+
+def _parts(half: Column) -> Column:
+    return F.filter(F.split(F.coalesce(half, F.lit("")), ":"), lambda g: g != "")
+
+
+def _halves(address: Column) -> tuple[Column, Column]:
+    """The groups before and after the two colons of an IPv6 address."""
+    halves = F.split(address, "::")
+    return _parts(F.get(halves, F.lit(0))), _parts(F.get(halves, F.lit(1)))
+
+
+def _full(address: Column) -> Column:
+    """All eight groups of an IPv6 address, with four digits each."""
+    left, right = _halves(F.lower(address))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+
+
+def _as_short(value: Column, canon: Column) -> Column:
+    """A full IPv6 address with the colons and the widths of groups of another."""
+    left, right = _halves(value)
+    groups = F.split(canon, ":")
+    wide = lambda at, g: F.substring(F.get(groups, at), 5 - F.length(g), F.length(g))
+    before = F.array_join(F.transform(left, lambda g, i: wide(i, g)), ":")
+    after = F.array_join(F.transform(right, lambda g, i: wide(i + 8 - F.size(right), g)), ":")
+    text = F.when(value.contains("::"), F.concat(before, F.lit("::"), after)).otherwise(before)
+    return F.when(value.rlike("[A-F]"), F.upper(text)).otherwise(text)
+
+
 def canonical(kind: Column, value: Column) -> Column:
     """What an entity is, without how it is written."""
     return (
         F.when(kind.isin("iban", "card", "ssn", "phone"), F.regexp_replace(value, "[^0-9A-Za-z]", ""))
         .when(kind.isin("email", "secret"), F.lower(value))
+        .when(kind == "ipv6", _full(value))
         .otherwise(value)
     )
 
@@ -118,6 +197,7 @@ def _alike(text: Column, stream: Column, keep: Column | int = 0) -> Column:
         lambda c, i: F.when((i >= keep) & c.rlike("^[0-9]$"), F.pmod(_byte(stream, i), F.lit(10)).cast("string"))
         .when((i >= keep) & c.rlike("^[a-z]$"), _pick("abcdefghijklmnopqrstuvwxyz", _byte(stream, i)))
         .when((i >= keep) & c.rlike("^[A-Z]$"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", _byte(stream, i)))
+        .when((i >= keep) & c.rlike(r"^\p{IsLatin}$"), _pick("àáâäãåèéêëìíîïòóôöùúûü", _byte(stream, i)))
         .otherwise(c),
     )
 
@@ -207,11 +287,33 @@ def _surrogate(e: Column, stream: Column, apart: Column) -> Column:
     parts = F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))), middle)
     name = F.concat_ws(" ", title, parts, F.concat(_named_alike(surname, apart), more))
     masked = F.regexp_replace(F.regexp_replace(F.when(kind == "name", F.substring(canon, F.length(title) + 1, F.length(canon))).otherwise(canon), "[0-9]", "0"), "[^0@. ]", "x")
-    keep = F.when(kind == "iban", 2).when(kind == "card", 1).when(kind == "phone", F.greatest(F.length(canon) - 10, F.lit(0))).otherwise(0)
+    masked = F.when(kind == "ipv6", F.regexp_replace(canon, "[0-9a-f]", "0")).otherwise(masked)
+    begin = F.length(F.regexp_extract(canon, f"^(?:{'|'.join(begin for begin, _ in KEY_FORMS)})", 0))
+    country = F.greatest(F.length(canon) - 10, canon.startswith("0").cast("int"))
+    keep = F.when(kind == "iban", 2).when(kind == "phone", country).when(kind == "key", begin).otherwise(0)
+    issuer = F.when(F.length(canon) == 16, 1).otherwise(3)
+    card = _alike(F.substring(canon, F.lit(1), F.length(canon) - 1), stream, issuer)
+    check = F.pmod(10 - F.pmod(_luhn(F.concat(card, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
+    land, account = F.substring(canon, 1, 2), _alike(F.substring(canon, F.lit(5), F.length(canon)), stream)
+    checks = F.lpad((98 - _remainder(F.concat(account, land, F.lit("00")))).cast("string"), 2, "0")
+
+    def group(c: Column, i: Column) -> Column:
+        """The first digit and the zeros that begin a group stay."""
+        begins = F.substring(canon, F.lit(1), i).rlike("(?:^|:)0*$")
+        return (
+            F.when((i == 0) | (c == ":") | (begins & (c == "0")), c)
+            .when(begins, _pick("123456789abcdef", _byte(stream, i)))
+            .otherwise(_pick("0123456789abcdef", _byte(stream, i)))
+        )
+
     return (
-        F.when(e["attempt"] >= TRIES, F.concat(F.when(kind == "name", title).otherwise(""), masked))
+        F.when(kind.isNull(), canon)
+        .when(e["attempt"] >= TRIES, F.concat(F.when(kind == "name", title).otherwise(""), masked))
         .when(kind == "email", email)
         .when(kind == "ip", octets)
+        .when(kind == "card", F.concat(card, check))
+        .when(kind == "iban", F.concat(land, checks, account))
+        .when(kind == "ipv6", _each(canon, group))
         .when(kind == "name", name)
         .when(kind == "secret", _each(canon, lambda c, i: _pick("0123456789abcdef", _byte(stream, i))))
         .otherwise(_alike(canon, stream, keep))
@@ -229,9 +331,14 @@ def written_as(kind: Column, value: Column, canon: Column) -> Column:
         ).otherwise(F.struct(F.concat(done["out"], c).alias("out"), done["at"].alias("at"))),
     )["out"]
     cased = F.array_join(
-        F.zip_with(F.split(value, ""), F.split(canon, ""), lambda was, now: F.when(was.rlike("^[A-Z]$"), F.upper(now)).otherwise(now)), ""
+        F.zip_with(F.split(value, ""), F.split(canon, ""), lambda was, now: F.when(was.rlike(r"^\p{Lu}$"), F.upper(now)).otherwise(now)), ""
+    )
+    return (
+        F.when(kind.isin("iban", "card", "ssn", "phone"), filled)
+        .when(kind.isin("email", "secret"), cased)
+        .when(kind == "ipv6", _as_short(value, canon))
+        .otherwise(canon)
     )
-    return F.when(kind.isin("iban", "card", "ssn", "phone"), filled).when(kind.isin("email", "secret"), cased).otherwise(canon)
 
 
 def _entities(text: Column) -> Column:
@@ -280,6 +387,7 @@ def replace_entities(df: DataFrame, key: str, id_col: str = "doc_id", text_col:
     found = written(
         docs.select("kid", "th", F.explode(_entities(F.col("text"))).alias("value"))
         .withColumn("kind", kind_of(F.col("value")))
+        .where("kind IS NOT NULL")
         .select("kid", "th", "kind", canonical(F.col("kind"), F.col("value")).alias("canon")),
         "mentions",
     )
@@ -298,13 +406,13 @@ def replace_entities(df: DataFrame, key: str, id_col: str = "doc_id", text_col:
 
     values = F.coalesce(_entities(F.col("text")), F.array().cast("array<string>"))
     kinds = F.transform("values", lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind")))
-    canons = F.transform(kinds, lambda e: e.withField("canon", canonical(e["kind"], e["value"])))
+    canons = F.transform("kinds", lambda e: e.withField("canon", canonical(e["kind"], e["value"])))
     entities = with_surrogates(key, F.transform(canons, lambda e: e.withField("attempt", attempt(e))))
     new = F.transform(entities, lambda e: written_as(e["kind"], e["value"], e["new"]))
     between = F.split("text", PATTERN, -1)
     rebuilt = F.array_join(F.zip_with(between, new, lambda plain, made: F.concat(plain, F.coalesce(made, F.lit("")))), "")
-    return docs.withColumn("values", values).select(
+    return docs.withColumn("values", values).withColumn("kinds", kinds).select(
         "id",
         F.when(F.size("values") > 0, rebuilt).otherwise(F.col("text")).alias("text"),
-        F.size("values").cast("long").alias("n_entities"),
+        F.size(F.filter("kinds", lambda e: e["kind"].isNotNull())).cast("long").alias("n_entities"),
     )
