@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.operators.mapping import canonical_map
+from rowmill.operators.paging import Pages
 
 ERRORS = "validation_errors"
 
@@ -171,23 +172,33 @@ def error_string() -> Column:
     )
 
 
+_PAGE_ORDER = ["file_id", "line_number", "row_id"]
+
+
+def _page_columns() -> list[Column]:
+    first = F.transform(F.slice(ERRORS, 1, 2), lambda e: F.coalesce(e["field"], F.lit("?")))
+    return [F.array_join(first, ", ").alias("errors"), F.size(ERRORS).cast("bigint").alias("error_count"), F.col("status")]
+
+
+def _shown(page: DataFrame) -> DataFrame:
+    return page.select(F.left("row_id", F.lit(8)).alias("row_id"), "line_number", "errors", "error_count", "status")
+
+
 def flagged_page(df: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
-    """A page of the flagged listing in file and line order."""
-    page = (
-        df.where(is_status("flagged"))
-        .orderBy("file_id", "line_number", "row_id")
-        .offset(offset)
-        .limit(limit)
-    )
-    return page.select(
-        F.left("row_id", F.lit(8)).alias("row_id"),
-        "line_number",
-        F.array_join(
-            F.transform(F.slice(ERRORS, 1, 2), lambda e: F.coalesce(e["field"], F.lit("?"))), ", "
-        ).alias("errors"),
-        F.size(ERRORS).cast("bigint").alias("error_count"),
-        "status",
-    )
+    """A page of the flagged listing in file and line order, near its start: every task
+    keeps ``offset + limit`` rows. For deep pages, or many, see ``flagged_pages``."""
+    flagged = df.where(is_status("flagged")).select(*_PAGE_ORDER, *_page_columns())
+    return _shown(flagged.orderBy(*_PAGE_ORDER).offset(offset).limit(limit))
+
+
+def flagged_pages(df: DataFrame, ranges: int | None = None) -> Pages:
+    """The flagged listing stored in ranges of its order, for pages of any depth by ``shown_page``."""
+    return Pages(df.where(is_status("flagged")).select(*_PAGE_ORDER, *_page_columns()), _PAGE_ORDER, ranges)
+
+
+def shown_page(pages: Pages, limit: int = 100, offset: int = 0) -> DataFrame:
+    """A page of the stored flagged listing, as ``flagged_page`` gives it."""
+    return _shown(pages.page(limit, offset))
 
 
 def batch_summary(df: DataFrame) -> DataFrame:

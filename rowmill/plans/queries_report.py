@@ -81,6 +81,21 @@ def _flagged_page(spark, sf_dir):
     return report.flagged_page(validated_feed(spark, sf_dir), limit=100, offset=50)
 
 
+@query(
+    "flagged_page_middle",
+    f"""WITH {S.CHECKED_SQL}, placed AS (
+          SELECT *, row_number() OVER (ORDER BY file_id, line_number, validated.row_id) - 1 AS place, count(*) OVER () AS n
+          FROM validated WHERE status = 'flagged')
+        SELECT left(row_id, 8) AS row_id, line_number, status, len(errors) AS error_count,
+          array_to_string(list_transform(errors[1:2], lambda e: coalesce(e.field, '?')), ', ') AS errors
+        FROM placed WHERE place >= n // 2 AND place < n // 2 + 1000""",
+)
+def _flagged_page_middle(spark, sf_dir):
+    """A thousand rows from the middle of the listing: only the ranges they lie in are sorted."""
+    pages = report.flagged_pages(validated_feed(spark, sf_dir))
+    return report.shown_page(pages, limit=1000, offset=pages.total // 2)
+
+
 @query(
     "flagged_sample",
     f"""WITH {S.CHECKED_SQL} SELECT left(row_id, 8) AS row_id, line_number, order_id, quantity, len(errors) AS n_errors
