@@ -174,5 +174,6 @@ def iso_hour(c: Column) -> Column:
         .otherwise(F.regexp_extract(c, ISO_WEEK, 6))
     )
     clock = F.when(F.substring(c, 5, 1) == "W", F.regexp_extract(c, ISO_WEEK, 6)).otherwise(clock)
-    hour = F.coalesce(F.left(clock, F.lit(2)).try_cast("int"), F.lit(0))
+    # a cast that fails costs an exception, so a bare date is told before
+    hour = F.coalesce(F.when(clock != "", F.left(clock, F.lit(2)).try_cast("int")), F.lit(0))
     return F.when(is_iso_moment(c), hour)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rowmill.functions.text import let, strip
+from rowmill.functions.text import WS_CHARS, let, strip
 
 # The number grammars accepted in text (after trimming).
 PLAIN_DECIMAL = r"^-?(0|[1-9][0-9]*)(\.[0-9]{1,6})?$"
@@ -134,7 +134,7 @@ def decimal_text(bare: Column) -> Column:
     """
     digits, exponent = _exponent_parts(bare)
     rest = let(digits, lambda d: let(exponent, lambda e: _scientific(bare, d, e, bare.rlike(FINITE_DECIMAL))))
-    return F.when(bare.rlike(WRITTEN_OUT), _written_out(_unsigned(bare))).otherwise(rest)
+    return F.when(bare.rlike(WRITTEN_OUT), let(_unsigned(bare), _written_out)).otherwise(rest)
 
 
 def _tidy(text: Column) -> Column:
@@ -153,27 +153,15 @@ def decimal_stages(
     c: Column, name: str, decimal_separator: str | None = None, thousands_separator: str | None = None
 ) -> list[dict[str, Column]]:
     """``normalize_decimal`` of a text column in steps, each a projection over the one before,
-    so that every value is computed once and in generated code. The last step is ``name``."""
-    helper = {k: f"__{k}_{name}" for k in ("plain", "text", "parted", "bare", "written", "finite", "unsigned", "digits", "exponent")}
-    col = {k: F.col("`" + v.replace("`", "``") + "`") for k, v in helper.items()}
+    so that every value is computed once. The last step is ``name``; what is plain or no number
+    stays in generated code there, and the few other numbers take the long way."""
+    text, bare = (F.col("`" + f"__{k}_{name}".replace("`", "``") + "`") for k in ("text", "bare"))
     given = decimal_separator is not None and thousands_separator is not None
-    parted = _with_given(col["text"], decimal_separator, thousands_separator) if given else _unify_separators(col["text"])
-    plain = F.lit(False) if given else F.coalesce(c.rlike(PLAIN_DECIMAL), F.lit(False))
-    digits, exponent = _exponent_parts(col["bare"])
-    rare = _scientific(col["bare"], col["digits"], col["exponent"], col["finite"])
-    finite = F.when(col["plain"] | col["written"], False).otherwise(F.coalesce(col["bare"].rlike(FINITE_DECIMAL), F.lit(False)))
+    parted = _with_given(text, decimal_separator, thousands_separator) if given else _unify_separators(text)
     return [
-        {helper["plain"]: plain, helper["text"]: strip(c)},
-        {helper["parted"]: F.when(col["plain"], col["text"]).otherwise(parted)},
-        {helper["bare"]: F.when(col["plain"], col["parted"]).otherwise(_tidy(col["parted"]))},
-        {helper["written"]: F.when(col["plain"], False).otherwise(F.coalesce(col["bare"].rlike(WRITTEN_OUT), F.lit(False)))},
-        {helper["finite"]: finite},
-        {
-            helper["unsigned"]: F.when(col["written"], _unsigned(col["bare"])),
-            helper["digits"]: F.when(col["finite"], digits),
-            helper["exponent"]: F.when(col["finite"], exponent),
-        },
-        {name: F.when(col["plain"], col["bare"]).when(col["written"], _written_out(col["unsigned"])).otherwise(rare)},
+        {f"__text_{name}": strip(c)},
+        {f"__bare_{name}": F.replace(F.btrim(parted, F.lit(WS_CHARS)), F.lit("_"), F.lit(""))},
+        {name: F.when(bare.rlike(PLAIN_DECIMAL), bare).when(bare.rlike(ANY_DECIMAL), decimal_text(bare))},
     ]
 
 

@@ -81,7 +81,14 @@ def normalize_boolean(c: Column, dtype: str = "string") -> Column:
     if dtype != "string":
         return c != F.lit(0)
     word = F.lower(strip(c))
-    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+    # usual spellings first: lower-casing takes longer than all the rest
+    true, false = (sorted({f(w) for w in words for f in (str, str.upper, str.title)}) for words in (TRUE_WORDS, FALSE_WORDS))
+    return (
+        F.when(c.isin(*true), F.lit(True))
+        .when(c.isin(*false), F.lit(False))
+        .when(word.isin(*TRUE_WORDS), F.lit(True))
+        .when(word.isin(*FALSE_WORDS), F.lit(False))
+    )
 
 
 def collapse_text(c: Column, max_length: int | None = None) -> Column:

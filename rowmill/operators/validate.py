@@ -193,7 +193,9 @@ def fails_enum(fields: Fields, name: str, rule: dict[str, Any]) -> Condition:
     allowed = sorted({str(v).upper() for v in rule.get("values", [])})
     if not allowed:
         return True
-    return ~F.upper(_printed(fields, name)).isin(*allowed)
+    # usual spellings first: upper-casing takes longer than all the rest
+    usual = sorted({f(w) for w in allowed for f in (str, str.lower, str.title) if w.isascii()} | set(allowed))
+    return ~(_printed(fields, name).isin(*usual) | F.upper(_printed(fields, name)).isin(*allowed))
 
 
 def fails_regex(fields: Fields, name: str, rule: dict[str, Any]) -> Condition:
@@ -414,12 +416,14 @@ class Checked:
     def with_masks(self) -> DataFrame:
         """The data columns and the masks.
 
-        The masks come out of a generator of one row: the optimizer does not copy their
+        The masks pass through a generator of one row: the optimizer does not copy their
         conditions into filters on status or errors above, and still takes filters on data
-        columns down to the scan.
+        columns down to the scan. They are made by a projection below it, since a generator's
+        own expressions are interpreted where a stage is too large for generated code.
         """
         masks = F.struct(*[m.alias(n) for n, m in self.masks.items()]) if self.masks else F.struct(F.lit(0).alias("none"))
-        out = self.work.select(*[column(c) for c in self.columns], F.explode(F.array(masks)).alias(FAILED))
+        made = self.work.select(*[column(c) for c in self.columns], masks.alias(MASKS))
+        out = made.select(*[column(c) for c in self.columns], F.explode(F.array(MASKS)).alias(FAILED))
         return out.select(*[column(c) for c in self.columns], *[F.col(f"{FAILED}.{n}").alias(n) for n in self.masks])
 
 
@@ -483,6 +487,7 @@ def error_counts(
 
 
 FAILED = "__failed"
+MASKS = "__masks"
 
 # rules whose outcomes share one long
 MASK_BITS = 62

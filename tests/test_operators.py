@@ -172,3 +172,12 @@ def test_matching(spark):
     assert left == {"order id", "Qty", "ORDER-DATE"}
     best = {r.header: r.canonical_field for r in matching.best_suggestion(headers, fields).collect()}
     assert best["order id"] == "order_id" and best["ORDER-DATE"] == "order_date"
+
+
+def test_conditions_are_not_evaluated_by_a_generator(spark):
+    """A generator's own expressions are interpreted where a stage is too large to compile."""
+    df = spark.createDataFrame([(0, "abc"), (1, "7")], "i int, a string")
+    checked = validate(df, rules({"field": "a", "rule_type": "regex", "pattern": "[0-9]+"}))
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("RLIKE" in line for line in plan.splitlines() if "Generate " in line)
+    assert [bool(r.validation_errors) for r in checked.orderBy("i").collect()] == [True, False]
