@@ -26,6 +26,18 @@ def spread_lookup(
     return dealt.join(repeated, [*on, SALT], how).drop(SALT)
 
 
+def lookup(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join rows to a side of many keys that has at most one row per key.
+
+    The side is not repeated, so its measured size is what a broadcast takes of the driver;
+    beyond that size both are shuffled, and Spark splits the tasks of hot keys
+    (``spark.sql.adaptive.skewJoin``, on by default).
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join: {how}")
+    return rows.join(side, on, how)
+
+
 def _hashable(df: DataFrame) -> list[str]:
     """Columns to deal rows by; maps cannot be hashed."""
     flat = [n for n, t in df.dtypes if not t.startswith(("map", "array", "struct", "variant"))]

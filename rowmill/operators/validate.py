@@ -18,7 +18,7 @@ from rowmill.functions.dates import is_iso_moment, iso_hour
 from rowmill.functions.numbers import decimal_exact, is_decimal_text, is_integer_text
 from rowmill.functions.text import strip
 from rowmill.operators.formula import Value, compile_formula
-from rowmill.operators.joins import spread_lookup
+from rowmill.operators.joins import lookup
 from rowmill.records import NO_ERRORS, Fields, as_column, both, column
 
 # The sample vendor's rules.
@@ -328,8 +328,8 @@ def fails_inventory(fields: Fields, rule: dict[str, Any]) -> Condition:
 
 def with_stock(rows: DataFrame, stock: DataFrame, on: list[str], quantity: str = "on_hand") -> DataFrame:
     """Rows with the stock of what they order, null where there is none. Stock has one row a
-    key; a key that many rows order is spread over tasks."""
-    return spread_lookup(rows, stock.select(*on, quantity), on, "left")
+    key; the tasks of a key that many rows order are split."""
+    return lookup(rows, stock.select(*on, quantity), on, "left")
 
 
 SEMANTIC_CHECKS: dict[str, tuple[str | None, Callable[..., Condition]]] = {

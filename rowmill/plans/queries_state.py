@@ -11,7 +11,7 @@ from rowmill.operators import ledger
 from rowmill.operators.validate import validate
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import table
-from rowmill.operators.joins import spread_lookup
+from rowmill.operators.joins import lookup
 from rowmill.session import scratch_path
 from rowmill.streaming.watch import watch_folder
 
@@ -124,7 +124,7 @@ def _current_rows(spark, sf_dir):
 def _lookup_join(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     names = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return spread_lookup(lines, names, ["l_suppkey"])
+    return lookup(lines, names, ["l_suppkey"])
 
 
 @query(

@@ -95,3 +95,12 @@ def test_inventory(spark):
         ("2", "1", "flagged"), ("3", "0", "valid"), ("None", "1", "flagged"),
     ]
     assert {r.status for r in validate(rows, {"semantic_rules": [{"rule_type": "inventory"}]}).collect()} == {"valid"}
+
+
+def test_stock_is_joined_without_copies_of_it(spark):
+    """A side repeated for each salt is sixteen times what Spark takes it for when it broadcasts."""
+    rows = spark.range(100).selectExpr("id", "id % 7 AS part", "1 AS quantity")
+    stock = spark.range(5).selectExpr("id AS part", "id AS on_hand")
+    joined = with_stock(rows, stock, ["part"])
+    assert "Generate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 100 and joined.where("on_hand IS NULL").count() == sum(i % 7 > 4 for i in range(100))
