@@ -151,9 +151,9 @@ def flagged_sample(df: DataFrame, n: int = 10, names: list[str] | None = None) -
 def error_rows(df: DataFrame, with_canonical: bool = False, names: list[str] | None = None) -> DataFrame:
     """One row per error: id, line, field, rule, message."""
     extra = [F.to_json(_canonical(df, names), {"ignoreNullFields": "false"}).alias("canonical_data")]
-    slim = df.where(is_status("flagged")).select(
-        "row_id", "line_number", *(extra if with_canonical else []), F.explode(ERRORS).alias("error")
-    )
+    # the text is made below the generator, once a row and not once an error
+    made = df.where(is_status("flagged")).select("row_id", "line_number", ERRORS, *(extra if with_canonical else []))
+    slim = made.withColumn("error", F.explode(ERRORS))
     return slim.select(
         "row_id",
         "line_number",

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from rowmill.operators import report
 
+#: Listings of all flagged rows repeat the same words and names, and pack to a fraction.
+PACKED = "gzip"
+
+
 def write_error_list(df: DataFrame, path: str) -> None:
     """CSV with one line per error: row_id, line_number, field, rule, message."""
-    report.error_rows(df).write.option("header", True).mode("overwrite").csv(path)
+    report.error_rows(df).write.option("header", True).option("compression", PACKED).mode("overwrite").csv(path)
 
 
 def review_frame(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -29,7 +33,9 @@ def review_frame(df: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def write_review_csv(df: DataFrame, path: str, limit: int | None = None) -> None:
-    review_frame(df, limit).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
+    review_frame(df, limit).write.option("header", True).option("escape", '"').option("compression", PACKED).mode(
+        "overwrite"
+    ).csv(path)
 
 
 def write_validation_json(df: DataFrame, path: str, batch_id: str, file_name: str | None = None) -> None:
@@ -38,7 +44,7 @@ def write_validation_json(df: DataFrame, path: str, batch_id: str, file_name: st
     report.summary_record(df, batch_id, file_name).write.options(**options).mode("overwrite").json(
         f"{path}/summary"
     )
-    report.flagged_details(df).write.options(**options).mode("overwrite").json(f"{path}/flagged_details")
+    report.flagged_details(df).write.options(**options, compression=PACKED).mode("overwrite").json(f"{path}/flagged_details")
 
 
 def write_batch_report(df: DataFrame, output: str, batch_id: str) -> dict[str, str]:

@@ -180,3 +180,16 @@ def test_refine_stored_files(spark, tmp_path):
     got = refine_stored(ledger, files, [MappingRule("nr", "key")], {}).collect()
     assert sorted(r.key for r in got) == sorted(f"{i}{j}" for i in range(3) for j in range(4))
     assert len(refine_stored(ledger, files.limit(2), [MappingRule("nr", "key")], {}).collect()) == 8
+
+
+def test_review_files_are_packed(spark, tmp_path):
+    """A listing of all errors repeats itself: it is stored packed, and reads back alike."""
+    from rowmill.operators.validate import SAMPLE_RULES, validate
+    from rowmill.sinks import review
+
+    rows = spark.createDataFrame([("a_1", 1, "x"), ("a_2", 2, "y")], "row_id string, line_number long, quantity string")
+    checked = validate(rows, SAMPLE_RULES)
+    review.write_review_csv(checked, f"{tmp_path}/r")
+    assert {p.suffix for p in (tmp_path / "r").iterdir() if p.name.startswith("part")} == {".gz"}
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/r")
+    assert back.count() == review.review_frame(checked).count() > 2
