@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,20 +12,38 @@ from pyspark.sql import functions as F
 from rowmill.session import scratch_path
 
 FILTER_BITS = 26
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Writes within, and frames made and collected within, have Spark remove their shuffle files when they end, not when the driver's
+    collector comes to them: so a chain of steps takes the disk of its largest one, not of all.
+    """
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE)
+        else:
+            spark.conf.set(_FREE, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a step as Parquet in the shared folder and read it again.
 
     Cuts the lineage: what is read afterwards survives the loss of executors, is not
-    computed twice, and row ids made before it stay as they are.
+    computed twice, and row ids made before it stay as they are. The step's shuffles go with it.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -34,13 +55,14 @@ def bit_filter(hashes: DataFrame, column: str, bits: int = FILTER_BITS) -> np.nd
     matched exactly afterwards.
     """
     spot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
-    rows = (
-        hashes.where(F.col(column).isNotNull())
-        .select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
-        .groupBy("bucket")
-        .agg(F.bitmap_construct_agg("bit").alias("map"))
-        .collect()
-    )
+    with shuffles_freed(hashes.sparkSession):
+        rows = (
+            hashes.where(F.col(column).isNotNull())
+            .select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
+            .groupBy("bucket")
+            .agg(F.bitmap_construct_agg("bit").alias("map"))
+            .collect()
+        )
     out = np.zeros((1 << bits) // 8, np.uint8)
     for row in rows:
         at = (row["bucket"] - 1) * 4096
