@@ -138,14 +138,19 @@ def _canonical(df: DataFrame, names: list[str] | None) -> Column:
 
 
 def flagged_sample(df: DataFrame, n: int = 10, names: list[str] | None = None) -> DataFrame:
-    """The first flagged rows by file and line, with shortened ids."""
+    """The first flagged rows by file and line, with shortened ids.
+
+    What is shown passes through a generator of one row: so projections above it are not moved
+    between the sort and its limit, and every task keeps ``n`` rows instead of sorting all.
+    """
     first = df.where(is_status("flagged")).orderBy("file_id", "line_number", "row_id").limit(n)
-    return first.select(
+    shown = F.struct(
         F.left("row_id", F.lit(8)).alias("row_id"),
-        "line_number",
+        F.col("line_number"),
         F.col(ERRORS).alias("errors"),
         _canonical(df, names),
     )
+    return first.select(F.explode(F.array(shown)).alias("row")).select("row.*")
 
 
 def error_rows(df: DataFrame, with_canonical: bool = False, names: list[str] | None = None) -> DataFrame:
