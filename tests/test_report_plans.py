@@ -1,4 +1,4 @@
-"""Plans of reports: what is sorted, and how often rows are computed."""
+"""Plans of reports: what is sorted."""
 
 import contextlib
 import io
