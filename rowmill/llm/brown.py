@@ -10,18 +10,21 @@ smoothed. Shapes stay only for words that no training row has.
 All counts cover all training rows. Sent to tasks is only what a parameter bounds: counts
 and classes of the ``LISTED`` most frequent words and the class tables. Rarer words are
 looked up by a join with the whole vocabulary.
+
+Texts are cut into words twice: for the counts, and for the numbers of the words, which are
+stored. What follows reads the stored numbers.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +40,11 @@ CLASSES = 64
 SHAPES = 64
 PASSES = 12
 SMOOTH = 0.5
-#: A task gives out its word counts when it has so many different words.
+#: Words that a task holds, or gives out, at once.
 HELD = 200_000
+#: Bytes of text, or of word numbers, that a task looks at in one go.
+COUNTED_BYTES = 8 << 20
+CODED_BYTES = 4 << 20
 _STRIPE = 16
 _DIGIT = re.compile(rb"[0-9]").search
 
@@ -57,6 +63,22 @@ def shape(word: bytes) -> int:
     return (min(len(word) // 4, 3) * 2 + plain) * 8 + (4 + digits * 2 + (last & 1) if end or digits else last)
 
 
+def shapes(words: pa.BinaryArray) -> np.ndarray:
+    """``shape`` of each of some words, none of them empty."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    ends = _offsets(words)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    begins, size = ends[:-1] - ends[0], np.diff(ends)
+    any_of = lambda x: np.logical_or.reduceat(x, begins)
+    plain, digits = ~any_of(data >= 128), any_of((data >= 48) & (data < 58))
+    final = data[begins + size - 1].astype(np.int64)
+    letter = ((final | 32) >= 97) & ((final | 32) <= 122)
+    last = np.where(plain & letter, final % 4, 0)
+    kind = np.where(~letter | digits, 4 + digits * 2 + (last & 1), last)
+    return (np.minimum(size // 4, 3) * 2 + plain) * 8 + kind
+
+
 @dataclass
 class Model:
     """Words are numbered by frequency; unit k is word k below ``clustered``, then come the
@@ -68,6 +90,7 @@ class Model:
     tokens: int
     vocabulary: int
     classes: np.ndarray  # class of each unit; the boundary is the last class, alone
+    starts: np.ndarray  # class of the unit of each number that ``coded`` gives
     steps: np.ndarray  # log10 P(class | class before)
     room: np.ndarray  # log10 of what counts of a class's words are divided by
 
@@ -100,48 +123,94 @@ def _over(df: DataFrame, run, schema) -> DataFrame:
     return df.select("text").mapInArrow(run, schema)
 
 
-def _texts(part: pa.RecordBatch) -> list[bytes | None]:
-    return part.column("text").cast(pa.binary()).to_pylist()
+def _offsets(values: pa.Array) -> np.ndarray:
+    return np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+
+
+def _words(part: pa.RecordBatch) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words of all texts of a piece as ``words_of`` has them, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(part.column("text").cast(pa.string()), "")))
+    flat = lists.flatten().cast(pa.binary())
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    full = np.diff(_offsets(flat)) > 0
+    if not full.all():  # white space at either end leaves empty words
+        kept = np.concatenate([[0], np.cumsum(full)])
+        ends = np.cumsum(sizes)
+        flat, sizes = flat.filter(pa.array(full)), kept[ends] - kept[ends - sizes]
+    return flat, sizes
 
 
 def vocabulary(train: DataFrame) -> DataFrame:
     """(word, n) over all rows of (text); the end token is the empty word."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-        give = lambda: pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
-        )
-        for part in pieces(batches, "text"):
-            for text in _texts(part):
-                held.update(words_of(text))
-            held[b""] += part.num_rows
-            if len(held) > HELD:
-                yield give()
-                held = Counter()
-        if held:
-            yield give()
+        for part in pieces(batches, "text", COUNTED_BYTES):
+            found = pc.value_counts(_words(part)[0])
+            word, n = pa.array([b""], pa.binary()), pa.array([part.num_rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([found.field(0), word]), pa.concat_arrays([found.field(1), n])], ["word", "n"])
 
     return _over(train, run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _pairs(train: DataFrame, numbers: _Numbers, units: int) -> np.ndarray:
-    """How often each unit follows each other one, over all rows.
+def listed_words(vocab: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words, by frequency, and their counts."""
+    top = _frequent(vocab.where(F.length("word") > 0), LISTED).toPandas()
+    top["word"] = top["word"].map(bytes)
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    return top["word"].tolist(), top["n"].to_numpy(np.int64)
+
+
+def coded(docs: DataFrame, words: list[bytes]) -> DataFrame:
+    """The columns of ``docs`` with (ids, tail) for its text: the number of each word, as 32-bit
+    integers, and those words that are not listed. Theirs is ``len(words)`` and their shape."""
+    others, listed = [c for c in docs.columns if c != "text"], len(words)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(words, pa.binary())
+        for part in pieces(batches, "text", CODED_BYTES):
+            flat, sizes = _words(part)
+            ids = pc.fill_null(pc.index_in(flat, value_set=known), -1).to_numpy().astype(np.int32)
+            rare = ids < 0
+            rest = flat.filter(pa.array(rare))
+            ids[rare] = listed + shapes(rest)
+            before = np.concatenate([[0], np.cumsum(rare)])
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            numbers = pa.Array.from_buffers(
+                pa.binary(), part.num_rows, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(ids)]
+            )
+            tail = pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), rest)
+            yield pa.RecordBatch.from_arrays([*map(part.column, others), numbers, tail], [*others, "ids", "tail"])
+
+    kinds = [T.StructField("ids", T.BinaryType()), T.StructField("tail", T.ArrayType(T.BinaryType()))]
+    return docs.select(*others, "text").mapInArrow(run, T.StructType([*(docs.schema[c] for c in others), *kinds]))
+
+
+def _chain(part: pa.RecordBatch, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word numbers of a piece's texts with ``end`` before the first and after each text,
+    and where in it each text begins."""
+    ids = part.column("ids")
+    ends = _offsets(ids)
+    sizes = np.diff(ends) // 4
+    chain = np.full(int(sizes.sum()) + len(sizes) + 1, end, np.int64)
+    if sizes.any():
+        own = np.frombuffer(ids.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.int32)
+        chain[np.arange(len(own)) + np.repeat(np.arange(1, len(sizes) + 1), sizes)] = own
+    return chain, np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) + 1
+
+
+def _pairs(train: DataFrame, unit_of: np.ndarray, units: int) -> np.ndarray:
+    """How often each unit follows each other one, over all rows of (ids); ``unit_of`` has the
+    unit of each number.
 
     Tasks add up a matrix of fixed size and give it out in stripes; stripes are added in
     two steps, so no task gets more than a few thousand of them.
     """
-    boundary = units - 1
+    units_of = np.append(unit_of, units - 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(units * units, np.int64)
-        get = numbers.__getitem__
-        for part in pieces(batches, "text"):
-            chain = [boundary]
-            for text in _texts(part):
-                chain.extend(map(get, words_of(text)))
-                chain.append(boundary)
-            ids = np.array(chain, np.int64)
+        for part in pieces(batches, "ids", CODED_BYTES):
+            ids = units_of[_chain(part, len(unit_of))[0]]
             total += np.bincount(ids[:-1] * units + ids[1:], minlength=units * units)
         own = TaskContext.get().partitionId()
         rows = total.reshape(units, units)
@@ -158,7 +227,7 @@ def _pairs(train: DataFrame, numbers: _Numbers, units: int) -> np.ndarray:
         return pd.DataFrame({"stripe": [key[0]], "task": [key[1]], "counts": [total.tobytes()]})
 
     schema = "stripe int, task int, counts binary"
-    stripes = _over(train, run, schema)
+    stripes = train.select("ids").mapInArrow(run, schema)
     for some in (64, 1 << 30):
         stripes = stripes.groupBy("stripe", F.floor(F.col("task") / some).cast("int").alias("task")).applyInPandas(add, schema)
     out = np.zeros((units, units), np.int64)
@@ -231,26 +300,31 @@ def _frequent(vocab: DataFrame, most: int) -> DataFrame:
 
 def fit(train: DataFrame, vocab: DataFrame) -> Model:
     """The starting model of the rows of (text), whose (word, n) counts are given."""
+    words, counts = listed_words(vocab)
+    return fit_coded(coded(train.select("text"), words), vocab, words, counts)
+
+
+def fit_coded(train: DataFrame, vocab: DataFrame, words: list[bytes], counts: np.ndarray) -> Model:
+    """The starting model of the rows of (ids), the numbers that ``coded`` gave by ``words``."""
     sizes = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = _frequent(vocab.where(F.length("word") > 0), LISTED).toPandas()
-    top["word"] = top["word"].map(bytes)
-    top = top.sort_values(["n", "word"], ascending=[False, True])
-    words, counts = top["word"].tolist(), top["n"].to_numpy(np.int64)
     clustered = min(CLUSTERED, len(words))
     units = clustered + SHAPES + 1
-    pairs = _pairs(train, _Numbers(words[:clustered], clustered), units)
+    rest = clustered + shapes(pa.array(words[clustered:], pa.binary()))
+    unit_of = np.concatenate([np.arange(clustered), rest, np.arange(clustered, clustered + SHAPES)])
+    pairs = _pairs(train, unit_of, units)
     classes = exchange(pairs)
 
-    known = set(words[:clustered])
+    known = words[:clustered]
 
-    def shapes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kinds_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = [(shape(w), n) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w and w not in known]
-            unit = np.array([s for s, _ in rest], np.int64)
+            word = batch.column("word").cast(pa.binary())
+            rest = pc.and_(pc.greater(pc.binary_length(word), 0), pc.invert(pc.is_in(word, value_set=pa.array(known, pa.binary()))))
+            unit, n = shapes(word.filter(rest)), batch.column("n").filter(rest).to_numpy()
             yield pa.RecordBatch.from_pydict(
                 {
                     "shape": np.arange(SHAPES, dtype=np.int32),
-                    "n": np.bincount(unit, [n for _, n in rest], SHAPES).astype(np.int64),
+                    "n": np.bincount(unit, n, SHAPES).astype(np.int64),
                     "v": np.bincount(unit, minlength=SHAPES).astype(np.int64),
                 }
             )
@@ -259,86 +333,63 @@ def fit(train: DataFrame, vocab: DataFrame) -> Model:
     size[:clustered], kinds[:clustered] = counts[:clustered], 1
     ends = vocab.where(F.length("word") == 0).first()
     size[-1], kinds[-1] = (ends["n"], 1) if ends else (0, 0)
-    for row in vocab.mapInArrow(shapes, "shape int, n bigint, v bigint").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+    for row in vocab.mapInArrow(kinds_of, "shape int, n bigint, v bigint").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         size[clustered + row["shape"]], kinds[clustered + row["shape"]] = row["n"], row["v"]
     n = CLASSES + 1
     one = np.eye(n)[classes]
     table = one.T @ pairs @ one + SMOOTH
     return Model(
-        words, counts, clustered, int(sizes["n"] or 0), int(sizes["v"] or 0), classes,
+        words, counts, clustered, int(sizes["n"] or 0), int(sizes["v"] or 0), classes, classes[unit_of],
         np.log10(table / table.sum(axis=1, keepdims=True)), np.log10(one.T @ size + one.T @ kinds + 1),
     )
 
 
-class _Local(dict):
-    """Numbers of words in one task: the clustered ones, the end token, others as they come."""
-
-    def __init__(self, words: list[bytes], classes: np.ndarray):
-        super().__init__((w, i) for i, w in enumerate([*words, b""]))
-        self.fixed = len(self)
-        self.starts = [*classes[: len(words)].tolist(), int(classes[-1])]
-        self.shapes = classes[len(words) : -1].tolist()
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = out = len(self)
-        self.starts.append(self.shapes[shape(word)])
-        return out
-
-
 def neighbours(train: DataFrame, model: Model) -> DataFrame:
-    """(word, contexts, counts) of all words that are not clustered, a few rows for each.
+    """(word, contexts, counts) of all words that are not clustered, of the rows of (ids, tail).
 
     Context c below the number of classes is class c before the word, n + c is class c after.
+    A listed word has one row for each task, whose table of them has a fixed size, any other
+    word one for each piece that it is in.
     """
-    words, classes, n = model.words[: model.clustered], model.classes, len(model.room)
+    words, first, listed, n = model.words, model.clustered, len(model.words), len(model.room)
+    starts = np.append(model.starts, model.classes[-1]).astype(np.int64)
+    wide = 2 * n
+
+    def rows(names: pa.Array, key: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """One row for each name that has keys, which are sorted: the name's place, then the context."""
+        of, own = np.unique(key // wide, return_index=True)
+        for at in range(0, len(of), HELD):
+            begin = np.append(own, len(key))[at : at + HELD + 1]
+            some, offsets = slice(begin[0], begin[-1]), pa.array((begin - begin[0]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    names.take(pa.array(of[at : at + HELD])),
+                    pa.ListArray.from_arrays(offsets, pa.array((key[some] % wide).astype(np.int16))),
+                    pa.ListArray.from_arrays(offsets, pa.array(count[some].astype(np.int64))),
+                ],
+                ["word", "contexts", "counts"],
+            )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local, keys, times = _Local(words, classes), [], []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            key, back = np.unique(np.concatenate(keys), return_inverse=True)
-            return key, np.bincount(back, np.concatenate(times)).astype(np.int64)
-
-        def give() -> Iterator[pa.RecordBatch]:
-            key, count = merged()
-            of, own = np.unique(key // (2 * n), return_index=True)
-            names = list(local)
-            for at in range(0, len(of), HELD):
-                begin = np.append(own, len(key))[at : at + HELD + 1]
-                some, offsets = slice(begin[0], begin[-1]), pa.array((begin - begin[0]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([names[i] for i in of[at : at + HELD].tolist()], pa.binary()),
-                        pa.ListArray.from_arrays(offsets, pa.array((key[some] % (2 * n)).astype(np.int16))),
-                        pa.ListArray.from_arrays(offsets, pa.array(count[some])),
-                    ],
-                    ["word", "contexts", "counts"],
-                )
-
-        for part in pieces(batches, "text"):
-            chain = [local[b""]]
-            for text in _texts(part):
-                chain.extend(map(local.__getitem__, words_of(text)))
-                chain.append(local[b""])
-            ids = np.array(chain, np.int64)
-            starts = np.array(local.starts, np.int64)[ids]
-            at = np.flatnonzero(ids >= local.fixed)
+        table = np.zeros((listed - first) * wide, np.int32)
+        for part in pieces(batches, "ids", CODED_BYTES):
+            ids, _ = _chain(part, len(starts) - 1)
+            near = starts[ids]
+            at = np.flatnonzero((ids >= first) & (ids < listed))
+            own = (ids[at] - first) * wide
+            np.add.at(table, own + near[at - 1], np.int32(1))
+            np.add.at(table, own + n + near[at + 1], np.int32(1))
+            at = np.flatnonzero((ids >= listed) & (ids < len(starts) - 1))
             if len(at):
-                own = ids[at] * (2 * n)
-                key, count = np.unique(np.concatenate([own + starts[at - 1], own + n + starts[at + 1]]), return_counts=True)
-                keys.append(key)
-                times.append(count)
-            if sum(map(len, keys)) > 8 * HELD:
-                key, count = merged()
-                keys, times = [key], [count]
-            if len(local) - local.fixed > HELD or sum(map(len, keys)) > 4 * HELD:
-                if keys:
-                    yield from give()
-                local, keys, times = _Local(words, classes), [], []
-        if keys:
-            yield from give()
-
-    return _over(train, run, "word binary, contexts array<smallint>, counts array<bigint>")
+                met = part.column("tail").flatten().cast(pa.binary()).dictionary_encode()
+                own = met.indices.to_numpy().astype(np.int64) * wide
+                key, count = np.unique(np.concatenate([own + near[at - 1], own + n + near[at + 1]]), return_counts=True)
+                yield from rows(met.dictionary, key, count)
+        key = np.flatnonzero(table)
+        if len(key):
+            yield from rows(pa.array(words[first:], pa.binary()), key, table[key])
+
+    return train.select("ids", "tail").mapInArrow(run, "word binary, contexts array<smallint>, counts array<bigint>")
 
 
 def assign(train: DataFrame, model: Model) -> DataFrame:
@@ -417,66 +468,55 @@ def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str
     out whatever their names.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learned, F.lit(False)).alias("learned"))
-    train = docs.where("learned").select("text")
-    vocab = written(vocabulary(train), "vocabulary")
-    model = fit(train, vocab)
+    vocab = written(vocabulary(docs.where("learned").select("text")), "vocabulary")
+    words, counts = listed_words(vocab)
+    numbered = written(coded(docs.select(F.monotonically_increasing_id().alias("row"), "*"), words), "coded")
+    train = numbered.where("learned")
+    model = fit_coded(train, vocab, words, counts)
     known = written(assign(train, model), "classes")
     ends = 0
     if model.tokens:
         ends = vocab.where(F.length("word") == 0).first()["n"]
 
-    top = _frequent(known, LISTED).toPandas()
-    words, listed, n = [bytes(w) for w in top["word"]], len(top), len(model.room)
-    class_of = np.concatenate([top["class"].to_numpy(np.int64), model.classes[model.clustered :]]).astype(np.uint8)
-    count = np.concatenate([top["n"].to_numpy(np.int64), np.zeros(SHAPES, np.int64), [ends]])
-    rarity = np.log10(count + 1.0)
-    base = float(np.log10(model.tokens + model.vocabulary + 1))
-    boundary = listed + SHAPES
+    listed, n = len(words), len(model.room)
     #: Marks the class of a word's shape where the word's own is still to be looked up.
     by_shape = np.uint8(128)
+    own_class = {bytes(w): c for w, c in _frequent(known, LISTED).select("word", "class").toPandas().itertuples(index=False)}
+    class_of = np.concatenate(
+        [np.array([own_class[w] for w in words], np.uint8), model.classes[model.clustered :].astype(np.uint8)]
+    )
+    class_of[listed:-1] |= by_shape
+    count = np.concatenate([counts, np.zeros(SHAPES, np.int64), [ends]])
+    rarity = np.log10(count + 1.0)
+    base = float(np.log10(model.tokens + model.vocabulary + 1))
 
-    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = _Numbers(words, listed).__getitem__
-        for part in pieces(batches, "text"):
-            chain, sizes, tails = [], [], []
-            for text in _texts(part):
-                own = words_of(text)
-                ids = list(map(get, own))
-                tails.append([w for w, i in zip(own, ids) if i >= listed])
-                chain += ids
-                chain.append(boundary)
-                sizes.append(len(own) + 1)
-            ids = np.array(chain, np.int64)
-            classes = np.where((ids >= listed) & (ids < boundary), class_of[ids] | by_shape, class_of[ids])
-            begin = np.cumsum([0, *sizes[:-1]])
-            per = lambda x: np.add.reduceat(x, begin)
-            first = class_of[boundary : boundary + 1].tobytes()
+    def classify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "ids", CODED_BYTES):
+            chain, begin = _chain(part, listed + SHAPES)
+            classes, ids = class_of[chain], chain[1:]
+            sizes = np.diff(np.append(begin, len(chain)))
+            per = lambda x: np.add.reduceat(x, begin - 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("id"),
-                    part.column("learned"),
+                    *map(part.column, ["row", "id", "learned"]),
                     pa.array(sizes, pa.int64()),
                     pa.array(per((count[ids] > 0).astype(np.int64))),
                     pa.array(per(rarity[ids])),
-                    pa.array([first + classes[b : b + s].tobytes() for b, s in zip(begin.tolist(), sizes)], pa.binary()),
-                    pa.array(tails, pa.list_(pa.binary())),
+                    pa.array([classes[b - 1 : b + s].tobytes() for b, s in zip(begin.tolist(), sizes.tolist())], pa.binary()),
                 ],
-                ["id", "learned", "n_tokens", "n_known", "rarity", "classes", "tail"],
+                ["row", "id", "learned", "n_tokens", "n_known", "rarity", "classes"],
             )
 
     schema = T.StructType(
         [
-            docs.schema["id"],
-            T.StructField("learned", T.BooleanType()),
+            *(numbered.schema[c] for c in ("row", "id", "learned")),
             *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")),
             T.StructField("rarity", T.DoubleType()),
             T.StructField("classes", T.BinaryType()),
-            T.StructField("tail", T.ArrayType(T.BinaryType())),
         ]
     )
-    coded = written(docs.mapInArrow(code, schema).select(F.monotonically_increasing_id().alias("row"), "*"), "coded")
     rest = (
-        coded.select("row", F.posexplode("tail").alias("place", "word"))
+        numbered.select("row", F.posexplode("tail").alias("place", "word"))
         .join(known, "word")
         .groupBy("row")
         .agg(
@@ -500,7 +540,7 @@ def score(df: DataFrame, learned: Column, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([*map(part.column, kept), pa.array(out, pa.binary())], [*kept, "classes"])
 
     kept = ["id", "learned", "n_tokens", "n_known", "rarity"]
-    joined = coded.drop("tail").join(rest, "row", "left").select(
+    joined = numbered.select("row", "id", "learned", "ids").mapInArrow(classify, schema).join(rest, "row", "left").select(
         "id", "learned", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         (F.col("rarity") + F.coalesce("more", F.lit(0.0))).alias("rarity"),

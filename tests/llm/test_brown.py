@@ -108,3 +108,30 @@ def test_rare_words_get_the_class_of_their_neighbours(spark, monkeypatch):
     got = {r.id: r for r in brown.score(df, F.col("learned")).collect()}
     assert all(got[1000 + i].base_score == pytest.approx(got[2000 + i].base_score) for i in range(30))
     assert sum(got[1000 + i].score - got[2000 + i].score for i in range(30)) / 30 > 3
+
+
+def test_texts_are_cut_once_for_their_numbers(spark, monkeypatch):
+    """Stored numbers stand for the words, whatever the white space; a task gives each listed
+    word's neighbours in one row, however many pieces it met the word in."""
+    monkeypatch.setattr(brown, "CLUSTERED", 2)
+    monkeypatch.setattr(brown, "LISTED", 12)
+    monkeypatch.setattr(brown, "CODED_BYTES", 64)
+    rows = [*texts(5, 60), "\x0bA b\x0c\x1cc\r\n", "b c É"]
+    df = spark.createDataFrame([(t,) for t in rows], "text string").coalesce(1)
+    vocab = brown.vocabulary(df).cache()
+    words, counts = brown.listed_words(vocab)
+    numbered = brown.coded(df, words).cache()
+    assert 2 < len(words) <= 12
+    for text, row in zip(rows, numbered.collect(), strict=True):
+        ids, tail = np.frombuffer(row.ids, np.int32).tolist(), [bytes(w) for w in row.tail]
+        found = brown.words_of((text or "").encode())
+        assert [words[i] if i < len(words) else None for i in ids] == [w if w in words else None for w in found]
+        assert tail == [w for w in found if w not in words]
+        assert [i - len(words) for i in ids if i >= len(words)] == [brown.shape(w) for w in tail]
+    near = brown.neighbours(numbered, brown.fit_coded(numbered, vocab, words, counts)).collect()
+    given = Counter(bytes(r.word) for r in near)
+    assert all(given[w] == 1 for w in words[2:]) and not any(given[w] for w in words[:2])
+    total = Counter()
+    for r in near:
+        total[bytes(r.word)] += sum(r.counts)
+    assert total == {bytes(r.word): 2 * r.n for r in vocab.collect() if r.word and bytes(r.word) not in words[:2]}
