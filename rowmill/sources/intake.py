@@ -11,7 +11,7 @@ from rowmill.session import cut_lineage
 from rowmill.sources.listing import one_per_content
 from rowmill.sources.ranges import PARTITION_BYTES
 from rowmill.sources.records import RECORDS, read_ranges
-from rowmill.sources.scan import json_kinds, last_of_each_key, number_rows, parse_json_line, place_rows
+from rowmill.sources.scan import json_kinds, last_of_each_key, number_rows, parse_json_line, place_rows, stored
 
 SUPPORTED = ("csv", "tsv", "json", "jsonl", "xml")
 ROWS = (
@@ -61,7 +61,8 @@ def records(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 def read_files(spark: SparkSession, files: DataFrame) -> Intake:
     """Rows of all supported files of a listing, whatever their number of layouts, in the same
-    few jobs; the names of a file's columns come by the join that numbers its rows.
+    few jobs; the names of a file's columns come by the join that numbers its rows. Records are
+    parsed once and stored.
 
     ``raw`` has the values as texts, ``raw_kinds`` what JSON had those as that are no texts.
 
@@ -70,7 +71,7 @@ def read_files(spark: SparkSession, files: DataFrame) -> Intake:
     """
     listed = cut_lineage(one_per_content(files))
     usable = listed.where(F.col("kind").isNotNull() & F.col("problem").isNull()).where("kind <> 'delimited' OR columns IS NOT NULL")
-    scan = records(spark, usable)
+    scan = stored(records(spark, usable))
     places = place_rows(scan, usable.select("source_path", "file_id", F.col("filename").alias("source_name"), "columns", "kind"))
     by_name = F.map_from_arrays(F.coalesce("names", "columns"), F.col("cells"))
     rows = number_rows(scan, places).select(

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -189,13 +189,42 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _KINDS = {1: "comment", 2: "cdata", 3: "instruction", 4: "doctype"}
+#: A tag alone, or an element without children as a whole: the name of a tag that closes, that
+#: of one that opens, the rest of that, and the mark of a close that follows at once.
+_PLAIN = re.compile(
+    rb"<(?:/([^\s<>/!?\"'=][^\s<>/\"'=]*)(?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+>"
+    rb"|([^\s<>/!?\"'=][^\s<>/\"'=]*)((?:[^<>\"']++|\"[^<\"]*+\"|'[^<']*+')*+)>(?:(?<!/>)[^<]*+(</)\2\s*+>)?)"
+)
+_NO_TAG = re.compile(rb"<[!?]")
+PLAIN_BYTES = 1 << 18
 
 
-def xml_tokens(source: Bytes, start: int, end: int, state: str) -> tuple[list[tuple[int, int, str, str]], str, bool]:
-    """Tags whose first byte is in a range, as (from, to, name, kind) with places in the file;
-    what the range ends in; and whether anything in it is no markup. Kinds are open, close
-    and single. ``state`` is what the range begins in, or text."""
-    data = source.read(start, end + 9)  # nine bytes tell all openings apart
+@lru_cache
+def _tags_of(tag: str) -> re.Pattern:
+    """Where tags of a name begin, or what is no tag."""
+    return re.compile(rb"<(?=[!?]|/?" + re.escape(tag.encode()) + rb"[\s/>\"'=])")
+
+
+def xml_tokens(
+    source: Bytes,
+    start: int,
+    end: int,
+    state: str,
+    take: Callable[[int, int, str, str], object],
+    only: str | None = None,
+    plain: Callable[[bytes, int, int], int] | None = None,
+) -> tuple[str, bool]:
+    """What a range ends in, and whether anything in it is no markup. ``state`` is what it
+    begins in, or text.
+
+    ``take`` gets the tags whose first byte is in the range: from, to, name, kind, with places
+    in the file; kinds are open, close and single. With ``only`` it gets those of that name, in
+    files that are known to be all markup. ``plain`` may take some tags before: it gets data,
+    a place and the range's length, and returns the place up to which it took all.
+    """
+    begins = _tags_of(only) if only and "\ufffd" not in only else None
+    # enough bytes to tell all openings apart
+    data = source.read(start, end + 9 + (len(only.encode()) if only else 0))
     length = end - start
     at = 0
     if state != "text":
@@ -204,19 +233,24 @@ def xml_tokens(source: Bytes, start: int, end: int, state: str) -> tuple[list[tu
         whole = source.read(start - look, end)
         found = whole.find(mark)
         if found < 0:
-            return [], state, False
+            return state, False
         at = found + len(mark) - look
-    out, size, bad = [], STEP, False
+    size, bad = STEP, False
+    at = plain(data, at, length) if plain else at
     while True:
-        at_ = data.find(b"<", at)
+        if begins:
+            next_ = begins.search(data, at)
+            at_ = next_.start() if next_ else -1
+        else:
+            at_ = data.find(b"<", at)
         if at_ < 0 or at_ >= length:
-            return out, "text", bad
+            return "text", bad
         m = _TOKEN.match(data, at_)
         if m is None or (m.end() == len(data) and not m[6] and start + len(data) < source.size):
             # cut off by the end of the piece, or no markup at all
             aside = next((k for k, o in (("comment", b"<!--"), ("cdata", b"<![CDATA["), ("instruction", b"<?")) if data.startswith(o, at_)), None)
             if aside:
-                return out, aside, bad
+                return aside, bad
             more = start + len(data) < source.size
             second = data.find(b"<", at_ + 1)
             if not more or (0 <= second and not data.startswith(b"<!DOCTYPE", at_)):
@@ -229,32 +263,68 @@ def xml_tokens(source: Bytes, start: int, end: int, state: str) -> tuple[list[tu
         at = m.end()
         if m[6]:
             name = m[6].decode("utf-8", "replace")
-            kind = "close" if m[5] else "single" if m[7].endswith(b"/") else "open"
-            out.append((start + m.start(), start + m.end(), name, kind))
-        elif m.end() > length and m.lastindex != 4:
-            return out, _KINDS[m.lastindex], bad
-        elif m.lastindex != 4 and not m[0].endswith(ASIDE[_KINDS[m.lastindex]]):
-            return out, _KINDS[m.lastindex], bad
+            take(start + m.start(), start + m.end(), name, "close" if m[5] else "single" if m[7].endswith(b"/") else "open")
+            continue
+        if m.end() > length and m.lastindex != 4:
+            return _KINDS[m.lastindex], bad
+        if m.lastindex != 4 and not m[0].endswith(ASIDE[_KINDS[m.lastindex]]):
+            return _KINDS[m.lastindex], bad
+        at = plain(data, at, length) if plain else at
 
 
 def xml_state(source: Bytes, start: int, end: int, state: str) -> dict:
     """What a range closes that was open before it, what it leaves open, and how many
     elements it begins, by depth and name."""
-    tokens, after, bad = xml_tokens(source, start, end, state)
     closes: list[str] = []
     opens: list[str] = []
     counts: dict[tuple[int, str], int] = {}
-    for _, _, name, kind in tokens:
+    texts: dict[bytes, str] = {}
+    crossed = False
+
+    def close(name: str) -> None:
+        nonlocal crossed
+        if opens:
+            crossed |= opens.pop() != name
+        else:
+            closes.append(name)
+
+    def take(_: int, __: int, name: str, kind: str) -> None:
         if kind == "close":
-            if opens:
-                bad |= opens.pop() != name
-            else:
-                closes.append(name)
-            continue
+            return close(name)
         key = (len(opens) - len(closes), name)
         counts[key] = counts.get(key, 0) + 1
         if kind == "open":
             opens.append(name)
+
+    def text(name: bytes) -> str:
+        if name not in texts:
+            texts[name] = name.decode("utf-8", "replace")
+        return texts[name]
+
+    def plain(data: bytes, at: int, length: int) -> int:
+        """Tags up to the next that is none, or the last one, which may be cut."""
+        while (upto := data.rfind(b"<", at, min(at + PLAIN_BYTES, length))) > at:
+            aside = _NO_TAG.search(data, at, upto)
+            upto = aside.start() if aside else upto
+            found = _PLAIN.findall(data, at, upto)
+            if data.count(b"<", at, upto) != len(found) + sum(1 for t in found if t[3]):
+                return at
+            for closed, opened, rest, whole in found:
+                if closed:
+                    close(text(closed))
+                    continue
+                name = text(opened)
+                key = (len(opens) - len(closes), name)
+                counts[key] = counts.get(key, 0) + 1
+                if not whole and not rest.endswith(b"/"):
+                    opens.append(name)
+            at = upto
+            if aside:
+                break
+        return at
+
+    after, bad = xml_tokens(source, start, end, state, take, plain=plain)
+    bad |= crossed
     return {"state": after, "bad": bad, "closes": closes, "opens": opens, "counts": [[*k, n] for k, n in counts.items()]}
 
 
@@ -263,13 +333,19 @@ def xml_elements(source: Bytes, start: int, end: int, state: str, open_: list[st
     depth, begin, size = open_.count(tag), None, STEP
     own_end = end
     while start < own_end or (begin is not None and start < source.size):
-        tokens, state, _ = xml_tokens(source, start, end, state)
+        tokens: list[tuple[int, int, str, str]] = []
+        data = source.read(start, end)
+        state, _ = xml_tokens(source, start, end, state, lambda *t: tokens.append(t), tag)
+
+        def text(a: int, b: int) -> bytes:
+            return data[a - start : b - start] if start <= a and b <= end else source.read(a, b)
+
         for a, b, name, kind in tokens:
             if name != tag or (begin is None and a >= own_end):
                 continue
             if kind == "single":
                 if depth == 0:
-                    yield source.read(a, b)
+                    yield text(a, b)
             elif kind == "open":
                 if depth == 0:
                     begin = a
@@ -277,7 +353,7 @@ def xml_elements(source: Bytes, start: int, end: int, state: str, open_: list[st
             elif depth:
                 depth -= 1
                 if depth == 0 and begin is not None:
-                    yield source.read(begin, b)
+                    yield text(begin, b)
                     begin = None
         start, end = end, min(end + size, source.size)
         size *= 4

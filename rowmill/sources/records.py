@@ -37,6 +37,12 @@ def delimited_cells(text: str, sep: str, width: int) -> Iterator[list[str | None
             yield [None if c in _NULLS else c for c in cells] + [None] * (width - len(cells))
 
 
+#: Elements whose children have no attributes, children or references, and need no parser.
+_LEAF = r"<([A-Za-z_][A-Za-z0-9_.-]*+)>([^<&\]\r\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]*+)</\{}>[ \t\n]*+"
+_FLAT = re.compile(rf"<([A-Za-z_][A-Za-z0-9_.-]*+)>[ \t\n]*+((?:{_LEAF.format(3)})*+)</\1>")
+_LEAVES = re.compile(_LEAF.format(1))
+
+
 class _Element:
     def __init__(self, attributes: dict[str, str]):
         self.items: dict[str, Any] = dict(attributes)
@@ -60,6 +66,11 @@ class _Element:
 
 def element_items(xml: str) -> dict[str, str]:
     """Attributes and children of an element as texts, nested and repeated ones as JSON."""
+    if flat := _FLAT.fullmatch(xml):
+        leaves = _LEAVES.findall(flat[2])
+        found = dict(leaves)
+        if len(found) == len(leaves):
+            return {k: v for k, t in found.items() if (v := t.strip())}
     stack = [_Element({})]
     parser = expat.ParserCreate()
     parser.buffer_text = True

@@ -132,7 +132,16 @@ def place_rows(scan: DataFrame, files: DataFrame | None = None) -> DataFrame:
 
 
 def _marked(scan: DataFrame) -> DataFrame:
-    return scan.withColumn("__at", F.monotonically_increasing_id())
+    return scan if "__at" in scan.columns else scan.withColumn("__at", F.monotonically_increasing_id())
+
+
+def stored(scan: DataFrame) -> DataFrame:
+    """The scan written to the shared folder with its order, so that counting and numbering
+    its rows do not parse them twice."""
+    marked = _marked(scan)
+    path = scratch_path(scan.sparkSession, "records")
+    marked.write.parquet(path)
+    return scan.sparkSession.read.schema(marked.schema).parquet(path)
 
 
 def number_rows(scan: DataFrame, places: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ import hashlib
 import io
 import json
 import random
+import re
 import xml.etree.ElementTree as ET
 
 import pytest
 
-from rowmill.sources import marks, ranges
-from rowmill.sources.intake import read_files
+from rowmill.sources import marks, ranges, records
+from rowmill.sources.intake import read_files, read_rows
 from rowmill.sources.listing import list_files
 from rowmill.sources.records import _of_range
 from rowmill.sources.store import Bytes
@@ -248,3 +249,56 @@ def test_borders_move_past_what_they_would_split():
 
     text = Text(b'ab"""c\r\nd')
     assert [text.settle(i, marks.HOLD["delimited"]) for i in range(9)] == [0, 1, 2, 6, 6, 6, 6, 8, 8]
+
+
+def test_xml_is_read_by_ranges_not_by_elements(tmp_path, monkeypatch):
+    """Reads do not grow with the elements, and tags of plain elements are counted at once."""
+    path = tmp_path / "a.xml"
+    items = "".join(f"<row><a>{i}</a><b k='1'>x</b><c/><row>{i}</row></row>\n" for i in range(500))
+    path.write_text(f"<?xml version='1.0'?><data><!-- <row> -->{items}</data>")
+    whole, parts = file_in_ranges(path, 1 << 20)
+    reads, matches = [], []
+    read, token = Bytes.read, marks._TOKEN
+    monkeypatch.setattr(Bytes, "read", lambda self, a, b: reads.append(a) or read(self, a, b))
+
+    class Counted:
+        def match(self, data, at):
+            matches.append(at)
+            return token.match(data, at)
+
+    monkeypatch.setattr(marks, "_TOKEN", Counted())
+    with Bytes(str(path)) as source:
+        found = list(marks.xml_elements(source, 0, source.size, "text", [], "row"))
+        assert len(found) == 500 and found[7] == b"<row><a>7</a><b k='1'>x</b><c/><row>7</row></row>" and len(reads) < 5
+        matches.clear()
+        state = marks.xml_state(source, 0, source.size, "text")
+    assert len(matches) < 10 and state["opens"] == state["closes"] == [] and not state["bad"]
+    assert sorted(map(tuple, state["counts"])) == [(0, "data", 1), (1, "row", 500), (2, "a", 500), (2, "b", 500), (2, "c", 500), (2, "row", 500)]
+    assert whole["problem"] is None and len(parts[0]) == 500
+
+
+@pytest.mark.parametrize(
+    "xml", ["<r><a> x </a>\n<b></b></r>", "<r></r>", "<r><a>1</a><a>2</a></r>", "<r><a>&lt;</a></r>", "<r>t<a>1</a></r>", "<r><a>1\r\n2</a></r>",
+            "<r><a>]]&gt;</a></r>", "<r><a k='1'>é</a></r>", "<r> <a>é </a> </r>"]
+)
+def test_flat_elements_as_the_parser_has_them(monkeypatch, xml):
+    quick = records.element_items(xml)
+    monkeypatch.setattr(records, "_FLAT", re.compile("(?!)"))
+    assert list(quick.items()) == list(records.element_items(xml).items())
+
+
+@pytest.mark.parametrize("xml", ["<r><a>]]></a></r>", "<r><a>\x01</a></r>", "<r><1>x</1></r>", "<r><a>x</b></r>", "<r><a>&no;</a></r>"])
+def test_flat_elements_that_are_not_well_formed(xml):
+    with pytest.raises(records.expat.ExpatError):
+        records.element_items(xml)
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """Numbering reads the stored records: no parser is left in the plan of the rows."""
+    (tmp_path / "a.xml").write_text("<r>" + "<row><a>1</a></row>" * 20 + "</r>")
+    (tmp_path / "b.json").write_text('{"a":"1"}\n{"a":"2"}\n')
+    rows = read_rows(spark, list_files(spark, str(tmp_path)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "from_json" not in plan
+    got = sorted((r.source_name, r.line_number, r.raw["a"]) for r in rows.collect())
+    assert got == [("a.xml", i, "1") for i in range(1, 21)] + [("b.json", 1, "1"), ("b.json", 2, "2")]
