@@ -11,7 +11,7 @@ from rowmill.plans.batch import refine_stored, run_batch
 from rowmill.plans.catalog import query
 from rowmill.plans.feed import table, validated_feed
 from rowmill.schema import CanonicalSchema, normalise_by_schema
-from rowmill.session import scratch_path
+from rowmill.session import cut_lineage, scratch_path
 from rowmill.sinks import review, writers
 from rowmill.sources import scan
 from rowmill.sources.intake import read_rows
@@ -145,7 +145,7 @@ def _json_dialects(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     orders.where("o_orderstatus <> 'F'").write.json(f"{path}/lines")
     writers.write_json_array(orders.where("o_orderstatus = 'F'"), f"{path}/arrays")
-    files = list_files(spark, path, format="json")
+    files = cut_lineage(list_files(spark, path, format="json"))
     rows = read_rows(spark, files).join(files.select("file_id", "json_lines").distinct(), "file_id")
     return rows.select("json_lines", F.try_element_at("raw", F.lit("o_orderkey")).alias("o_orderkey"))
 
@@ -159,7 +159,7 @@ def _xml_row_elements(spark, sf_dir):
     path = scratch_path(spark, "tags")
     for status in "FOP":
         writers.write_xml(_orders(spark, sf_dir).where(F.col("o_orderstatus") == status), f"{path}/{status}", row_element=f"status_{status.lower()}")
-    files = list_files(spark, path, range_bytes=1 << 20)
+    files = cut_lineage(list_files(spark, path, range_bytes=1 << 20))
     rows = read_rows(spark, files).join(files.select("file_id", "row_tag").distinct(), "file_id")
     key = F.try_element_at("raw", F.lit("o_orderkey")).cast("bigint")
     return rows.groupBy("row_tag").agg(F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"))

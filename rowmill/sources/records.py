@@ -9,6 +9,7 @@ import re
 import sys
 from collections.abc import Iterable, Iterator
 from typing import Any
+from xml.etree import ElementTree
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -41,6 +42,9 @@ def delimited_cells(text: str, sep: str, width: int) -> Iterator[list[str | None
 _LEAF = r"<([A-Za-z_][A-Za-z0-9_.-]*+)>([^<&\]\r\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]*+)</\{}>[ \t\n]*+"
 _FLAT = re.compile(rf"<([A-Za-z_][A-Za-z0-9_.-]*+)>[ \t\n]*+((?:{_LEAF.format(3)})*+)</\1>")
 _LEAVES = re.compile(_LEAF.format(1))
+#: What may be a name with a prefix; a tree would have its namespace instead.
+_PREFIX = re.compile(r"</?[^\s<>]*:|\s[^\s<>=\"']*:[^\s<>=\"']*\s*=")
+_JSON = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
 
 class _Element:
@@ -49,28 +53,46 @@ class _Element:
         self.text: list[str] = []
 
     def put(self, name: str, value: Any) -> None:
-        if name not in self.items:
-            self.items[name] = value
-        elif isinstance(self.items[name], list):
-            self.items[name].append(value)
-        else:
-            self.items[name] = [self.items[name], value]
+        _put(self.items, name, value)
 
     def value(self) -> Any:
-        """A leaf is its text; other elements have attributes and children, and text as _text."""
-        text = "".join(self.text).strip()
-        if not self.items:
-            return text or None
-        return self.items | ({"_text": text} if text else {})
-
-
-def element_items(xml: str) -> dict[str, str]:
-    """Attributes and children of an element as texts, nested and repeated ones as JSON."""
-    if flat := _FLAT.fullmatch(xml):
-        leaves = _LEAVES.findall(flat[2])
-        found = dict(leaves)
-        if len(found) == len(leaves):
-            return {k: v for k, t in found.items() if (v := t.strip())}
+        return _value(self.items, "".join(self.text))
+
+
+def _put(items: dict[str, Any], name: str, value: Any) -> None:
+    if name not in items:
+        items[name] = value
+    elif isinstance(items[name], list):
+        items[name].append(value)
+    else:
+        items[name] = [items[name], value]
+
+
+def _value(items: dict[str, Any], text: str) -> Any:
+    """A leaf is its text; other elements have attributes and children, and text as _text."""
+    text = text.strip()
+    if not items:
+        return text or None
+    return items | ({"_text": text} if text else {})
+
+
+def _tree_value(node: ElementTree.Element) -> Any:
+    items: dict[str, Any] = dict(node.attrib)
+    text = node.text or ""
+    for child in node:
+        leaf = not len(child) and not child.attrib
+        _put(items, child.tag, (child.text or "").strip() or None if leaf else _tree_value(child))
+        text += child.tail or ""
+    return _value(items, text)
+
+
+def _parsed_value(xml: str) -> Any:
+    """The value of an element, its names as they are written."""
+    if "xmlns" not in xml and (":" not in xml or not _PREFIX.search(xml)):
+        try:
+            return _tree_value(ElementTree.fromstring(xml))
+        except ElementTree.ParseError:
+            pass  # the parser below says why
     stack = [_Element({})]
     parser = expat.ParserCreate()
     parser.buffer_text = True
@@ -88,10 +110,20 @@ def element_items(xml: str) -> dict[str, str]:
     parser.StartElementHandler, parser.EndElementHandler = begin, end
     parser.CharacterDataHandler = lambda text: stack[-1].text.append(text)
     parser.Parse(xml, True)
-    items = stack[0].value()
+    return stack[0].value()
+
+
+def element_items(xml: str) -> dict[str, str]:
+    """Attributes and children of an element as texts, nested and repeated ones as JSON."""
+    if flat := _FLAT.fullmatch(xml):
+        leaves = _LEAVES.findall(flat[2])
+        found = dict(leaves)
+        if len(found) == len(leaves):
+            return {k: v for k, t in found.items() if (v := t.strip())}
+    items = _parsed_value(xml)
     items = {"_text": items} if isinstance(items, str) else items or {}
     return {
-        k: v if isinstance(v, str) else json.dumps(_without_nulls(v), ensure_ascii=False, separators=(",", ":"))
+        k: v if isinstance(v, str) else _JSON(_without_nulls(v))
         for k, v in items.items()
         if v is not None
     }

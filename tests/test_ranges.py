@@ -302,3 +302,24 @@ def test_records_are_parsed_once(spark, tmp_path):
     assert "MapInArrow" not in plan and "from_json" not in plan
     got = sorted((r.source_name, r.line_number, r.raw["a"]) for r in rows.collect())
     assert got == [("a.xml", i, "1") for i in range(1, 21)] + [("b.json", 1, "1"), ("b.json", 2, "2")]
+
+
+def no_tree(_):
+    raise records.ElementTree.ParseError
+
+
+@pytest.mark.parametrize(
+    "xml",
+    ["<r k='1'> a <q>1</q>b<t>x</t><t k='2'>y</t><n><m>1</m><m/></n><o/></r>", "<r>x</r>", "<r k='a:b'/>", "<r><a>1:2 &lt;</a><!-- c --><a>é<![CDATA[<b>]]></a></r>",
+     "<r><a> <b/> t <b> </b></a></r>", "<r><x:a>1</x:a></r>", "<r xmlns='u'><a/><a>1</a></r>", "<r x:k = '1'/>"],
+)
+def test_trees_as_the_parser_has_them(monkeypatch, xml):
+    quick = records.element_items(xml)
+    monkeypatch.setattr(records, "_FLAT", re.compile("(?!)"))
+    monkeypatch.setattr(records, "_tree_value", no_tree)
+    assert list(quick.items()) == list(records.element_items(xml).items())
+
+
+def test_elements_with_children_are_parsed_as_trees(monkeypatch):
+    monkeypatch.setattr(records.expat, "ParserCreate", None)
+    assert records.element_items('<r id="1"><n>1</n><n>2</n><i><k>3</k></i></r>') == {"id": "1", "n": '["1","2"]', "i": '{"k":"3"}'}
