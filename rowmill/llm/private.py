@@ -20,6 +20,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.functions.text import let
 from rowmill.llm.frames import written
 
 # What joins the parts of a number: a blank, dot or dash, after a few marks of noise, or a cell border.
@@ -116,12 +117,13 @@ def kind_of(value: Column) -> Column:
 
 def _luhn(digits: Column) -> Column:
     """The sum of a card's digits, every second one from the right doubled, by cross sums."""
-    number = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
-    each = F.transform(
-        F.split(digits, ""),
-        lambda c, i: F.when(F.pmod(F.length(digits) - i, F.lit(2)) == 0, number(c) * 2 - F.when(number(c) > 4, 9).otherwise(0)).otherwise(number(c)),
-    )
-    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+    def total(all_: Column) -> Column:
+        numbers = F.transform(F.split(all_, ""), lambda c: F.coalesce(c.try_cast("int"), F.lit(0)))
+        each = F.transform(numbers, lambda n, i: F.when(F.pmod(F.length(all_) - i, F.lit(2)) == 0, n * 2 - F.when(n > 4, 9).otherwise(0)).otherwise(n))
+        return F.aggregate(each, F.lit(0), lambda so_far, n: so_far + n)
+
+    return let(digits, total)
 
 
 def _remainder(letters: Column) -> Column:
@@ -206,10 +208,14 @@ def _same_script(low: Column, b: Column) -> Column:
     """Another letter of a letter's alphabet. Those in none (rare letters) become one of Greek, Han or Hangul."""
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"^\p{IsHan}$", "\u4e00"), r"^\p{IsHangul}$", "\uac00"), r"^\p{IsGreek}$", "α")
     own = F.coalesce(F.get(F.filter(F.split(F.lit("\n".join(ALPHABETS)), "\n"), lambda a: a.contains(plain)), F.lit(0)), F.lit(ALPHABETS[0]))
-    at = F.instr(own, low)
-    # a shift by at least one letter, so that none stays
-    size = F.length(own)
-    return F.substring(own, F.pmod(at + F.pmod(b, size - 1), size) + 1, F.lit(1))
+
+    def shifted(letters: Column) -> Column:
+        """By at least one letter, so that none stays."""
+        size = F.length(letters)
+        return F.substring(letters, F.pmod(F.instr(letters, low) + F.pmod(b, size - 1), size) + 1, F.lit(1))
+
+    # the alphabets are a long text: one copy in the plan for each use
+    return let(own, shifted)
 
 
 def _named_alike(word: Column, stream: Column) -> Column:
@@ -225,7 +231,7 @@ def _named_alike(word: Column, stream: Column) -> Column:
             .when(low.rlike(r"^\p{L}$"), _same_script(low, b))
             .otherwise(low)
         )
-        return F.when(c == low, other).otherwise(F.upper(other))
+        return let(other, lambda o: F.when(c == low, o).otherwise(F.upper(o)))
 
     return _each(word, change)
 
@@ -278,7 +284,7 @@ def _surrogate(e: Column, stream: Column, apart: Column) -> Column:
     def middle(word: Column, i: Column) -> Column:
         """An initial for an initial, the first given name by its title, others as they come."""
         shifted = F.concat(F.substring(stream, i * 8 + 1, F.lit(256)), stream)
-        given = F.get(names, F.pmod(first + i * _byte(stream, i + 2), F.size(names)))
+        given = let(names, lambda own: F.get(own, F.pmod(first + i * _byte(stream, i + 2), F.size(own))))
         return F.when(known & ~word.rlike(r"^\p{Lu}(?:\.|$)"), given).otherwise(_named_alike(word, shifted))
 
     longer = F.floor(e["attempt"] / WIDEN).cast("int")
@@ -293,9 +299,9 @@ def _surrogate(e: Column, stream: Column, apart: Column) -> Column:
     keep = F.when(kind == "iban", 2).when(kind == "phone", country).when(kind == "key", begin).otherwise(0)
     issuer = F.when(F.length(canon) == 16, 1).otherwise(3)
     card = _alike(F.substring(canon, F.lit(1), F.length(canon) - 1), stream, issuer)
-    check = F.pmod(10 - F.pmod(_luhn(F.concat(card, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
+    check = lambda c: F.pmod(10 - F.pmod(_luhn(F.concat(c, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
     land, account = F.substring(canon, 1, 2), _alike(F.substring(canon, F.lit(5), F.length(canon)), stream)
-    checks = F.lpad((98 - _remainder(F.concat(account, land, F.lit("00")))).cast("string"), 2, "0")
+    checks = lambda a: F.lpad((98 - _remainder(F.concat(a, land, F.lit("00")))).cast("string"), 2, "0")
 
     def group(c: Column, i: Column) -> Column:
         """The first digit and the zeros that begin a group stay."""
@@ -311,8 +317,8 @@ def _surrogate(e: Column, stream: Column, apart: Column) -> Column:
         .when(e["attempt"] >= TRIES, F.concat(F.when(kind == "name", title).otherwise(""), masked))
         .when(kind == "email", email)
         .when(kind == "ip", octets)
-        .when(kind == "card", F.concat(card, check))
-        .when(kind == "iban", F.concat(land, checks, account))
+        .when(kind == "card", let(card, lambda c: F.concat(c, check(c))))
+        .when(kind == "iban", let(account, lambda a: F.concat(land, checks(a), a)))
         .when(kind == "ipv6", _each(canon, group))
         .when(kind == "name", name)
         .when(kind == "secret", _each(canon, lambda c, i: _pick("0123456789abcdef", _byte(stream, i))))

@@ -133,3 +133,12 @@ def test_whole_texts_against_a_plain_replacer(spark):
     plain = [pattern.sub(lambda m: alone[m.group()][0], t) for t in texts]
     counts = [sum(alone[m.group()][1] for m in pattern.finditer(t)) for t in texts]
     assert run(spark, texts) == list(zip(plain, counts)) and sum(counts) > 200
+
+
+def test_plan_holds_the_alphabets_once_a_use(spark):
+    """The plan of the surrogates stays small: the driver keeps it several times."""
+    entities = F.array(F.struct(F.lit("name").alias("kind"), F.col("canon"), F.lit(0).alias("attempt")))
+    frame = spark.createDataFrame([("Mr Οδυσσέας",)], "canon string").select(private.with_surrogates("k", entities).alias("made"))
+    text = frame._jdf.queryExecution().analyzed().expressions().toString()
+    assert text.count(private.ALPHABETS[-1]) == 3
+    assert len(text) < 150_000
