@@ -137,13 +137,43 @@ def _canonical(df: DataFrame, names: list[str] | None) -> Column:
     return canonical_map(df, names).alias("canonical_data")
 
 
-def flagged_sample(df: DataFrame, n: int = 10, names: list[str] | None = None) -> DataFrame:
+#: One row of so many, by the hash of its place, tells how far the first flagged rows can reach.
+SPREAD = 256
+
+
+def _up_to(place: list[str], last: list) -> Column:
+    """Rows not after a place, in ascending order with nulls first."""
+    name, value = F.col(place[0]), last[0]
+    if value is None:
+        here, before = name.isNull(), F.lit(False)
+    else:
+        here, before = name == F.lit(value), name.isNull() | (name < F.lit(value))
+    return before | (here & _up_to(place[1:], last[1:])) if len(place) > 1 else before | here
+
+
+def _not_after_first(df: DataFrame, n: int, spread: int) -> DataFrame:
+    """Rows among which the first ``n`` flagged ones are, mostly far fewer than all.
+
+    The n-th flagged row of any part of the rows is not before the n-th of all, so those of
+    one part, told by data columns alone, bound where to look. The bound is a filter on data
+    columns too: both pass through ``validate`` to the scan, and few rows are validated for
+    it. Where the part has fewer than ``n``, all rows are kept.
+    """
+    order = ["file_id", "line_number"]
+    part = df.where(F.pmod(F.xxhash64(*order), F.lit(spread)) == 0).where(is_status("flagged"))
+    firsts = part.select(*order).orderBy(*order).limit(n).collect()  # n places
+    return df if n < 1 or len(firsts) < n else df.where(_up_to(order, list(firsts[-1])))
+
+
+def flagged_sample(df: DataFrame, n: int = 10, names: list[str] | None = None, spread: int = SPREAD) -> DataFrame:
     """The first flagged rows by file and line, with shortened ids.
 
+    A part of the rows is looked at before, so that not all are validated: see ``_not_after_first``.
     What is shown passes through a generator of one row: so projections above it are not moved
     between the sort and its limit, and every task keeps ``n`` rows instead of sorting all.
     """
-    first = df.where(is_status("flagged")).orderBy("file_id", "line_number", "row_id").limit(n)
+    near = _not_after_first(df, n, spread)
+    first = near.where(is_status("flagged")).orderBy("file_id", "line_number", "row_id").limit(n)
     shown = F.struct(
         F.left("row_id", F.lit(8)).alias("row_id"),
         F.col("line_number"),
